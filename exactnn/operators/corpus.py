@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exactnn.functions import vectors as V
 from exactnn.functions.text import explode_sentences, normalise_title, sentences
+from exactnn.operators.embed import embed_tokens, token_rows
 from exactnn.operators.ids import dense_index, first_n, position_boundary, up_to
 from exactnn.operators.joins import BROADCAST_BYTES, key_bytes, keyed_filter, null_safe_key, split_join
 from exactnn.session import materialize
@@ -66,6 +69,38 @@ def first_nonzero(
     return first_n(df.where(~V.is_zero(vector)), order, n)
 
 
+def first_stretches(
+    corpus: DataFrame,
+    order: Sequence[str],
+    counts: DataFrame,
+    n: int,
+    make: Callable[[DataFrame], DataFrame],
+    target: int,
+) -> DataFrame:
+    """Results of ``make`` for as many corpus rows, in ``order``, as yield ``n`` of them.
+
+    ``make`` is the expensive step and stores its result, so rows behind the n-th are not put
+    through it. ``counts`` (order columns, ``_count``) estimates the yield per corpus row: the
+    row at which the running count reaches ``target`` ends the first stretch, which is a filter
+    on the scan. If that yields too little, the next stretch is sized by the yield so far; as
+    stretches grow geometrically, there are few of them.
+    """
+    counts = materialize(counts, "counts")
+    kept, found, spent, after = None, 0, 0, None
+    while True:
+        ahead, rows = counts, corpus
+        if after is not None:
+            ahead, rows = counts.where(~up_to(order, after)), corpus.where(~up_to(order, after))
+        stop = position_boundary(ahead, order, target, "_count")
+        part = make(rows if stop is None else rows.where(up_to(order, stop)))
+        kept = part if kept is None else kept.unionByName(part)
+        found, spent, after = found + part.count(), spent + target, stop
+        if found >= n or stop is None:
+            return kept
+        estimate = math.ceil(1.1 * (n - found) * spent / found) if found else 2 * spent
+        target = max(estimate, spent // 8, 1)
+
+
 def sentence_vectors(
     corpus: DataFrame,
     text: str,
@@ -80,35 +115,46 @@ def sentence_vectors(
     The corpus columns are carried along, the text being the sentence and the title normalised.
     ``id_name`` numbers the rows from 0. ``order`` has to be a unique, non-null key. Without
     ``n`` every sentence is used.
-
-    Embedding is the expensive step, so texts behind the n-th sentence are not embedded: the
-    place of the n-th sentence is found from sentence counts, the texts up to there are a filter
-    on the scan, and only if zero vectors leave the result short is a further stretch embedded.
     """
     if title is not None:
         corpus = corpus.withColumn(title, normalise_title(title))
-    counted = corpus.select(*order, F.size(sentences(text)).alias("_count"))
-    full_order = [*order, "sent_idx"]
 
     def embedded(rows: DataFrame) -> DataFrame:
         vectors = embedder(explode_sentences(rows, text), text).where(~V.is_zero("embedding"))
         return materialize(vectors, "sentence_vectors")
 
     if n is None:
-        return dense_index(embedded(corpus), full_order, id_name)
+        kept = embedded(corpus)
+    else:
+        counts = corpus.select(*order, F.size(sentences(text)).alias("_count"))
+        kept = first_stretches(corpus, order, counts, n, embedded, target=n)
+    indexed = dense_index(kept, [*order, "sent_idx"], id_name)
+    return indexed if n is None else indexed.where(F.col(id_name) < n)
 
-    kept, found, after, target = None, 0, None, n
-    while True:
-        ahead = counted if after is None else counted.where(~up_to(order, after))
-        stop = position_boundary(ahead, order, target, "_count")
-        stretch = corpus if after is None else corpus.where(~up_to(order, after))
-        part = embedded(stretch if stop is None else stretch.where(up_to(order, stop)))
-        kept = part if kept is None else kept.unionByName(part)
-        found += part.count()
-        if found >= n or stop is None:
-            break
-        after, target = stop, 2 * max(n - found, target)
-    return dense_index(first_n(kept, full_order, n), full_order, id_name)
+
+def token_vectors(
+    corpus: DataFrame,
+    text: str,
+    order: Sequence[str],
+    token_factory: Callable[[], Callable[[Sequence[str]], np.ndarray]],
+    dim: int,
+    n: int | None = None,
+    id_name: str = "vec_id",
+) -> DataFrame:
+    """One row per token vector, the first ``n`` under ``order`` + ``token_idx``, numbered from 0."""
+
+    def embedded(rows: DataFrame) -> DataFrame:
+        flat = embed_tokens(rows.select(*order, text), text, token_factory)
+        return materialize(token_rows(flat, order, dim), "token_vectors")
+
+    if n is None:
+        kept = embedded(corpus)
+    else:
+        counts = corpus.select(*order, F.size(sentences(text)).alias("_count"))
+        # a sentence has several tokens; how many is known after the first stretch
+        kept = first_stretches(corpus, order, counts, n, embedded, target=max(1, n // 16))
+    indexed = dense_index(kept, [*order, "token_idx"], id_name)
+    return indexed if n is None else indexed.where(F.col(id_name) < n)
 
 
 def query_vectors(

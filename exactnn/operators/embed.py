@@ -67,10 +67,16 @@ def embed_text(
     if role not in INPUT_TYPES:
         raise ValueError("role must be 'query', 'document' or None")
     width = dim // packed
-    run = F.arrow_udf(_chunked(factory, width, chunk, INPUT_TYPES[role]), "array<float>")
+    run = _once(_chunked(factory, width, chunk, INPUT_TYPES[role]))
     return df.withColumn(output, run(model_input(text, model)))
 
 
+def _once(function):
+    """Not deterministic for the optimizer, which would else copy the call into every filter
+    on its result and run the model twice."""
+    return F.arrow_udf(function, "array<float>").asNondeterministic()
+
+
 def _chunked(factory: Factory, width: int, chunk: int, input_type: str | None):
     def embed_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embed = factory()
@@ -111,7 +117,7 @@ def embed_tokens(
             offsets = np.cumsum([0, *map(len, rows)])
             yield _lists(np.concatenate([np.zeros(0, np.float32), *rows]), offsets)
 
-    return df.withColumn(output, F.arrow_udf(embed_rows, "array<float>")(sentences(text)))
+    return df.withColumn(output, _once(embed_rows)(sentences(text)))
 
 
 def token_rows(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from exactnn.session import materialize
+from exactnn.session import materialize, range_partitioned
 
 TOP_ROWS = 10_000  # an ordered limit up to this size is one small merge
 _LOW_BITS = (1 << 33) - 1
@@ -17,8 +17,7 @@ _LOW_BITS = (1 << 33) - 1
 def _range_sorted(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """``df`` range-partitioned and sorted, with its partition and place, as a written table."""
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        range_partitioned(df, order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
     )

@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 from exactnn.functions.vectors import METRICS
 from exactnn.operators.ranking import merge_topk
 from exactnn.operators.topk import BlockTopK, drop_surplus_copies, vector_matrix
-from exactnn.session import MIB, parallelism
+from exactnn.session import MIB, parallelism, input_bytes
 
 PARTIAL_SCHEMA = "query_id long, base_id long, distance double"
 BLOCK_BYTES = 4 * MIB
 BLOCK_ROWS = 2048
+TASK_BYTES = 2048 * MIB
 
 
 @dataclass(frozen=True)
@@ -47,8 +48,8 @@ class QuerySize:
     dim: int
 
     def bytes(self, k: int) -> int:
-        """Vectors plus the running top k, as one task would hold them."""
-        return self.rows * (4 * self.dim + 16 * k + 8)
+        """Vectors (plain and normalised) plus the running top k, as one task holds them."""
+        return self.rows * (8 * self.dim + 24 * k + 32)
 
 
 def measure_queries(query: DataFrame, vector: str = "embedding") -> QuerySize:
@@ -94,7 +95,8 @@ def knn_partials(
     """Top k of every query within each base task: (query_id, base_id, distance).
 
     ``base_tasks`` caps the number of tasks, so that the candidates to merge do not grow with
-    the number of input splits (default: four per core). ``size`` saves the count of the query
+    the number of input splits (default: four per core, or one per 2 GiB of base if that is
+    more). ``size`` saves the count of the query
     side where the caller knows it.
     """
     if metric not in METRICS:
@@ -109,7 +111,9 @@ def knn_partials(
         strategy = "broadcast" if size.bytes(k) <= broadcast_bytes else "grid"
     queries = query.select(F.col(query_id).cast("long").alias("id"), F.col(vector).alias("vec"))
     rows = base.select(F.col(base_id).cast("long").alias("id"), F.col(vector).alias("vec"))
-    tasks = base_tasks or 4 * parallelism(spark)
+    tasks = base_tasks or max(
+        4 * parallelism(spark), math.ceil((input_bytes(rows) or 0) / TASK_BYTES)
+    )
     if strategy == "broadcast":
         if size.bytes(k) > broadcast_bytes:
             raise ValueError("query side exceeds broadcast_bytes; use strategy='grid'")

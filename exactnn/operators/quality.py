@@ -172,8 +172,8 @@ def validate_similarity(
     result: DataFrame,
     query: DataFrame,
     base: DataFrame,
-    atol: float = 1e-4,
     rtol: float = 1e-5,
+    atol: float = 1e-6,
     **columns,
 ) -> DataFrame:
     """The half-distance check for squared L2 on unit vectors: 1 - dot against distance / 2."""

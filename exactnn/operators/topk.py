@@ -16,7 +16,8 @@ DECIMALS = 6
 _SCALE = 10.0**DECIMALS
 _NO_ID = np.iinfo(np.int64).max
 _UNIT = 2.0**-24  # rounding unit of float32
-_VERIFY_ELEMENTS = 1 << 22  # float64 components gathered at a time
+_VERIFY_ELEMENTS = 1 << 20  # float64 components gathered at a time
+_buffers: dict[str, np.ndarray] = {}
 
 
 def vector_matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -60,24 +61,43 @@ def _place_in_run(sorted_keys: np.ndarray) -> np.ndarray:
     return np.arange(n) - np.repeat(starts, np.diff(np.r_[starts, n]))
 
 
+def _buffer(name: str, shape: tuple[int, int], dtype) -> np.ndarray:
+    """A reused work area: fresh pages for every block would cost more than the product."""
+    need = shape[0] * shape[1]
+    if name not in _buffers or _buffers[name].size < need:
+        _buffers[name] = np.empty(need, dtype)
+    return _buffers[name][:need].reshape(shape)
+
+
 class BlockTopK:
-    """Running top k of one block of queries."""
+    """Running top k of one block of queries.
+
+    Survivors are collected and merged into the ranking in groups. Meanwhile the old k-th place
+    is the bar for new ones, which lets a few more through and loses none.
+    """
 
     def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str):
-        self.query_ids, self.k, self.metric = query_ids, k, metric
-        self.queries = queries.astype(np.float64)
-        self.query_sq = np.einsum("ij,ij->i", self.queries, self.queries)
+        # copies: the arguments are views of an Arrow batch that should not stay in memory
+        self.query_ids, self.k, self.metric = query_ids.copy(), k, metric
+        self.queries = np.array(queries, dtype=np.float32)
+        wide = self.queries.astype(np.float64)
+        self.query_sq = np.einsum("ij,ij->i", wide, wide)
         self.query_norm = np.sqrt(self.query_sq)
-        self.left = _unit_rows(self.queries, self.query_norm) if metric == "cosine" else queries
-        self.left = np.ascontiguousarray(self.left, dtype=np.float32)
+        self.left = self.queries
+        if metric == "cosine":
+            self.left = _unit_rows(wide, self.query_norm).astype(np.float32)
         self.dist = np.full((len(query_ids), k), np.inf)
         self.ids = np.full((len(query_ids), k), _NO_ID, dtype=np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting_rows = 0
 
     def offer(self, base_ids: np.ndarray, base: np.ndarray) -> None:
         wide = base.astype(np.float64)
         norms = np.sqrt(np.einsum("ij,ij->i", wide, wide))
         score, slack = self._screen(base, wide, norms)
-        rows, cols = np.nonzero(score <= self._bound(score, slack)[:, None])
+        mask = _buffer("mask", score.shape, np.bool_)
+        np.less_equal(score, self._bound(score, slack)[:, None], out=mask)
+        rows, cols = np.divmod(np.flatnonzero(mask), score.shape[1])
         step = max(1, _VERIFY_ELEMENTS // base.shape[1])
         for at in range(0, len(rows), step):
             r, c = rows[at:at + step], cols[at:at + step]
@@ -88,9 +108,10 @@ class BlockTopK:
         dim = base.shape[1]
         gamma = (dim + 8) * _UNIT / (1 - (dim + 8) * _UNIT)
         biggest = float(norms.max(initial=0.0))
+        score = _buffer("score", (len(self.query_ids), len(base)), np.float32)
         if self.metric == "sqeuclidean":
             base_sq = (norms * norms).astype(np.float32)
-            score = np.matmul(self.left, base.T)
+            np.matmul(self.left, base.T, out=score)
             score *= np.float32(-2.0)
             score += base_sq[None, :]
             slack = 2 * gamma * self.query_norm * biggest + 8 * _UNIT * (
@@ -98,10 +119,10 @@ class BlockTopK:
             ) ** 2
             return score, slack
         if self.metric == "cosine":
-            score = np.matmul(self.left, _unit_rows(wide, norms).astype(np.float32).T)
+            np.matmul(self.left, _unit_rows(wide, norms).astype(np.float32).T, out=score)
             slack = np.full(len(self.query_ids), 2 * gamma)
         else:
-            score = np.matmul(self.left, base.T)
+            np.matmul(self.left, base.T, out=score)
             slack = gamma * self.query_norm * biggest
         np.negative(score, out=score)
         return score, slack + 4 * _UNIT
@@ -120,7 +141,7 @@ class BlockTopK:
         return np.nextafter((known + np.abs(known) * 2 * _UNIT).astype(np.float32), np.float32(np.inf))
 
     def _measure(self, rows, cols, wide, norms) -> np.ndarray:
-        q, b = self.queries[rows], wide[cols]
+        q, b = self.queries[rows].astype(np.float64), wide[cols]
         if self.metric == "sqeuclidean":
             gap = q - b
             exact = np.einsum("ij,ij->i", gap, gap)
@@ -135,9 +156,17 @@ class BlockTopK:
     def _admit(self, rows: np.ndarray, ids: np.ndarray, dist: np.ndarray) -> None:
         last_d, last_id = self.dist[rows, -1], self.ids[rows, -1]
         better = (dist < last_d) | ((dist == last_d) & (ids < last_id))
-        if not better.any():
+        if better.any():
+            self.waiting.append((rows[better], ids[better], dist[better]))
+            self.waiting_rows += len(self.waiting[-1][0])
+        if self.waiting_rows > self.dist.size // 4 or np.isinf(last_d).any():
+            self._merge()
+
+    def _merge(self) -> None:
+        if not self.waiting:
             return
-        rows, ids, dist = rows[better], ids[better], dist[better]
+        rows, ids, dist = (np.concatenate(part) for part in zip(*self.waiting))
+        self.waiting, self.waiting_rows = [], 0
         touched = np.unique(rows)
         all_rows = np.concatenate([np.repeat(touched, self.k), rows])
         all_ids = np.concatenate([self.ids[touched].ravel(), ids])
@@ -149,6 +178,7 @@ class BlockTopK:
 
     def batches(self, rows_per_batch: int = 1 << 16):
         """The filled places as (query_id, base_id, distance) batches."""
+        self._merge()
         step = max(1, rows_per_batch // self.k)
         for at in range(0, len(self.query_ids), step):
             dist, ids = self.dist[at:at + step], self.ids[at:at + step]

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from exactnn.functions.models import PACKED_DIMENSIONS, TOKEN_MODEL
 from exactnn.operators import corpus as C
 from exactnn.operators import quality as Q
-from exactnn.operators.embed import embed_text, embed_tokens, embedder_for, token_rows
-from exactnn.operators.ids import dense_index, first_n
+from exactnn.operators.embed import embed_text, embedder_for
 from exactnn.operators.knn import knn_join
 from exactnn.sources.bundle import export
 from exactnn.sources.naming import Naming
@@ -151,10 +150,9 @@ def token_vectors(
     corpus: Corpus, token_factory, dim: int, n: int | None, id_name: str
 ) -> DataFrame:
     """First ``n`` token vectors of a corpus, numbered from 0 by (order, token_idx)."""
-    order = [*corpus.order, "token_idx"]
-    flat = embed_tokens(corpus.table.select(*corpus.order, corpus.text), corpus.text, token_factory)
-    rows = token_rows(flat, corpus.order, dim)
-    return dense_index(rows if n is None else first_n(rows, order, n), order, id_name)
+    return C.token_vectors(
+        corpus.table, corpus.text, corpus.order, token_factory, dim, n, id_name
+    )
 
 
 def _finish(

@@ -11,6 +11,7 @@ from exactnn.functions.vectors import to_wide
 from exactnn.operators.dedup import duplicate_summary
 from exactnn.operators.ids import pages
 from exactnn.operators.quality import dimensions
+from exactnn.session import range_partitioned
 from exactnn.sources.bundle import read_bundle
 from exactnn.sources.tables import write_vectors
 
@@ -32,15 +33,11 @@ def split_table(
     return spark.read.parquet(target)
 
 
-def sorted_table(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Global order by range partitions; part files of a write follow it."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-
 def sort_table(
     spark: SparkSession, source: str, target: str, keys: Sequence[str], mode: str = "error"
 ) -> DataFrame:
-    write_vectors(sorted_table(spark.read.parquet(source), keys), target, mode=mode)
+    # global order: part files in name order follow the keys
+    write_vectors(range_partitioned(spark.read.parquet(source), keys), target, mode=mode)
     return spark.read.parquet(target)
 
 

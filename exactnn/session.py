@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1 << 20
+PARTITION_BYTES = 256 * MIB
+MAX_PARTITIONS = 20_000
+UNKNOWN_BYTES = 1 << 60
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,12 +48,34 @@ def parallelism(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for ``df``; None where it is not available."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes that ``df`` reads: the sum over its scans, known without a job.
+
+    None where a source has no size. The estimate for the whole plan is not used, as a join
+    multiplies its sides there.
+    """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except AttributeError:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length())]
+    except AttributeError:  # no access to the plan, as on a remote session
         return None
+    return None if any(size >= UNKNOWN_BYTES for size in sizes) else sum(sizes)
+
+
+def range_partitioned(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` in ``order``: range partitions, each sorted.
+
+    The number of partitions follows the size of the input where the session's default would
+    make partitions of more than ``PARTITION_BYTES``; it is capped, as the shuffle has a block
+    for every pair of a map task and a partition. Larger partitions sort with spilling.
+    """
+    spark = df.sparkSession
+    wanted = min(MAX_PARTITIONS, math.ceil((input_bytes(df) or 0) / PARTITION_BYTES))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        ranged = df.repartitionByRange(wanted, *order)
+    else:
+        ranged = df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -60,7 +87,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     unique id) places rows the same way when a task is run again.
     """
     spark = df.sparkSession
-    size = planned_bytes(df)
+    size = input_bytes(df)
     cores = parallelism(spark)
     split = _bytes_setting(spark, "spark.sql.files.maxPartitionBytes", 128 * MIB)
     if size is None or size >= cores * split:

@@ -31,7 +31,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from exactnn.session import MIB
+from exactnn.session import MIB, range_partitioned
 
 # Format -> (element type on disk, Spark type, Arrow type).
 FORMATS = {
@@ -40,6 +40,7 @@ FORMATS = {
 }
 SPLIT_BYTES = 128 * MIB
 READ_BYTES = 8 * MIB
+MAX_SPLITS = 50_000  # bounds the list of splits the driver plans
 
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
@@ -72,7 +73,9 @@ class XvecReader(DataSourceReader):
         system, path = open_path(self.path)
         slices: list[Slice] = []
         stride, seen = 0, 0
-        for info in _data_files(system, path, self.kind):
+        files = _data_files(system, path, self.kind)
+        split = max(self.split, sum(f.size for f in files) // MAX_SPLITS)
+        for info in files:
             if not stride:
                 with system.open_input_file(info.path) as f:
                     dim = int(np.frombuffer(f.read(4), "<i4")[0])
@@ -82,7 +85,7 @@ class XvecReader(DataSourceReader):
             rows = info.size // stride
             low = max(self.start - seen, 0)
             high = rows if self.end is None else min(rows, self.end - seen)
-            step = max(1, self.split // stride)
+            step = max(1, split // stride)
             for at in range(low, high, step):
                 slices.append(
                     Slice(info.path, at * stride, min(step, high - at), seen + at, dim)
@@ -299,7 +302,7 @@ def write_xvec(
     rows = df.select(
         F.col(order).cast("long").alias("idx"), F.col(vector).cast(f"array<{element}>").alias("vector")
     )
-    ordered = rows.repartitionByRange("idx").sortWithinPartitions("idx")
+    ordered = range_partitioned(rows, ["idx"])
     layout = "single" if single_file else "parts"
     ordered.write.format(kind).mode("overwrite").option("layout", layout).save(path)
 

@@ -255,7 +255,7 @@ ORACLE_SQL = {
            {counted('not ok and label <> 3')} as mismatches,
            count(distinct case when label = 3 then query_id end) as zero_queries
     from (select r.query_id, q.label,
-                 {close('(1 - list_inner_product(q.v, b.v))', '(r.distance / 2)', '1e-4')} as ok
+                 {close('(1 - list_inner_product(q.v, b.v))', '(r.distance / 2)', '1e-6')} as ok
           from ({corrupted(10, 'sqeuclidean')}) r
           join ({VECTORS}) q on q.vec_id = r.query_id
           join ({VECTORS}) b on b.vec_id = r.base_id)""",
@@ -287,8 +287,8 @@ ORACLE_SQL = {
     " as place from conversations",
     "first_n_nonzero": "select vec_id, label from embeddings where label <> 3"
     " order by vec_id limit 250",
-    "first_n_large": "select l_orderkey, l_linenumber, l_partkey from lineitem"
-    " order by l_orderkey, l_linenumber limit 25000",
+    "first_n_large": "select o_custkey, o_orderkey, o_orderstatus from orders"
+    " order by o_custkey, o_orderkey limit 12000",
     "distinct_titles": TITLES,
     "title_semi": f"select doc_id, title from ({FLAGGED}) where matched",
     "title_anti": f"select doc_id, title from ({FLAGGED}) where not matched",
