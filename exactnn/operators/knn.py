@@ -1,8 +1,8 @@
 """Exact k-nearest-neighbour join: every query vector against every base vector.
 
 The work is Q x B by definition, but no row pair ever exists in Spark. Vectors move in blocks, a
-task multiplies block by block and keeps a running top k, and what is shuffled afterwards is
-(tasks x Q x k) candidate rows for the final ranking.
+task multiplies block by block and keeps a running top k, and what is shuffled afterwards is one
+row per query and task: its k best of that task. These lists are ranked where they meet.
 
 Two physical forms give the same rows:
 
@@ -30,14 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exactnn.functions.vectors import METRICS
-from exactnn.operators.ranking import merge_topk
-from exactnn.operators.topk import BlockTopK, drop_surplus_copies, vector_matrix
+from exactnn.operators.topk import BlockTopK, drop_surplus_copies, merge_lists, vector_matrix
 from exactnn.session import MIB, parallelism, input_bytes
 
-PARTIAL_SCHEMA = "query_id long, base_id long, distance double"
+LIST_SCHEMA = "query_id long, base_ids array<long>, distances array<double>"
+RESULT_SCHEMA = "query_id long, rank int, base_id long, distance double"
 BLOCK_BYTES = 4 * MIB
 BLOCK_ROWS = 2048
 TASK_BYTES = 2048 * MIB
+ROWS_PER_PLACE = 500  # base rows a task should read for each of the k places it returns
 
 
 @dataclass(frozen=True)
@@ -67,18 +68,42 @@ def block_rows(dim: int) -> int:
     return max(64, min(BLOCK_ROWS, BLOCK_BYTES // (4 * max(1, dim))))
 
 
+def task_count(base: DataFrame, k: int, dim: int) -> int:
+    """One to four base tasks per core, more if a task would read over 2 GiB.
+
+    Up to four per core balance the load; but each task returns k places per query however
+    little it read, so tasks of few rows for their k are not worth it.
+    """
+    cores, size = parallelism(base.sparkSession), input_bytes(base) or 0
+    rows = size // (4 * max(1, dim))
+    balanced = min(4 * cores, max(cores, rows // (ROWS_PER_PLACE * k)))
+    return max(balanced, math.ceil(size / TASK_BYTES))
+
+
 def knn_join(
     query: DataFrame, base: DataFrame, k: int = 100, metric: str = "sqeuclidean", **options
 ) -> DataFrame:
     """k nearest base rows of every query: (query_id, rank, base_id, distance), rank from 0.
 
     Distances are rounded to 6 decimals and ranked by (distance, base_id). With fewer than k
-    base rows every query gets them all. See :func:`knn_partials` for the options.
+    base rows every query gets them all. See :func:`knn_lists` for the options.
     """
-    return merge_topk(knn_partials(query, base, k, metric, **options), k, trimmed=True)
+    lists = knn_lists(query, base, k, metric, **options)
+    together = lists.repartition("query_id").sortWithinPartitions("query_id")
+    return together.mapInArrow(merge_lists(k), RESULT_SCHEMA)
 
 
 def knn_partials(
+    query: DataFrame, base: DataFrame, k: int = 100, metric: str = "sqeuclidean", **options
+) -> DataFrame:
+    """:func:`knn_lists` as rows: (query_id, base_id, distance)."""
+    lists = knn_lists(query, base, k, metric, **options)
+    return lists.select("query_id", F.inline(F.arrays_zip("base_ids", "distances"))).toDF(
+        "query_id", "base_id", "distance"
+    )
+
+
+def knn_lists(
     query: DataFrame,
     base: DataFrame,
     k: int = 100,
@@ -92,11 +117,10 @@ def knn_partials(
     base_tasks: int | None = None,
     size: QuerySize | None = None,
 ) -> DataFrame:
-    """Top k of every query within each base task: (query_id, base_id, distance).
+    """Top k of every query within each base task: (query_id, base_ids, distances).
 
-    ``base_tasks`` caps the number of tasks, so that the candidates to merge do not grow with
-    the number of input splits (default: four per core, or one per 2 GiB of base if that is
-    more). ``size`` saves the count of the query
+    ``base_tasks`` caps the number of tasks, so that the lists to merge do not grow with the
+    number of input splits (default: see :func:`task_count`). ``size`` saves the count of the query
     side where the caller knows it.
     """
     if metric not in METRICS:
@@ -106,14 +130,12 @@ def knn_partials(
     spark = base.sparkSession
     size = size or measure_queries(query, vector)
     if not size.rows:
-        return spark.createDataFrame([], PARTIAL_SCHEMA)
+        return spark.createDataFrame([], LIST_SCHEMA)
     if strategy == "auto":
         strategy = "broadcast" if size.bytes(k) <= broadcast_bytes else "grid"
     queries = query.select(F.col(query_id).cast("long").alias("id"), F.col(vector).alias("vec"))
     rows = base.select(F.col(base_id).cast("long").alias("id"), F.col(vector).alias("vec"))
-    tasks = base_tasks or max(
-        4 * parallelism(spark), math.ceil((input_bytes(rows) or 0) / TASK_BYTES)
-    )
+    tasks = base_tasks or task_count(rows, k, size.dim)
     if strategy == "broadcast":
         if size.bytes(k) > broadcast_bytes:
             raise ValueError("query side exceeds broadcast_bytes; use strategy='grid'")
@@ -133,13 +155,17 @@ def _broadcast_form(queries, rows, k, metric, size: QuerySize, tasks: int) -> Da
         .applyInArrow(_pack_queries(dim), "qblock int, qids binary, qvecs binary")
     )
     base_packs = rows.coalesce(tasks).mapInArrow(
-        _pack_base(dim, k, per_block), "bids binary, bvecs binary"
+        _pack_base(dim, k, per_block), "leading boolean, bids binary, bvecs binary"
+    )
+    # the first pack of a task meets every query block through an equi-join on its number and so
+    # brings them into the task, once; the later packs pass through with no block
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    number = F.explode(F.when(F.col("leading"), every).otherwise(F.array(F.lit(None).cast("int"))))
+    paired = base_packs.withColumn("qblock", number).join(
+        F.broadcast(query_blocks), "qblock", "left"
     )
-    # every pack meets every query block through an equi-join on the block number
-    paired = base_packs.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    paired = paired.join(F.broadcast(query_blocks), "qblock")
     return paired.select("qblock", "qids", "qvecs", "bids", "bvecs").mapInArrow(
-        _screen_packs(dim, k, metric), PARTIAL_SCHEMA
+        _screen_packs(dim, k, metric), LIST_SCHEMA
     )
 
 
@@ -159,7 +185,7 @@ def _grid_form(queries, rows, k, metric, size: QuerySize, groups: int, shards: i
     return (
         cells.repartitionById(groups * shards, F.col("cell"))
         .sortWithinPartitions("cell", "is_base")
-        .mapInArrow(_stream_cells(size.dim, k, metric, block_rows(size.dim)), PARTIAL_SCHEMA)
+        .mapInArrow(_stream_cells(size.dim, k, metric, block_rows(size.dim)), LIST_SCHEMA)
     )
 
 
@@ -176,6 +202,7 @@ def _pack_queries(dim: int):
 
 def _pack_base(dim: int, k: int, per_block: int):
     def pack(batches):
+        leading = True
         for batch in batches:
             ids = batch.column(0).to_numpy()
             vectors = vector_matrix(batch.column(1), dim)
@@ -184,31 +211,41 @@ def _pack_base(dim: int, k: int, per_block: int):
                     ids[at:at + per_block], vectors[at:at + per_block], k
                 )
                 yield pa.RecordBatch.from_pydict(
-                    {"bids": [kept.tobytes()], "bvecs": [rows.tobytes()]}
+                    {"leading": [leading], "bids": [kept.tobytes()], "bvecs": [rows.tobytes()]}
                 )
+                leading = False
 
     return pack
 
 
 def _screen_packs(dim: int, k: int, metric: str):
+    def array(cell, dtype):
+        return np.frombuffer(cell.as_buffer(), dtype)
+
     def screen(batches):
-        state: dict[int, BlockTopK] = {}
+        tops: dict[int, BlockTopK] = {}
+        complete = False
         for batch in batches:
             blocks = batch.column(0).to_pylist()
             qids, qvecs, bids, bvecs = (batch.column(i) for i in range(1, 5))
             for i, block in enumerate(blocks):
-                if block not in state:
-                    state[block] = BlockTopK(
-                        np.frombuffer(qids[i].as_buffer(), np.int64),
-                        np.frombuffer(qvecs[i].as_buffer(), np.float32).reshape(-1, dim),
+                ids, vectors = array(bids[i], np.int64), array(bvecs[i], np.float32)
+                vectors = vectors.reshape(-1, dim)
+                if block is None:
+                    complete = True
+                    for top in tops.values():
+                        top.offer(ids, vectors)
+                elif qids[i].is_valid:  # a block that no query hashes to has none
+                    if complete or block in tops:
+                        raise RuntimeError("query blocks have to lead the packs of a task")
+                    tops[block] = BlockTopK(
+                        array(qids[i], np.int64),
+                        array(qvecs[i], np.float32).reshape(-1, dim),
                         k,
                         metric,
                     )
-                state[block].offer(
-                    np.frombuffer(bids[i].as_buffer(), np.int64),
-                    np.frombuffer(bvecs[i].as_buffer(), np.float32).reshape(-1, dim),
-                )
-        for top in state.values():
+                    tops[block].offer(ids, vectors)
+        for top in tops.values():
             yield from top.batches()
 
     return screen

@@ -10,25 +10,15 @@ from pyspark.sql.window import Window
 RESULT_COLUMNS = ("query_id", "rank", "base_id", "distance")
 
 
-def rank_neighbours(candidates: DataFrame) -> DataFrame:
-    """Number the candidates of each query from 0 by (distance, base_id)."""
-    by_distance = Window.partitionBy("query_id").orderBy("distance", "base_id")
-    return candidates.withColumn("rank", F.row_number().over(by_distance) - 1)
-
-
-def merge_topk(candidates: DataFrame, k: int, trimmed: bool = False) -> DataFrame:
-    """Global top k from per-block lists (query_id, base_id, distance).
+def merge_topk(candidates: DataFrame, k: int) -> DataFrame:
+    """Global top k from per-block lists (query_id, base_id, distance), with ranks from 0.
 
     The limit on ``row_number`` becomes a group limit before and after the exchange, so at most
-    k rows per query and map task are shuffled. ``trimmed`` says the lists already are that
-    short; the sort for the first of the two limits is then saved.
+    k rows per query and map task are shuffled.
     """
-    if trimmed:
-        ranked = rank_neighbours(candidates).where(F.col("rank") < k)
-    else:
-        by_distance = Window.partitionBy("query_id").orderBy("distance", "base_id")
-        place = candidates.withColumn("place", F.row_number().over(by_distance))
-        ranked = place.where(F.col("place") <= k).withColumn("rank", F.col("place") - 1)
+    by_distance = Window.partitionBy("query_id").orderBy("distance", "base_id")
+    place = candidates.withColumn("place", F.row_number().over(by_distance))
+    ranked = place.where(F.col("place") <= k).withColumn("rank", F.col("place") - 1)
     return ranked.select(*RESULT_COLUMNS)
 
 

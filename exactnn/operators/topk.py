@@ -16,7 +16,10 @@ DECIMALS = 6
 _SCALE = 10.0**DECIMALS
 _NO_ID = np.iinfo(np.int64).max
 _UNIT = 2.0**-24  # rounding unit of float32
-_VERIFY_ELEMENTS = 1 << 20  # float64 components gathered at a time
+TILE_ROWS = 512  # queries scored at a time, so that a tile of scores stays in the cache
+_VERIFY_ELEMENTS = 1 << 18  # float64 components gathered at a time, for the same reason
+_KEY_LIMIT = 1 << 40  # a sort key holds a number up to this, and above it a row or run
+_KEY_RUNS = 1 << 20
 _buffers: dict[str, np.ndarray] = {}
 
 
@@ -61,6 +64,41 @@ def _place_in_run(sorted_keys: np.ndarray) -> np.ndarray:
     return np.arange(n) - np.repeat(starts, np.diff(np.r_[starts, n]))
 
 
+def ranked(rows: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Order by (row, distance, id), for rounded distances and small row numbers.
+
+    Row and distance fit one integer in nearly all cases, and so do the run of equal ones and
+    the id; sorting integers is many times faster than sorting by three keys.
+    """
+    unfilled = ~np.isfinite(dist)
+    steps = np.rint(np.where(unfilled, 0.0, dist) * _SCALE)
+    if not _fits(np.abs(steps)) or (len(rows) and rows.max() >= _KEY_RUNS):
+        return np.lexsort((ids, dist, rows))
+    steps = np.where(unfilled, _KEY_LIMIT, steps.astype(np.int64))
+    key = rows.astype(np.int64) * (4 * _KEY_LIMIT) + (steps + _KEY_LIMIT)
+    order = np.argsort(key)
+    ordered = key[order]
+    same = ordered[1:] == ordered[:-1]
+    if same.any():
+        places = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+        order[places] = _by_id(order[places], ordered[places], ids)
+    return order
+
+
+def _by_id(members: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """``members``, in runs of equal ``keys``, sorted by id within each run."""
+    values = ids[members]
+    values = np.where(values == _NO_ID, _KEY_LIMIT, values)
+    run = np.cumsum(np.r_[0, keys[1:] != keys[:-1]])
+    if not _fits(values) or values.min() < 0 or run[-1] >= _KEY_RUNS:
+        return members[np.lexsort((ids[members], run))]
+    return members[np.argsort(run * (4 * _KEY_LIMIT) + values)]
+
+
+def _fits(values: np.ndarray) -> bool:
+    return not len(values) or values.max() <= _KEY_LIMIT
+
+
 def _buffer(name: str, shape: tuple[int, int], dtype) -> np.ndarray:
     """A reused work area: fresh pages for every block would cost more than the product."""
     need = shape[0] * shape[1]
@@ -83,9 +121,7 @@ class BlockTopK:
         wide = self.queries.astype(np.float64)
         self.query_sq = np.einsum("ij,ij->i", wide, wide)
         self.query_norm = np.sqrt(self.query_sq)
-        self.left = self.queries
-        if metric == "cosine":
-            self.left = _unit_rows(wide, self.query_norm).astype(np.float32)
+        self.left = _screen_queries(self.queries, wide, self.query_norm, metric)
         self.dist = np.full((len(query_ids), k), np.inf)
         self.ids = np.full((len(query_ids), k), _NO_ID, dtype=np.int64)
         self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -94,62 +130,61 @@ class BlockTopK:
     def offer(self, base_ids: np.ndarray, base: np.ndarray) -> None:
         wide = base.astype(np.float64)
         norms = np.sqrt(np.einsum("ij,ij->i", wide, wide))
-        score, slack = self._screen(base, wide, norms)
-        mask = _buffer("mask", score.shape, np.bool_)
-        np.less_equal(score, self._bound(score, slack)[:, None], out=mask)
-        rows, cols = np.divmod(np.flatnonzero(mask), score.shape[1])
-        step = max(1, _VERIFY_ELEMENTS // base.shape[1])
-        for at in range(0, len(rows), step):
-            r, c = rows[at:at + step], cols[at:at + step]
-            self._admit(r, base_ids[c], self._measure(r, c, wide, norms))
+        right = _screen_base(base, wide, norms, self.metric)
+        slack = self._slack(base.shape[1], float(norms.max(initial=0.0)))
+        for top in range(0, len(self.query_ids), TILE_ROWS):
+            tile = slice(top, top + TILE_ROWS)
+            score = _buffer("score", (len(self.query_ids[tile]), len(base)), np.float32)
+            np.matmul(self.left[tile], right, out=score)
+            mask = _buffer("mask", score.shape, np.bool_)
+            bound = self._bound(tile, score, slack[tile])
+            np.less_equal(score, bound[:, None], out=mask)
+            rows, cols = np.divmod(np.flatnonzero(mask), score.shape[1])
+            if len(rows):
+                exact = self._measure(tile, rows, cols, wide, norms)
+                self._admit(rows + top, base_ids[cols], exact)
 
-    def _screen(self, base, wide, norms) -> tuple[np.ndarray, np.ndarray]:
-        """float32 score that orders like the distance, and its largest error per query."""
-        dim = base.shape[1]
+    def _slack(self, dim: int, biggest: float) -> np.ndarray:
+        """Largest error of a float32 score, per query, for base norms up to ``biggest``."""
         gamma = (dim + 8) * _UNIT / (1 - (dim + 8) * _UNIT)
-        biggest = float(norms.max(initial=0.0))
-        score = _buffer("score", (len(self.query_ids), len(base)), np.float32)
         if self.metric == "sqeuclidean":
-            base_sq = (norms * norms).astype(np.float32)
-            np.matmul(self.left, base.T, out=score)
-            score *= np.float32(-2.0)
-            score += base_sq[None, :]
-            slack = 2 * gamma * self.query_norm * biggest + 8 * _UNIT * (
+            return gamma * (2 * self.query_norm * biggest + biggest**2) + 8 * _UNIT * (
                 self.query_norm + biggest
             ) ** 2
-            return score, slack
         if self.metric == "cosine":
-            np.matmul(self.left, _unit_rows(wide, norms).astype(np.float32).T, out=score)
-            slack = np.full(len(self.query_ids), 2 * gamma)
-        else:
-            np.matmul(self.left, base.T, out=score)
-            slack = gamma * self.query_norm * biggest
-        np.negative(score, out=score)
-        return score, slack + 4 * _UNIT
-
-    def _bound(self, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
+            return np.full(len(self.query_ids), 2 * gamma)
+        return gamma * self.query_norm * biggest + 4 * _UNIT
+
+    def _bound(self, tile: slice, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
         """Largest score per query that may still enter the top k."""
-        worst = self.dist[:, -1]
-        shift = -self.query_sq if self.metric == "sqeuclidean" else -1.0
+        worst = self.dist[tile, -1]
+        shift = -self.query_sq[tile] if self.metric == "sqeuclidean" else -1.0
         known = worst + shift + slack
-        open_rows = np.isinf(worst)
-        if open_rows.any() and score.shape[1] > self.k:
-            kth = np.partition(score[open_rows], self.k - 1, axis=1)[:, self.k - 1]
-            known[open_rows] = kth + 2 * slack[open_rows]
+        unfilled = np.isinf(worst)
+        if unfilled.any() and score.shape[1] > self.k:
+            kth = np.partition(score[unfilled], self.k - 1, axis=1)[:, self.k - 1]
+            known[unfilled] = kth + 2 * slack[unfilled]
         # one rounding step of the distance and of the float32 comparison on top
         known = known + 1.0 / _SCALE
-        return np.nextafter((known + np.abs(known) * 2 * _UNIT).astype(np.float32), np.float32(np.inf))
+        known = (known + np.abs(known) * 2 * _UNIT).astype(np.float32)
+        return np.nextafter(known, np.float32(np.inf))
 
-    def _measure(self, rows, cols, wide, norms) -> np.ndarray:
-        q, b = self.queries[rows].astype(np.float64), wide[cols]
-        if self.metric == "sqeuclidean":
-            gap = q - b
-            exact = np.einsum("ij,ij->i", gap, gap)
-        else:
-            exact = np.einsum("ij,ij->i", q, b)
-            if self.metric == "cosine":
-                scale = self.query_norm[rows] * norms[cols]
-                exact = np.divide(exact, scale, out=np.zeros_like(exact), where=scale > 0)
+    def _measure(self, tile: slice, rows, cols, wide, norms) -> np.ndarray:
+        queries = self.queries[tile].astype(np.float64)
+        exact = np.empty(len(rows))
+        step = max(1, _VERIFY_ELEMENTS // wide.shape[1])
+        for at in range(0, len(rows), step):
+            part = slice(at, at + step)
+            q = np.take(queries, rows[part], axis=0)
+            b = np.take(wide, cols[part], axis=0)
+            if self.metric == "sqeuclidean":
+                q -= b
+                b = q
+            np.einsum("ij,ij->i", q, b, out=exact[part])
+        if self.metric == "cosine":
+            scale = self.query_norm[tile][rows] * norms[cols]
+            exact = np.divide(exact, scale, out=np.zeros_like(exact), where=scale > 0)
+        if self.metric != "sqeuclidean":
             exact = 1.0 - exact
         return np.floor(exact * _SCALE + 0.5) / _SCALE + 0.0
 
@@ -159,7 +194,7 @@ class BlockTopK:
         if better.any():
             self.waiting.append((rows[better], ids[better], dist[better]))
             self.waiting_rows += len(self.waiting[-1][0])
-        if self.waiting_rows > self.dist.size // 4 or np.isinf(last_d).any():
+        if self.waiting_rows > self.dist.size // 2 or np.isinf(last_d).any():
             self._merge()
 
     def _merge(self) -> None:
@@ -171,24 +206,89 @@ class BlockTopK:
         all_rows = np.concatenate([np.repeat(touched, self.k), rows])
         all_ids = np.concatenate([self.ids[touched].ravel(), ids])
         all_dist = np.concatenate([self.dist[touched].ravel(), dist])
-        order = np.lexsort((all_ids, all_dist, all_rows))
+        order = ranked(all_rows, all_dist, all_ids)
         keep = order[_place_in_run(all_rows[order]) < self.k]
         self.ids[touched] = all_ids[keep].reshape(len(touched), self.k)
         self.dist[touched] = all_dist[keep].reshape(len(touched), self.k)
 
-    def batches(self, rows_per_batch: int = 1 << 16):
-        """The filled places as (query_id, base_id, distance) batches."""
+    def batches(self, places_per_batch: int = 1 << 18):
+        """One (query_id, base_ids, distances) row per query, in batches."""
         self._merge()
-        step = max(1, rows_per_batch // self.k)
+        step = max(1, places_per_batch // self.k)
         for at in range(0, len(self.query_ids), step):
             dist, ids = self.dist[at:at + step], self.ids[at:at + step]
             filled = np.isfinite(dist)
-            query_ids = np.broadcast_to(self.query_ids[at:at + step, None], ids.shape)
+            offsets = pa.array(np.r_[0, np.cumsum(filled.sum(axis=1))], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[filled]), pa.array(ids[filled]), pa.array(dist[filled])],
-                names=["query_id", "base_id", "distance"],
+                [
+                    pa.array(self.query_ids[at:at + step]),
+                    pa.ListArray.from_arrays(offsets, pa.array(ids[filled])),
+                    pa.ListArray.from_arrays(offsets, pa.array(dist[filled])),
+                ],
+                names=["query_id", "base_ids", "distances"],
             )
 
 
+def merge_lists(k: int):
+    """Rank the lists of each query; the stream has the rows of one query side by side.
+
+    The last query of a batch may go on in the next one, so its best k are carried over.
+    """
+
+    def best(queries, ids, dist):
+        # the stream is sorted by query, so its queries can be numbered as they come
+        number = np.cumsum(np.r_[0, queries[1:] != queries[:-1]])
+        order = ranked(number, dist, ids)
+        place = _place_in_run(queries[order])
+        keep = place < k
+        order = order[keep]
+        return queries[order], ids[order], dist[order], place[keep]
+
+    def rows(queries, ids, dist, place):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(queries), pa.array(place, pa.int32()), pa.array(ids), pa.array(dist)],
+            names=["query_id", "rank", "base_id", "distance"],
+        )
+
+    def merge(batches):
+        carried = None
+        for batch in batches:
+            lists = batch.column(1)
+            queries = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            ids, dist = lists.flatten().to_numpy(), batch.column(2).flatten().to_numpy()
+            if carried is not None:
+                queries, ids, dist = (
+                    np.concatenate(pair) for pair in zip(carried, (queries, ids, dist))
+                )
+            if not len(queries):
+                continue
+            found = best(queries, ids, dist)
+            end = np.searchsorted(found[0], found[0][-1])
+            carried = tuple(part[end:] for part in found[:3])
+            if end:
+                yield rows(*(part[:end] for part in found))
+        if carried is not None:
+            yield rows(*best(*carried))
+
+    return merge
+
+
 def _unit_rows(matrix: np.ndarray, norms: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms[:, None], out=np.zeros_like(matrix), where=norms[:, None] > 0)
+
+
+def _screen_queries(queries, wide, norms, metric: str) -> np.ndarray:
+    """Left factor of the screen: its product with the right one orders like the distance."""
+    if metric == "sqeuclidean":  # -2 q.b + 1 * b.b
+        return np.hstack([-2 * queries, np.ones((len(queries), 1), np.float32)])
+    if metric == "cosine":
+        return -_unit_rows(wide, norms).astype(np.float32)
+    return -queries
+
+
+def _screen_base(base, wide, norms, metric: str) -> np.ndarray:
+    if metric == "sqeuclidean":
+        return np.hstack([base, (norms * norms).astype(np.float32)[:, None]]).T
+    if metric == "cosine":
+        return _unit_rows(wide, norms).astype(np.float32).T
+    return base.T

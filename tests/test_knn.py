@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from exactnn.functions import vectors as V
-from exactnn.operators.knn import knn_join, knn_partials
+from exactnn.operators.knn import knn_join, knn_partials, task_count
 from exactnn.operators.ranking import as_arrays, as_wide, from_wide_pair, merge_topk
-from exactnn.operators.topk import BlockTopK, drop_surplus_copies, vector_matrix
+from exactnn.operators.topk import BlockTopK, drop_surplus_copies, merge_lists, ranked, vector_matrix
 
 METRICS = ("sqeuclidean", "cosine", "inner")
 
@@ -124,8 +124,8 @@ def test_kernel_on_any_scale(metric, scale):
         top.offer(np.arange(at, min(at + 400, 2500)), b[at:at + 400])
     got = {}
     for batch in top.batches():
-        for qid, bid, d in zip(*(c.to_pylist() for c in batch.columns)):
-            got.setdefault(qid, []).append((bid, d))
+        for qid, bids, gaps in zip(*(c.to_pylist() for c in batch.columns)):
+            got[qid] = list(zip(bids, gaps))
     d = exact(q, b, metric)
     for i in range(60):
         order = np.lexsort((np.arange(2500), d[i]))[:20]
@@ -133,6 +133,51 @@ def test_kernel_on_any_scale(metric, scale):
         np.testing.assert_allclose([x for _, x in got[i]], d[i][order], rtol=1e-12, atol=1.1e-6)
 
 
+@pytest.mark.parametrize("top_id", (50, 2**39, 2**62))
+@pytest.mark.parametrize("scale", (1.0, 1e9))
+def test_ranked_equals_lexsort(top_id, scale):
+    rng = np.random.default_rng(8)
+    rows = rng.integers(0, 20, 3000)
+    dist = np.round((rng.integers(-4, 9, 3000) / 8) * scale, 6)
+    dist[::17] = np.inf
+    ids = rng.integers(-3 if top_id == 50 else 0, top_id, 3000)
+    ids[::17] = np.iinfo(np.int64).max
+    order, plain = ranked(rows, dist, ids), np.lexsort((ids, dist, rows))
+    for values in (rows, dist, ids):
+        np.testing.assert_array_equal(values[order], values[plain])
+
+
+def test_lists_merge_across_batches():
+    rng = np.random.default_rng(0)
+    rows, expected = [], {}
+    for query in range(30):
+        for _ in range(rng.integers(1, 9)):
+            ids = rng.permutation(1000)[:4].tolist()
+            gaps = np.sort(rng.integers(0, 5, 4) / 8).tolist()
+            rows.append((query, ids, gaps))
+            expected.setdefault(query, []).extend(zip(gaps, ids))
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([r[0] for r in rows], pa.int64()),
+            pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+            pa.array([r[2] for r in rows], pa.list_(pa.float64())),
+        ],
+        names=["query_id", "base_ids", "distances"],
+    )
+    for step in (1, 3, 1000):
+        pieces = [batch.slice(i, step) for i in range(0, len(rows), step)]
+        got = [r for b in merge_lists(6)(iter(pieces)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert got == [
+            (q, rank, i, d) for q in range(30) for rank, (d, i) in enumerate(sorted(expected[q])[:6])
+        ]
+    assert list(merge_lists(6)(iter([]))) == []
+
+
+def test_task_count(spark, sf):
+    base = spark.read.parquet(f"{sf}/embeddings.parquet")
+    assert task_count(base, 10, 64) == 8
+
+
 def test_surplus_copies():
     ids = np.array([9, 4, 7, 1, 3])
     vectors = np.array([[1, 0], [1, 0], [0, 1], [1, -0.0], [1, 0]], np.float32)
