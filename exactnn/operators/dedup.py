@@ -56,11 +56,8 @@ def duplicate_summary(df: DataFrame, vector_id: str, vector: str = "embedding")
 def drop_duplicate_vectors(df: DataFrame, vector_id: str, vector: str = "embedding") -> DataFrame:
     """Keep, of equal vectors, the row with the smallest id; all columns survive."""
     hashed, repeated = _suspects(df, vector)
-    single = keyed_filter(hashed, repeated, "_hash", vector_id, "left_anti").drop("_hash")
-    suspects = keyed_filter(hashed, repeated, "_hash", vector_id).drop("_hash")
-    kept = (
-        suspects.groupBy(vector)
-        .agg(F.min_by(F.struct(*df.columns), vector_id).alias("_row"))
-        .select("_row.*")
-    )
-    return single.select(*df.columns).unionByName(kept)
+    single = keyed_filter(hashed, repeated, "_hash", vector_id, "left_anti")
+    suspects = keyed_filter(hashed, repeated, "_hash", vector_id)
+    firsts = suspects.groupBy(vector).agg(F.min(vector_id).alias(vector_id)).select(vector_id)
+    kept = keyed_filter(df, materialize(firsts, "first_ids"), vector_id, vector_id)
+    return single.select(*df.columns).unionByName(kept.select(*df.columns))

@@ -67,3 +67,20 @@ def test_base_smaller_than_asked(spark, tmp_path, corpora):
     )
     assert 10 < truth.base.count() < 10**6
     assert {r.check: r.value for r in truth.checks.collect()}["complete"] == 5
+
+
+def test_command_line(spark, tmp_path, corpora, capsys):
+    from exactnn.__main__ import main
+
+    query, base = corpora
+    query.table.write.parquet(str(tmp_path / "q"))
+    base.table.write.parquet(str(tmp_path / "b"))
+    tables = ["--query-table", str(tmp_path / "q"), "--base-table", str(tmp_path / "b")]
+    main(["sentences", "20", "300", *tables, "-ods", "16", "-k", "5", "--post-validation",
+          "--data-dir", str(tmp_path / "out")])
+    assert "mismatches" in capsys.readouterr().out
+    main(["tokens", "20", "300", *tables, "--dim", "16", "-k", "5", "--no-bundle",
+          "--data-dir", str(tmp_path / "out")])
+    assert "neighbors" in capsys.readouterr().out
+    assert len(list((tmp_path / "out").glob("*/*/*.ivec"))) == 2
+    assert len(list((tmp_path / "out").glob("*/*/*.bundle"))) == 1
