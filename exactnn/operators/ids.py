@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from exactnn.session import materialize, range_partitioned
+from exactnn.session import MIB, input_bytes, materialize, range_partitioned
 
-TOP_ROWS = 10_000  # an ordered limit up to this size is one small merge
+# An ordered limit brings this many rows of every split to one task, so both have to be few.
+TOP_ROWS = 10_000
+TOP_BYTES = 2048 * MIB
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -81,13 +83,19 @@ def up_to(order: Sequence[str], key: Row) -> Column:
     return test
 
 
+def _small_limit(df: DataFrame, n: int) -> bool:
+    size = input_bytes(df)
+    return n <= TOP_ROWS and size is not None and size <= TOP_BYTES
+
+
 def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows under ``order`` (unique, non-null).
 
-    A small ``n`` is an ordered limit. For a large one the order key of the n-th row is found
-    first, and the rows are then a filter on the scan: no sort or shuffle of the rows themselves.
+    A small ``n`` of a small input is an ordered limit. Otherwise the order key of the n-th row
+    is found first, and the rows are then a filter on the scan: no sort or shuffle of the rows
+    themselves.
     """
-    if n <= TOP_ROWS:
+    if _small_limit(df, n):
         return df.orderBy(*order).limit(n)
     boundary = position_boundary(df, order, n)
     return df if boundary is None else df.where(up_to(order, boundary))
@@ -95,7 +103,7 @@ def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 def page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
     """Rows ``offset`` .. ``offset + limit - 1`` under ``order``."""
-    if offset + limit <= TOP_ROWS:
+    if _small_limit(df, offset + limit):
         return df.orderBy(*order).offset(offset).limit(limit)
     indexed = dense_index(df, order, "_idx")
     wanted = (F.col("_idx") >= offset) & (F.col("_idx") < offset + limit)

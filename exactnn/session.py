@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,7 @@ MIB = 1 << 20
 PARTITION_BYTES = 256 * MIB
 MAX_PARTITIONS = 20_000
 UNKNOWN_BYTES = 1 << 60
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,6 +47,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, once per application.
+
+    Only needed where neither ``--py-files`` nor an installation does so already.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="exactnn-")) / folder.name
+    context.addPyFile(shutil.make_archive(str(target), "zip", folder.parent, folder.name))
+    _shipped.add(context.applicationId)
+
+
 def parallelism(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 

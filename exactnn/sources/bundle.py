@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from exactnn.functions.vectors import cast_field
 from exactnn.operators.ranking import as_arrays
+from exactnn.session import materialize
 from exactnn.sources.naming import Naming
 from exactnn.sources.xvec import count_vectors, exists, write_xvec
 
@@ -20,7 +21,7 @@ def parts_of(
     result: DataFrame, query: DataFrame, base: DataFrame, vector: str = "embedding"
 ) -> dict[str, DataFrame]:
     """(idx, vector) for each part. Ids have to be dense positions from 0."""
-    lists = as_arrays(result)
+    lists = materialize(as_arrays(result), "lists")
 
     def part(df: DataFrame, key: str, values: str) -> DataFrame:
         return df.select(F.col(key).alias("idx"), F.col(values).alias("vector"))

@@ -46,6 +46,12 @@ def read_vectors(
     return df if n is None else first_n(df, list(order), n)
 
 
+def text_and_vector(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """The text column (``question`` before ``text``, where there is one) and the vector."""
+    text = next(([name] for name in ("question", "text") if name in df.columns), [])
+    return df.select(*text, vector)
+
+
 def _positioned(df: DataFrame, name: str) -> DataFrame:
     """Row position over all files in path order: rows in earlier files plus row in this one.
 

@@ -290,7 +290,7 @@ def write_xvec(
     single_file: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """Write vectors in ``order``. ``mode`` is overwrite, ignore (keep what exists) or error."""
+    """Write vectors in ``order`` (with ``single_file`` a dense position from 0). ``mode`` is overwrite, ignore (keep what exists) or error."""
     if mode not in ("overwrite", "ignore", "error"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode != "overwrite" and exists(path):
@@ -302,9 +302,10 @@ def write_xvec(
     rows = df.select(
         F.col(order).cast("long").alias("idx"), F.col(vector).cast(f"array<{element}>").alias("vector")
     )
-    ordered = range_partitioned(rows, ["idx"])
+    # in a single file each record has its place, so nothing has to be sorted or shuffled
+    placed = rows if single_file else range_partitioned(rows, ["idx"])
     layout = "single" if single_file else "parts"
-    ordered.write.format(kind).mode("overwrite").option("layout", layout).save(path)
+    placed.write.format(kind).mode("overwrite").option("layout", layout).save(path)
 
 
 def exists(path: str) -> bool:

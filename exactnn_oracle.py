@@ -311,6 +311,7 @@ ORACLE_SQL = {
     "query_vectors": f"select query_id, doc_id, title, sent_idx, text from ({truth_query(500)})",
     "base_vectors": "select base_id, doc_id, title, matched, sent_idx, text"
     f" from ({truth_base(15000)})",
+    "text_and_vectors": components(ITEM_SENTENCES, "text"),
     "sentence_knn": knn(
         f"select query_id as id, v from ({numbered(ITEM_SENTENCES, 'item_id, sent_idx', 'query_id')})",
         f"select base_id as id, v from ({numbered(DOC_SENTENCES, 'doc_id, sent_idx', 'base_id')})",

@@ -54,3 +54,23 @@ def test_order_predicate(spark):
     key = spark.createDataFrame([(1, 4)], "a long, b long").first()
     got = {tuple(r) for r in df.where(I.up_to(["a", "b"], key)).collect()}
     assert got == {(a, b) for a in range(3) for b in range(20) if (a, b) <= (1, 4)}
+
+
+def test_small_inputs_are_spread_and_large_ones_left(spark, sf):
+    from exactnn.session import input_bytes, spread
+
+    df = spark.read.parquet(f"{sf}/orders.parquet")
+    assert 0 < input_bytes(df) < 10**7
+    assert "REPARTITION" in spread(df, "o_orderkey")._jdf.queryExecution().toString()
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10k")
+    try:
+        assert spread(df, "o_orderkey") is df
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_first_n_of_a_source_of_unknown_size(spark):
+    df = spark.createDataFrame([(i * 37 % 100,) for i in range(100)], "k long")
+    assert sorted(r.k for r in I.first_n(df, ["k"], 7).collect()) == list(range(7))
