@@ -16,6 +16,7 @@ DECIMALS = 6
 _SCALE = 10.0**DECIMALS
 _NO_ID = np.iinfo(np.int64).max
 _UNIT = 2.0**-24  # rounding unit of float32
+_MAX_NORM = 1e18  # products and squares up to here are finite in float32
 TILE_ROWS = 512  # queries scored at a time, so that a tile of scores stays in the cache
 _VERIFY_ELEMENTS = 1 << 18  # float64 components gathered at a time, for the same reason
 _KEY_LIMIT = 1 << 40  # a sort key holds a number up to this, and above it a row or run
@@ -130,8 +131,11 @@ class BlockTopK:
     def offer(self, base_ids: np.ndarray, base: np.ndarray) -> None:
         wide = base.astype(np.float64)
         norms = np.sqrt(np.einsum("ij,ij->i", wide, wide))
+        biggest = float(norms.max(initial=0.0))
+        if max(biggest, float(self.query_norm.max(initial=0.0))) > _MAX_NORM:
+            raise ValueError(f"vectors longer than {_MAX_NORM:g} overflow float32 products")
         right = _screen_base(base, wide, norms, self.metric)
-        slack = self._slack(base.shape[1], float(norms.max(initial=0.0)))
+        slack = self._slack(base.shape[1], biggest)
         for top in range(0, len(self.query_ids), TILE_ROWS):
             tile = slice(top, top + TILE_ROWS)
             score = _buffer("score", (len(self.query_ids[tile]), len(base)), np.float32)

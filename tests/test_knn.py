@@ -178,6 +178,12 @@ def test_task_count(spark, sf):
     assert task_count(base, 10, 64) == 8
 
 
+def test_too_long_vectors_are_refused():
+    top = BlockTopK(np.arange(2), np.full((2, 3), 1e19, np.float32), 1, "inner")
+    with pytest.raises(ValueError, match="overflow"):
+        top.offer(np.arange(2), np.ones((2, 3), np.float32))
+
+
 def test_surplus_copies():
     ids = np.array([9, 4, 7, 1, 3])
     vectors = np.array([[1, 0], [1, 0], [0, 1], [1, -0.0], [1, 0]], np.float32)
