@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from exactnn.llm import pow2_packing, resync_count, speculative_bpe
+from exactnn.llm import (
+    license_index,
+    pow2_packing,
+    resync_count,
+    segment_topk,
+    speculative_bpe,
+    structural_secrets,
+)
 
 #: The file that the token operators are registered with; they take any byte-level BPE file.
 BPE_FILE = "byte_bpe_50k.json"
@@ -21,6 +29,10 @@ def _bpe() -> str:
     return public_tokenizers.path(BPE_FILE)
 
 
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_index.scan_licenses(_table(spark, sf, "documents")).drop("matches")
+
+
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = pow2_packing.pack(_table(spark, sf, "documents"), _bpe(), keep_ids=False)
     return packed.select(
@@ -28,6 +40,10 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return structural_secrets.digest(structural_secrets.scan_secrets(_table(spark, sf, "documents")))
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return resync_count.count_tokens(_table(spark, sf, "documents"), _bpe(), limit=512)
 
@@ -36,9 +52,40 @@ def op9_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return speculative_bpe.encode_round_trip(_table(spark, sf, "documents"), _bpe())
 
 
+def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings")
+    return segment_topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20, scale=64.0)
+
+
+_QUERIES = (
+    op2_license_scan, op3_packing, op4_secret_scan, op5_token_counts, op9_bpe_round_trip,
+    op10_exact_topk,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op3_packing, op5_token_counts, op9_bpe_round_trip)}
+    return {q.__name__: q for q in _QUERIES}
+
+
+_TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, b.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.c, b.c), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v b ON q.vec_id <> b.vec_id AND len(q.c) = len(b.c)
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT query_id, vec_id, score,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_topk": _TOP_K_SQL}
