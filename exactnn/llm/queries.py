@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exactnn.llm import (
+    byte_cnn,
+    decision_list,
     license_index,
     pow2_packing,
     resync_count,
@@ -29,6 +31,10 @@ def _bpe() -> str:
     return public_tokenizers.path(BPE_FILE)
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_cnn.score_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_index.scan_licenses(_table(spark, sf, "documents")).drop("matches")
 
@@ -48,6 +54,10 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return resync_count.count_tokens(_table(spark, sf, "documents"), _bpe(), limit=512)
 
 
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return decision_list.quality_rules(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return speculative_bpe.encode_round_trip(_table(spark, sf, "documents"), _bpe())
 
@@ -58,8 +68,8 @@ def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _QUERIES = (
-    op2_license_scan, op3_packing, op4_secret_scan, op5_token_counts, op9_bpe_round_trip,
-    op10_exact_topk,
+    op1_quality, op2_license_scan, op3_packing, op4_secret_scan, op5_token_counts,
+    op8_quality_rules, op9_bpe_round_trip, op10_exact_topk,
 )
 
 
