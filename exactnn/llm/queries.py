@@ -12,6 +12,7 @@ from exactnn.llm import (
     byte_cnn,
     decision_list,
     license_index,
+    odd_minhash,
     pow2_packing,
     resync_count,
     segment_topk,
@@ -54,6 +55,10 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return resync_count.count_tokens(_table(spark, sf, "documents"), _bpe(), limit=512)
 
 
+def op6_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return odd_minhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return decision_list.quality_rules(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -69,7 +74,7 @@ def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 _QUERIES = (
     op1_quality, op2_license_scan, op3_packing, op4_secret_scan, op5_token_counts,
-    op8_quality_rules, op9_bpe_round_trip, op10_exact_topk,
+    op6_near_duplicates, op8_quality_rules, op9_bpe_round_trip, op10_exact_topk,
 )
 
 
@@ -79,13 +84,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _TOP_K_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
 ), pairs AS (
     SELECT q.vec_id AS query_id, b.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.c, b.c), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.c, b.c)]) AS BIGINT) AS score
     FROM v q JOIN v b ON q.vec_id <> b.vec_id AND len(q.c) = len(b.c)
     WHERE q.vec_id % 20 = 0
 ), ranked AS (
@@ -97,5 +102,38 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+_NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+    WHERE 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+    GROUP BY a.doc_id, b.doc_id, p.n, q.n
+    HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reach(x, y) AS (
+    SELECT x, y FROM links
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least_of AS (
+    SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.y, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.y, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least_of l ON l.x = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_topk": _TOP_K_SQL}
+    return {"op6_near_duplicates": _NEAR_SQL, "op10_exact_topk": _TOP_K_SQL}
