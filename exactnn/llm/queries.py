@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exactnn.llm import (
+    bwt_dedup,
     byte_cnn,
     decision_list,
     license_index,
@@ -59,6 +60,10 @@ def op6_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return odd_minhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op7_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return bwt_dedup.removal_report(_table(spark, sf, "documents"), length=400)
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return decision_list.quality_rules(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -74,7 +79,7 @@ def op10_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 _QUERIES = (
     op1_quality, op2_license_scan, op3_packing, op4_secret_scan, op5_token_counts,
-    op6_near_duplicates, op8_quality_rules, op9_bpe_round_trip, op10_exact_topk,
+    op6_near_duplicates, op7_repeated_strings, op8_quality_rules, op9_bpe_round_trip, op10_exact_topk,
 )
 
 
