@@ -29,6 +29,8 @@ PAD = 256
 _POSITIONS = BLOCK_BYTES // STRIDE
 #: Blocks convolved in one step.
 _STEP_BLOCKS = 1024
+#: Bounds of the labelled sample that the network is fitted on.
+SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 6000, 32 << 10
 #: The threshold on the score from which a document is predicted good.
 THRESHOLD = 0.7
 
@@ -182,9 +184,13 @@ def _gradients(net: Network, symbols: np.ndarray, bounds: np.ndarray, label: np.
 
 
 def fit(
-    texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 32, rate: float = 4e-3, seed: int = 17
+    texts: list[bytes], labels: list[int], epochs: int = 8, least_steps: int = 600, batch: int = 32,
+    rate: float = 4e-3, seed: int = 17,
 ) -> Network:
-    """Adam on log loss. With one class only, the network says that class."""
+    """Adam on log loss, for ``epochs`` or as many more as make ``least_steps`` steps.
+
+    With one class only, the network says that class.
+    """
     rng = np.random.default_rng(seed)
     net = Network.start(rng)
     label = np.array(labels, np.float32)
@@ -194,7 +200,9 @@ def fit(
         net.out[:] = 0
         return net
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
-    step, steps = 0, epochs * -(-len(texts) // batch)
+    per_epoch = -(-len(texts) // batch)
+    epochs = max(epochs, -(-least_steps // per_epoch))
+    step, steps = 0, epochs * per_epoch
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for a in range(0, len(order), batch):
@@ -233,11 +241,35 @@ def training_sample(
     return [t.encode() for t in found.column("text").to_pylist()], found.column("label").to_pylist()
 
 
+def _scores(net: Network, column: pa.Array) -> np.ndarray:
+    data, offsets = text_buffer(column)
+    score = np.zeros(len(offsets) - 1)
+    for first, last in slices(offsets, 1 << 20):
+        texts = offsets[first : last + 1] - offsets[first]
+        score[first:last] = predict(net, data[offsets[first] : offsets[last]], texts)
+    return score
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_text_bytes: int = SAMPLE_TEXT_BYTES,
+    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **training,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches THRESHOLD; see ``score_quality``."""
+    net = fit(*training_sample(docs, labels, sample_rows, sample_text_bytes, id_col, text_col, label_col), **training)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(net, batch.column(at)) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_quality(
     docs: DataFrame,
     labels: DataFrame,
-    sample_rows: int = 6000,
-    sample_text_bytes: int = 32 << 10,
+    sample_rows: int = SAMPLE_ROWS,
+    sample_text_bytes: int = SAMPLE_TEXT_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
@@ -255,11 +287,7 @@ def score_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(batch.column("text"))
-            score = np.zeros(len(offsets) - 1)
-            for first, last in slices(offsets, 1 << 20):
-                texts = offsets[first : last + 1] - offsets[first]
-                score[first:last] = predict(net, data[offsets[first] : offsets[last]], texts)
+            score = _scores(net, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
     scored = id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")

@@ -15,7 +15,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ from exactnn.llm.arrow import (
 from exactnn.llm.components import connected_components
 from exactnn.session import materialize
 
-SHINGLE_WORDS = 4
+#: Words of a shingle by default, and at most.
+SHINGLE_WORDS, MOST_WORDS = 5, 64
 #: A pair at 0.8 shares no key in one of 2 * 10**7 cases: (1 - 0.8**4)**32.
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
@@ -50,26 +51,26 @@ LEFT_CELL, RIGHT_CELL = 512, 1 << 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _FACTORS = seeds(SAMPLES, 11) | np.uint64(1)
-_PLACES = seeds(SHINGLE_WORDS, 12) | np.uint64(1)
+_PLACES = seeds(MOST_WORDS, 12) | np.uint64(1)
 _SAMPLE_SALT = seeds(SAMPLES, 13)
 _BAND_SALT = seeds(BANDS, 14)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct 64-bit hashes of its 4-word shingles.
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles of ``size`` words.
 
     A text of fewer words is one shingle, one without words none.
     """
     data = _LOWER[data]
     starts, ends, counts = whitespace_words(data, offsets)
     words = span_hashes(data, starts, ends)
-    padded = np.concatenate([words, np.zeros(SHINGLE_WORDS, np.uint64)])
-    shingles = sum(padded[i : i + len(words)] * _PLACES[i] for i in range(SHINGLE_WORDS))
-    shingles = mix(shingles + np.uint64(SHINGLE_WORDS)) if len(words) else words
+    padded = np.concatenate([words, np.zeros(size, np.uint64)])
+    shingles = sum(padded[i : i + len(words)] * _PLACES[i] for i in range(size))
+    shingles = mix(shingles + np.uint64(size)) if len(words) else words
     first = np.cumsum(counts) - counts
     for at, n in zip(first.tolist(), counts.tolist(), strict=True):
-        if n >= SHINGLE_WORDS:
-            yield np.unique(shingles[at : at + n - SHINGLE_WORDS + 1])
+        if n >= size:
+            yield np.unique(shingles[at : at + n - size + 1])
         elif n:
             whole = (words[at : at + n] * _PLACES[:n]).sum(dtype=np.uint64) + np.uint64(n)
             yield mix(np.array([whole], np.uint64))
@@ -112,14 +113,14 @@ def most_bits(least: int = LEAST, slack: float = SLACK) -> int:
     return int(np.ceil(bits + slack * np.sqrt(places * places / SKETCH_BITS / 4 + 1)))
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
+def _signatures(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
             size, name, sketch, keys = [], [], [], []
             for first, last in slices(offsets):
                 texts = offsets[first : last + 1] - offsets[first]
-                for own in shingle_sets(data[offsets[first] : offsets[last]], texts):
+                for own in shingle_sets(data[offsets[first] : offsets[last]], texts, words):
                     size.append(len(own))
                     if not len(own):
                         name.append(None), sketch.append(None), keys.append(None)
@@ -265,13 +266,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
             for first, last in slices(offsets):
                 texts = offsets[first : last + 1] - offsets[first]
-                sets = [s.tobytes() for s in shingle_sets(data[offsets[first] : offsets[last]], texts)]
+                sets = [s.tobytes() for s in shingle_sets(data[offsets[first] : offsets[last]], texts, words)]
                 ids = batch.column("doc_id").slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], ["id", "shingles"])
 
@@ -304,18 +305,18 @@ def _cell(parts, *by) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", progress: Callable[[str, DataFrame], None] | None = None
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``.
 
-    Documents are linked if 100 * |intersection| >= 80 * |union| of their sets of 4-word shingles;
-    A-Z are lower-cased. ``component_id`` is the smallest doc_id reachable over links, ``kept``
-    marks it. Null and empty texts and texts without words have no shingles and no links. Rows
+    Documents are linked if 100 * |intersection| >= 80 * |union| of their sets of shingles of
+    ``shingle_words`` words, or the whole text if it has fewer; A-Z are lower-cased.
+    ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks it. Null and empty texts and texts without words have no shingles and no links. Rows
     with a null id are linked with nothing, have a null component and are kept. Rows that share
     an id are compared like others, under one name; of those only one stands for its set.
     """
     rows = id_and_text(docs, id_col, text_col)
-    signed = materialize(_signatures(rows), "signatures")
+    signed = materialize(_signatures(rows, shingle_words), "signatures")
     classes = signed.where("class is not null and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("id"))
     classes = materialize(classes, "classes")
     first = (
@@ -328,7 +329,7 @@ def near_duplicates(
     members = materialize(banded.join(filled, "bucket"), "buckets")
 
     colliding = members.select("id").distinct()
-    sets = materialize(_sets(rows.join(colliding.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")), "sets")
+    sets = materialize(_sets(rows.join(colliding.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), shingle_words), "sets")
     sets = sets.dropDuplicates(["id"])
 
     cells = members.withColumn("cell", _cell(F.ceil(F.col("m") / CELL), "id", "bucket"))

@@ -57,7 +57,7 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return odd_minhash.near_duplicates(_table(spark, sf, "documents"))
+    return odd_minhash.near_duplicates(_table(spark, sf, "documents"), shingle_words=4)
 
 
 def op7_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:

@@ -69,7 +69,7 @@ def test_near_duplicates(spark, odd_docs, monkeypatch, cell, left, right):
     odd = odd_docs.select("doc_id", "text").dropDuplicates(["doc_id"]).where("doc_id is not null and doc_id > 20").limit(60)
     docs = spark.createDataFrame([*list(enumerate(texts, 1000)), (None, texts[0]), (None, None)], "doc_id long, text string").unionByName(odd)
     rows = [tuple(r) for r in docs.collect()]
-    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=4).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=repr) == _plain_near(rows)
 
 
