@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exactnn.llm.arrow import _BYTE_VALUES, mix, powers, ragged, slices, text_buffer
-from exactnn.session import materialize
+from exactnn.session import materialize, parallelism
 
 LENGTH = 400
 #: Bytes of the gram whose least hash in a window is the window's minimizer.
@@ -38,6 +38,9 @@ SEGMENT_WINDOWS = 1024
 #: Content of a block: wanted, and at most before a minimizer is dealt to several.
 BLOCK_BYTES, HOT_BYTES = 1 << 20, 4 << 20
 
+#: Tasks for blocks at most: each pair of a map task and one of them is a shuffle block.
+MAX_TASKS = 10_000
+
 _NULL_ID = -(1 << 63)
 
 
@@ -375,6 +378,7 @@ def repeated_ranges(
 def _search(texts, contents, groups, total: int, length: int, block_bytes: int, hot_bytes: int) -> DataFrame:
     """One row per run of repeated windows of a segment, and one per window of hot minimizers."""
     blocks = max(1, math.ceil(total / block_bytes))
+    tasks = max(parallelism(texts.sparkSession), min(blocks, MAX_TASKS))  # counted, so that none are merged
     hot = F.col("bytes") > hot_bytes
     salt = F.pmod(F.xxhash64("id", "h", "start"), F.ceil(F.col("bytes") / (hot_bytes // 2)))
     block = F.when(hot, F.xxhash64("v", salt)).otherwise(F.pmod(F.xxhash64("v"), F.lit(blocks)))
@@ -387,7 +391,7 @@ def _search(texts, contents, groups, total: int, length: int, block_bytes: int,
     dealt = (
         fetched.join(groups.select("v", "bytes"), "v")
         .select(block.alias("block"), "id", "h", "start", hot.alias("hot"), "content")
-        .repartition("block").sortWithinPartitions("block")
+        .repartition(tasks, "block").sortWithinPartitions("block")
     )
     found = dealt.mapInArrow(_blocks(length), "id long, h long, start long, end long, w1 long, w2 long")
     return materialize(found, "found")
