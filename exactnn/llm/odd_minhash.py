@@ -10,6 +10,9 @@
 * Proposed pairs are confirmed on full shingle sets; confirmed links give components.
 * What is left in a bucket outside its largest component then meets all members of the bucket
   that it is not joined with, in a grid of cells. No link between components is lost to the cells.
+  Few such meetings are returned as pairs and confirmed like the others. Where they are many, as
+  in a large group of copies with stragglers, the full sets go into the cells and only confirmed
+  links leave them, one for each two components.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from exactnn.llm.arrow import (
     id_and_text,
     mix,
+    ragged,
     seeds,
     slices,
     span_hashes,
@@ -47,6 +51,8 @@ SLACK = 6.0
 #: Texts in a cell of the first round, and on either side of a cell of the second.
 CELL = 512
 LEFT_CELL, RIGHT_CELL = 512, 1 << 16
+#: Meetings of a bucket up to which they are returned as pairs.
+FEW_PAIRS = 1000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -163,6 +169,9 @@ class _Texts:
         self.size = table.column("n_shingles").to_numpy()
         raw = b"".join(table.column("sketch").to_pylist())
         self.sketch = np.frombuffer(raw, np.uint64).reshape(len(self.id), -1)
+        self.sets = None
+        if "shingles" in table.column_names:
+            self.sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
         self.keys = None
         if "keys" in table.column_names:
             self.keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
@@ -238,8 +247,11 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the left rows of each cell with its right rows, each pair in its first common band."""
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Texts, _Texts, np.ndarray, np.ndarray]]:
+    """(left, right, i, j): pairs of a cell's left and right rows, each in its first common band.
+
+    A cell's left rows come first and are one object for all of its right batches.
+    """
     limit = most_bits()
     held: list[pa.RecordBatch] = []
     left: _Texts | None = None
@@ -260,10 +272,55 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 earlier = (left.keys[i, :band] == right.keys[j, :band]).any(axis=1)
                 i, j = i[~earlier], j[~earlier]
             if len(i):
-                x, y = left.id[i], right.id[j]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
-                )
+                yield left, right, i, j
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for left, right, i, j in _meetings(batches):
+        x, y = left.id[i], right.id[j]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"]
+        )
+
+
+class _Postings:
+    """The texts of a cell's left side by shingle, to count common shingles with all at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        sizes = np.array([len(s) for s in sets], np.int64)
+        order = np.argsort(every := np.concatenate(sets), kind="stable")
+        self.owner = np.repeat(np.arange(len(sets)), sizes)[order]
+        self.shingles, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
+        self.texts = len(sets)
+
+    def common(self, own: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
+        at = at[self.shingles[at] == own]
+        return np.bincount(self.owner[ragged(self.first[at], self.count[at])], minlength=self.texts)
+
+
+def _linked_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Confirmed links of the meetings, one of each two components in a cell."""
+    current, postings, known = None, None, set()
+    for left, right, i, j in _meetings(batches):
+        if left is not current:
+            current, postings, known = left, _Postings(left.sets), set()
+        found = []
+        order = np.argsort(j, kind="stable")
+        i, j = i[order], j[order]
+        edges = np.flatnonzero(np.append(True, j[1:] != j[:-1])).tolist() + [len(j)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            y, component = int(j[a]), int(right.component[j[a]])
+            rows = [x for x in i[a:b].tolist() if (int(left.component[x]), component) not in known]
+            if not rows:
+                continue
+            common = postings.common(right.sets[y])
+            for x in rows:
+                both = int(common[x])
+                if 100 * both >= LEAST * (int(left.size[x]) + int(right.size[y]) - both):
+                    known.add((int(left.component[x]), component))
+                    found.append((int(left.id[x]), int(right.id[y])))
+        yield _pairs(found)
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -342,9 +399,10 @@ def near_duplicates(
     links = tested.where("linked").select("a", "b")
     joined = connected_components(links)
 
-    rest = _unresolved(members, first, joined)
-    again = rest.mapInArrow(_across, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
+    few, many = _unresolved(members, first, sets, joined)
+    again = few.mapInArrow(_across, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
     more = _confirmed(again, sets).where("linked").select("a", "b")
+    more = materialize(more.union(many.mapInArrow(_linked_across, "a long, b long")).distinct(), "more_links")
     if more.limit(1).count():
         joined = connected_components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
@@ -359,11 +417,14 @@ def near_duplicates(
     )
 
 
-def _unresolved(members: DataFrame, first: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows of the second round, in cell order.
+def _unresolved(
+    members: DataFrame, first: DataFrame, sets: DataFrame, joined: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the second round, in cell order: of buckets of few meetings, and of many with sets.
 
     A bucket of several components: the texts outside its largest one are the left side, dealt to
-    t; all its texts are the right side, dealt to u. Every left text meets every right one once.
+    t; all its texts are the right side, dealt to u. Every left text meets every right one once. A
+    bucket of two texts was settled in the first round.
     """
     known = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "band", "id", F.coalesce("component", "id").alias("component")
@@ -373,8 +434,8 @@ def _unresolved(members: DataFrame, first: DataFrame, joined: DataFrame) -> Data
     open_ = (
         sizes.groupBy("bucket")
         .agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("bucket", "largest", F.ceil((F.col("m") - F.col("most")) / LEFT_CELL).alias("ts"), F.ceil(F.col("m") / RIGHT_CELL).alias("us"))
+        .where("parts > 1 and m > 2")
+        .select("bucket", "largest", ((F.col("m") - F.col("most")) * F.col("m") > FEW_PAIRS).alias("many"), F.ceil((F.col("m") - F.col("most")) / LEFT_CELL).alias("ts"), F.ceil(F.col("m") / RIGHT_CELL).alias("us"))
     )
     rows = known.join(open_, "bucket")
     deal = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
@@ -382,7 +443,12 @@ def _unresolved(members: DataFrame, first: DataFrame, joined: DataFrame) -> Data
         "*", _cell(F.col("ts"), "id", F.lit(1)).alias("t"), deal("us").alias("u"), F.lit(0).alias("side")
     )
     right = rows.select("*", deal("ts").alias("t"), _cell(F.col("us"), "id", F.lit(2)).alias("u"), F.lit(1).alias("side"))
-    both = left.unionByName(right).join(first, "id").select(
-        "bucket", "t", "u", "side", "band", "id", "component", "n_shingles", "sketch", "keys"
-    )
-    return both.repartition("bucket", "t", "u").sortWithinPartitions("bucket", "t", "u", "side")
+    both = left.unionByName(right).select("bucket", "t", "u", "side", "band", "id", "component", "many")
+    both = materialize(both, "open")
+
+    def ordered(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "t", "u").sortWithinPartitions("bucket", "t", "u", "side")
+
+    few = both.where("not many").drop("many").join(first, "id")
+    many = both.where("many").drop("many").join(first, "id").join(sets, "id")
+    return ordered(few), ordered(many)

@@ -56,9 +56,11 @@ def _copies(rng, base, n, most):
     return out
 
 
-@pytest.mark.parametrize("cell, left, right", [(512, 512, 1 << 16), (4, 3, 5)])
-def test_near_duplicates(spark, odd_docs, monkeypatch, cell, left, right):
-    for name, value in (("CELL", cell), ("LEFT_CELL", left), ("RIGHT_CELL", right)):
+@pytest.mark.parametrize(
+    "cell, left, right, few", [(512, 512, 1 << 16, 1 << 20), (4, 3, 5, 1 << 20), (4, 3, 5, 0), (4, 512, 1 << 16, 9)]
+)
+def test_near_duplicates(spark, odd_docs, monkeypatch, cell, left, right, few):
+    for name, value in (("CELL", cell), ("LEFT_CELL", left), ("RIGHT_CELL", right), ("FEW_PAIRS", few)):
         monkeypatch.setattr(M, name, value)
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
