@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What ends a sentence, and what counts as blank at either end of one.
+# What ends a sentence, also where no blank follows, and what counts as blank at either end of one.
 SENTENCE_END = ".!?。！？…"
+WIDE_END = "。！？"
 BLANKS = " \t\n\r\f\v"
 
 DEFAULT_MODEL = "text-embedding-ada-002"
@@ -17,8 +18,12 @@ def _col(c: Column | str) -> Column:
 
 
 def sentences(text: Column | str) -> Column:
-    """Split after an end mark followed by white space; trim; drop empties."""
-    parts = F.split(_col(text), rf"(?<=[{SENTENCE_END}])\s+")
+    """Split after an end mark followed by white space; trim; drop empties.
+
+    After the wide marks, which are written without blanks, any text but a further mark may follow.
+    """
+    wide = rf"(?<=[{WIDE_END}])(?![{SENTENCE_END}\s])"
+    parts = F.split(_col(text), rf"(?<=[{SENTENCE_END}])\s+|{wide}")
     trimmed = F.transform(parts, lambda s: F.btrim(s, F.lit(BLANKS)))
     return F.filter(trimmed, lambda s: F.length(s) > 0)
 

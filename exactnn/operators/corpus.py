@@ -192,10 +192,13 @@ def ingest_stats(
     corpus: DataFrame, vectors: DataFrame, text: str, vector: str = "embedding",
     expected: int | None = None,
 ) -> DataFrame:
-    """Rows, sentences, vectors kept, zero vectors skipped and vectors asked for, in one row.
+    """Rows, sentences, vectors kept, zero vectors skipped, texts whose model call failed, and
+    vectors asked for, in one row.
 
-    ``vectors`` are the embedded sentences before the zero filter.
+    ``vectors`` are the embedded sentences before the zero filter; failed ones, which are zero
+    vectors as well, are those whose column ``embedded`` is false, if there is one.
     """
+    embedded = F.col("embedded") if "embedded" in vectors.columns else F.lit(True)
     none = F.lit(0).cast("long")
     zero = V.is_zero(vector)
     read = corpus.agg(
@@ -203,14 +206,17 @@ def ingest_stats(
         F.coalesce(F.sum(F.size(sentences(text))), none).alias("sentences"),
         none.alias("kept"),
         none.alias("skipped_zero"),
+        none.alias("failed"),
     )
     made = vectors.agg(
         none.alias("source_rows"),
         none.alias("sentences"),
         F.count(F.when(~zero, 1)).alias("kept"),
         F.count(F.when(zero, 1)).alias("skipped_zero"),
+        F.count(F.when(~embedded, 1)).alias("failed"),
     )
-    totals = [F.sum(c).alias(c) for c in ("source_rows", "sentences", "kept", "skipped_zero")]
+    names = ("source_rows", "sentences", "kept", "skipped_zero", "failed")
+    totals = [F.sum(c).alias(c) for c in names]
     return read.unionByName(made).agg(*totals).withColumn(
         "expected", F.lit(expected).cast("long") if expected is not None else F.col("sentences")
     )

@@ -60,37 +60,59 @@ def embed_text(
     chunk: int = MAX_CHUNK,
     output: str = "embedding",
     packed: int = 1,
+    flag: str | None = None,
 ) -> DataFrame:
-    """Add one vector per text. A chunk whose call fails gets zero vectors (dropped later)."""
+    """Add one vector per text. A chunk whose call fails gets zero vectors (dropped later).
+
+    Only a failing call is passed over: a model that returns another number of vectors, or
+    vectors of another width, ends the job. ``flag`` names a boolean column that is false for
+    texts whose call failed; :func:`exactnn.operators.corpus.ingest_stats` counts them.
+    """
     if not 0 < chunk <= MAX_CHUNK:
         raise ValueError(f"chunk must be between 1 and {MAX_CHUNK}")
     if role not in INPUT_TYPES:
         raise ValueError("role must be 'query', 'document' or None")
     width = dim // packed
-    run = _once(_chunked(factory, width, chunk, INPUT_TYPES[role]))
-    return df.withColumn(output, run(model_input(text, model)))
+    function = _chunked(factory, width, chunk, INPUT_TYPES[role], flag is not None)
+    if flag is None:
+        return df.withColumn(output, _once(function)(model_input(text, model)))
+    run = _once(function, "struct<vector array<float>, embedded boolean>")
+    made = df.withColumn("_made", run(model_input(text, model)))
+    return made.withColumns(
+        {output: F.col("_made.vector"), flag: F.col("_made.embedded")}
+    ).drop("_made")
 
 
-def _once(function):
+def _once(function, kind: str = "array<float>"):
     """Not deterministic for the optimizer, which would else copy the call into every filter
     on its result and run the model twice."""
-    return F.arrow_udf(function, "array<float>").asNondeterministic()
+    return F.arrow_udf(function, kind).asNondeterministic()
 
 
-def _chunked(factory: Factory, width: int, chunk: int, input_type: str | None):
+def _chunked(factory: Factory, width: int, chunk: int, input_type: str | None, flagged: bool):
     def embed_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embed = factory()
         for batch in batches:
             texts = batch.to_pylist()
             out = np.zeros((len(texts), width), dtype=np.float32)
+            done = np.ones(len(texts), dtype=bool)
             for at in range(0, len(texts), chunk):
                 part = texts[at:at + chunk]
                 try:
-                    vectors = np.asarray(embed(part, input_type), dtype=np.float32)
-                    out[at:at + len(part)] = vectors.reshape(len(part), width)
+                    vectors = embed(part, input_type)
                 except Exception as problem:  # a failed call must not end the job
-                    _log.warning("no embeddings for %d texts: %s", len(part), problem)
-            yield _lists(out.ravel(), np.arange(len(texts) + 1) * width)
+                    done[at:at + len(part)], last = False, problem
+                    continue
+                vectors = np.asarray(vectors, dtype=np.float32)
+                if vectors.shape != (len(part), width):
+                    raise ValueError(
+                        f"the model returned {vectors.shape} for {len(part)} texts of width {width}"
+                    )
+                out[at:at + len(part)] = vectors
+            if not done.all():
+                _log.warning("no embeddings for %d texts, the last: %s", (~done).sum(), last)
+            lists = _lists(out.ravel(), np.arange(len(texts) + 1) * width)
+            yield pa.StructArray.from_arrays([lists, pa.array(done)], ["vector", "embedded"]) if flagged else lists
 
     return embed_batches
 
@@ -107,13 +129,14 @@ def embed_tokens(
 ) -> DataFrame:
     """One flat array per row: the token vectors of all of its sentences, one after another.
 
-    ``factory`` returns a function from a row's sentences to a (tokens, dim) matrix.
+    ``factory`` returns a function from a row's sentences to a (tokens, dim) matrix. A null text
+    has no sentences and no tokens.
     """
 
     def embed_rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embed = factory()
         for batch in batches:
-            rows = [np.asarray(embed(r), dtype=np.float32).ravel() for r in batch.to_pylist()]
+            rows = [np.asarray(embed(r), dtype=np.float32).ravel() for r in (b or [] for b in batch.to_pylist())]
             offsets = np.cumsum([0, *map(len, rows)])
             yield _lists(np.concatenate([np.zeros(0, np.float32), *rows]), offsets)
 
@@ -177,9 +200,16 @@ def hashing_embedder(dim: int, dtype: str = "float") -> Factory:
 
 
 def hashing_token_embedder(dim: int = 16) -> Callable[[], Callable[[Sequence[str]], np.ndarray]]:
-    """One vector per token: the first ``dim`` bytes of its md5, less 128, at unit length."""
-    if not 0 < dim <= 16:
-        raise ValueError("an md5 digest has 16 bytes")
+    """One vector per token: the first ``dim`` bytes of its md5, less 128, at unit length.
+
+    Beyond 16 bytes the digests of the token with a NUL and 1, 2, ... after it follow.
+    """
+    if dim < 1:
+        raise ValueError("a vector needs a component")
+
+    def digests(token: str) -> bytes:
+        more = (_digest(f"{token}\0{i}") for i in range(1, -(-dim // 16)))
+        return b"".join([_digest(token), *more])[:dim]
 
     def factory():
         known: dict[str, np.ndarray] = {}
@@ -188,7 +218,7 @@ def hashing_token_embedder(dim: int = 16) -> Callable[[], Callable[[Sequence[str
             if token not in known:
                 if len(known) > 1_000_000:
                     known.clear()
-                raw = np.frombuffer(_digest(token)[:dim], np.uint8).astype(np.float64) - 128.0
+                raw = np.frombuffer(digests(token), np.uint8).astype(np.float64) - 128.0
                 known[token] = (raw / np.sqrt((raw * raw).sum() or 1.0)).astype(np.float32)
             return known[token]
 

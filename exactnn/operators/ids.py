@@ -74,12 +74,21 @@ def position_boundary(
     )
 
 
-def up_to(order: Sequence[str], key: Row) -> Column:
-    """Predicate: the row's order key is not after ``key``."""
-    *_, last = order
-    test = F.col(last) <= F.lit(key[last])
-    for name in reversed(order[:-1]):
-        test = (F.col(name) < F.lit(key[name])) | ((F.col(name) == F.lit(key[name])) & test)
+def up_to(order: Sequence[str], key: Row, strictly: bool = False) -> Column:
+    """Predicate, never null: the row's order key is not after ``key``, or before it.
+
+    Nulls come first, as Spark sorts them.
+    """
+    test = None
+    for name in reversed(order):
+        x, bound = F.col(name), key[name]
+        if bound is None:
+            here = x.isNull()
+            test = (here & F.lit(not strictly)) if test is None else here & test
+        elif test is None:
+            test = x.isNull() | ((x < F.lit(bound)) if strictly else (x <= F.lit(bound)))
+        else:
+            test = x.isNull() | (x < F.lit(bound)) | ((x == F.lit(bound)) & test)
     return test
 
 
@@ -88,26 +97,70 @@ def _small_limit(df: DataFrame, n: int) -> bool:
     return n <= TOP_ROWS and size is not None and size <= TOP_BYTES
 
 
+def _with_tie(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a hash of the other columns, by which rows of equal keys are ordered."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map" and f.name not in order]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in plain]) if plain else F.lit(0).cast("long")
+    return df.withColumn("_tie", tie), [*order, "_tie"]
+
+
 def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows under ``order`` (unique, non-null).
+    """The first ``n`` rows under ``order``, exactly ``n`` if there are as many.
 
-    A small ``n`` of a small input is an ordered limit. Otherwise the order key of the n-th row
-    is found first, and the rows are then a filter on the scan: no sort or shuffle of the rows
-    themselves.
+    Nulls come first. Rows of equal keys are ordered by a hash of their other columns, so that
+    both forms give the same rows: a small ``n`` of a small input is an ordered limit; otherwise
+    the key of the n-th row is found first, and the rows are then a filter on the scan, without a
+    sort or shuffle of the rows themselves.
     """
-    if _small_limit(df, n):
-        return df.orderBy(*order).limit(n)
-    boundary = position_boundary(df, order, n)
-    return df if boundary is None else df.where(up_to(order, boundary))
+    return _between(df, order, 0, n)
 
 
 def page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset`` .. ``offset + limit - 1`` under ``order``."""
-    if _small_limit(df, offset + limit):
-        return df.orderBy(*order).offset(offset).limit(limit)
-    indexed = dense_index(df, order, "_idx")
-    wanted = (F.col("_idx") >= offset) & (F.col("_idx") < offset + limit)
-    return indexed.where(wanted).drop("_idx")
+    """Rows ``offset`` .. ``offset + limit - 1`` under ``order``; see :func:`first_n`."""
+    return _between(df, order, offset, offset + limit)
+
+
+def _between(df: DataFrame, order: Sequence[str], low: int, high: int) -> DataFrame:
+    """The rows at positions ``low`` .. ``high - 1``."""
+    tied, keys = _with_tie(df, order)
+    if high <= low:
+        return df.limit(0)
+    if _small_limit(df, high):
+        return tied.orderBy(*keys).offset(low).limit(high - low).drop("_tie")
+    only = materialize(tied.select(*keys), "order_keys")
+    lower = position_boundary(only, keys, low) if low else None
+    if low and lower is None:
+        return df.limit(0)
+    upper = position_boundary(only, keys, high)
+    count = lambda test: only.where(test).count()
+    if lower is not None and lower == upper:  # all rows are copies of one
+        return _some(tied.where(_at(keys, upper)), high - low).drop("_tie")
+    inner, parts = F.lit(True), []
+    if lower is not None:
+        inner = ~up_to(keys, lower)
+        surplus = count(up_to(keys, lower)) - low
+        if surplus:
+            parts.append(_some(tied.where(_at(keys, lower)), surplus))
+    if upper is not None:
+        surplus = count(up_to(keys, upper)) - high
+        inner = inner & up_to(keys, upper, strictly=surplus > 0)
+        if surplus:
+            parts.append(_some(tied.where(_at(keys, upper)), high - count(up_to(keys, upper, True))))
+    out = tied.where(inner)
+    for part in parts:
+        out = out.unionByName(part)
+    return out.drop("_tie")
+
+
+def _at(keys: Sequence[str], key: Row) -> Column:
+    return up_to(keys, key) & ~up_to(keys, key, strictly=True)
+
+
+def _some(copies: DataFrame, n: int) -> DataFrame:
+    """``n`` of rows that are all equal."""
+    if n <= TOP_ROWS:
+        return copies.limit(n)
+    return dense_index(copies, ["_tie"], "_idx").where(F.col("_idx") < n).drop("_idx")
 
 
 def pages(df: DataFrame, order: Sequence[str], rows: int, name: str = "page") -> DataFrame:

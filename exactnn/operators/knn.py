@@ -11,9 +11,13 @@ Two physical forms give the same rows:
     after a count has shown that they, and the running top k that each task holds for them, fit
     ``broadcast_bytes``.
 ``grid``
-    For larger query sets. Queries fall into groups of at most ``broadcast_bytes`` and the base
-    into shards; each (group, shard) cell is one stream, queries first, base after. Only the
-    queries of one group are in memory, the base runs past them. Nothing is broadcast.
+    For larger query sets. Queries fall into groups of at most ``broadcast_bytes``; one group after
+    another runs in the broadcast form and stores its lists. A task reads its split of the base,
+    at most 2 GiB, once for each group, and the base is never shuffled or sorted, whatever the
+    number of queries. One group's broadcast is in memory at a time.
+
+The base is read once for each group and the query side twice, so store either first where it is
+expensive to make, such as vectors that a model is still to compute.
 
 Both ids have to be unique integers. Ids decide every placement by hash, so a task that is run
 again on another executor sees the same rows.
@@ -31,13 +35,14 @@ from pyspark.sql import functions as F
 
 from exactnn.functions.vectors import METRICS
 from exactnn.operators.topk import BlockTopK, drop_surplus_copies, merge_lists, vector_matrix
-from exactnn.session import MIB, parallelism, input_bytes
+from exactnn.session import MAX_PARTITIONS, MIB, input_bytes, materialize, parallelism
 
 LIST_SCHEMA = "query_id long, base_ids array<long>, distances array<double>"
 RESULT_SCHEMA = "query_id long, rank int, base_id long, distance double"
 BLOCK_BYTES = 4 * MIB
 BLOCK_ROWS = 2048
 TASK_BYTES = 2048 * MIB
+PLACE_BYTES, MERGE_BYTES = 16, 256 * MIB  # of a place in a list, and of lists a merge task reads
 ROWS_PER_PLACE = 500  # base rows a task should read for each of the k places it returns
 
 
@@ -68,13 +73,18 @@ def block_rows(dim: int) -> int:
     return max(64, min(BLOCK_ROWS, BLOCK_BYTES // (4 * max(1, dim))))
 
 
-def task_count(base: DataFrame, k: int, dim: int) -> int:
+def task_count(base: DataFrame, k: int, dim: int) -> int | None:
     """One to four base tasks per core, more if a task would read over 2 GiB.
 
+    None where the size of the base is unknown, as of a data source in Python: its tasks are
+    then left as its splits are.
+
     Up to four per core balance the load; but each task returns k places per query however
     little it read, so tasks of few rows for their k are not worth it.
     """
-    cores, size = parallelism(base.sparkSession), input_bytes(base) or 0
+    cores, size = parallelism(base.sparkSession), input_bytes(base)
+    if size is None:
+        return None
     rows = size // (4 * max(1, dim))
     balanced = min(4 * cores, max(cores, rows // (ROWS_PER_PLACE * k)))
     return max(balanced, math.ceil(size / TASK_BYTES))
@@ -85,12 +95,18 @@ def knn_join(
 ) -> DataFrame:
     """k nearest base rows of every query: (query_id, rank, base_id, distance), rank from 0.
 
-    Distances are rounded to 6 decimals and ranked by (distance, base_id). With fewer than k
-    base rows every query gets them all. See :func:`knn_lists` for the options.
+    Distances are full float64 ones, ranked by (distance, base_id); with ``decimals`` they are
+    rounded first and ties rank by id. With fewer than k base rows every query gets them all. See
+    :func:`knn_lists` for the options.
     """
-    lists = knn_lists(query, base, k, metric, **options)
-    together = lists.repartition("query_id").sortWithinPartitions("query_id")
-    return together.mapInArrow(merge_lists(k), RESULT_SCHEMA)
+    size = options.pop("size", None) or measure_queries(query, options.get("vector", "embedding"))
+    lists = knn_lists(query, base, k, metric, size=size, **options)
+    tasks = options.get("base_tasks") or task_count(base, k, size.dim) or 4 * parallelism(base.sparkSession)
+    parts = math.ceil(size.rows * k * tasks * PLACE_BYTES / MERGE_BYTES)
+    default = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [min(parts, MAX_PARTITIONS), "query_id"] if parts > default else ["query_id"]
+    together = lists.repartition(*keys).sortWithinPartitions("query_id")
+    return together.mapInArrow(merge_lists(k, options.get("decimals")), RESULT_SCHEMA)
 
 
 def knn_partials(
@@ -116,6 +132,7 @@ def knn_lists(
     broadcast_bytes: int = 256 * MIB,
     base_tasks: int | None = None,
     size: QuerySize | None = None,
+    decimals: int | None = None,
 ) -> DataFrame:
     """Top k of every query within each base task: (query_id, base_ids, distances).
 
@@ -139,14 +156,17 @@ def knn_lists(
     if strategy == "broadcast":
         if size.bytes(k) > broadcast_bytes:
             raise ValueError("query side exceeds broadcast_bytes; use strategy='grid'")
-        return _broadcast_form(queries, rows, k, metric, size, tasks)
+        return _broadcast_form(queries, rows, k, metric, size, tasks, decimals)
     if strategy == "grid":
-        groups = math.ceil(size.bytes(k) / broadcast_bytes)
-        return _grid_form(queries, rows, k, metric, size, groups, math.ceil(tasks / groups))
+        # hashing spreads the queries of a group by some standard deviations
+        groups = max(1, math.ceil(1.05 * size.bytes(k) / broadcast_bytes))
+        return _grid_form(queries, rows, k, metric, size, groups, tasks, decimals)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _broadcast_form(queries, rows, k, metric, size: QuerySize, tasks: int) -> DataFrame:
+def _broadcast_form(
+    queries, rows, k, metric, size: QuerySize, tasks: int | None, decimals: int | None
+) -> DataFrame:
     dim, per_block = size.dim, block_rows(size.dim)
     blocks = math.ceil(size.rows / per_block)
     query_blocks = (
@@ -154,7 +174,7 @@ def _broadcast_form(queries, rows, k, metric, size: QuerySize, tasks: int) -> Da
         .groupBy("qblock")
         .applyInArrow(_pack_queries(dim), "qblock int, qids binary, qvecs binary")
     )
-    base_packs = rows.coalesce(tasks).mapInArrow(
+    base_packs = (rows.coalesce(tasks) if tasks else rows).mapInArrow(
         _pack_base(dim, k, per_block), "leading boolean, bids binary, bvecs binary"
     )
     # the first pack of a task meets every query block through an equi-join on its number and so
@@ -165,28 +185,24 @@ def _broadcast_form(queries, rows, k, metric, size: QuerySize, tasks: int) -> Da
         F.broadcast(query_blocks), "qblock", "left"
     )
     return paired.select("qblock", "qids", "qvecs", "bids", "bvecs").mapInArrow(
-        _screen_packs(dim, k, metric), LIST_SCHEMA
+        _screen_packs(dim, k, metric, decimals), LIST_SCHEMA
     )
 
 
-def _grid_form(queries, rows, k, metric, size: QuerySize, groups: int, shards: int) -> DataFrame:
-    def bucket(n: int):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = queries.withColumn("qgroup", bucket(groups)).withColumn("shard", every(shards))
-    right = rows.withColumn("shard", bucket(shards)).withColumn("qgroup", every(groups))
-    cell = (F.col("qgroup") * F.lit(shards) + F.col("shard")).alias("cell")
-    cells = left.select(cell, F.lit(False).alias("is_base"), "id", "vec").unionByName(
-        right.select(cell, F.lit(True).alias("is_base"), "id", "vec")
-    )
-    return (
-        cells.repartitionById(groups * shards, F.col("cell"))
-        .sortWithinPartitions("cell", "is_base")
-        .mapInArrow(_stream_cells(size.dim, k, metric, block_rows(size.dim)), LIST_SCHEMA)
-    )
+def _grid_form(
+    queries, rows, k, metric, size: QuerySize, groups: int, tasks: int | None, decimals: int | None
+) -> DataFrame:
+    grouped = queries.withColumn("qgroup", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)))
+    if groups > 1:
+        grouped = materialize(grouped, "queries")
+    found = None
+    for group in range(groups):
+        own = grouped.where(F.col("qgroup") == group).drop("qgroup")
+        part = QuerySize(math.ceil(size.rows / groups), size.dim)
+        lists = _broadcast_form(own, rows, k, metric, part, tasks, decimals)
+        lists = materialize(lists, f"lists-{group}") if groups > 1 else lists
+        found = lists if found is None else found.unionByName(lists)
+    return found
 
 
 def _pack_queries(dim: int):
@@ -218,7 +234,7 @@ def _pack_base(dim: int, k: int, per_block: int):
     return pack
 
 
-def _screen_packs(dim: int, k: int, metric: str):
+def _screen_packs(dim: int, k: int, metric: str, decimals: int | None):
     def array(cell, dtype):
         return np.frombuffer(cell.as_buffer(), dtype)
 
@@ -243,58 +259,10 @@ def _screen_packs(dim: int, k: int, metric: str):
                         array(qvecs[i], np.float32).reshape(-1, dim),
                         k,
                         metric,
+                        decimals,
                     )
                     tops[block].offer(ids, vectors)
         for top in tops.values():
             yield from top.batches()
 
     return screen
-
-
-def _stream_cells(dim: int, k: int, metric: str, per_block: int):
-    def runs(batch):
-        """Stretches of one cell and one side."""
-        cell, side = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (side[1:] != side[:-1])) + 1
-        edges = [0, *cuts.tolist(), len(cell)]
-        for start, end in zip(edges[:-1], edges[1:]):
-            piece = batch.slice(start, end - start)
-            yield cell[start], side[start], piece.column(2).to_numpy(), vector_matrix(
-                piece.column(3), dim
-            )
-
-    def stream(batches):
-        current, waiting, tops = None, [], []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for cell, is_base, ids, vectors in runs(batch):
-                if cell != current:
-                    for top in tops:
-                        yield from top.batches()
-                    current, waiting, tops = cell, [], []
-                if not is_base:
-                    waiting.append((ids.copy(), vectors.copy()))
-                    continue
-                if waiting:
-                    tops = _blocks(waiting, per_block, k, metric)
-                    waiting = []
-                for at in range(0, len(ids), per_block):
-                    kept, rows = drop_surplus_copies(
-                        ids[at:at + per_block], vectors[at:at + per_block], k
-                    )
-                    for top in tops:
-                        top.offer(kept, rows)
-        for top in tops:
-            yield from top.batches()
-
-    return stream
-
-
-def _blocks(waiting, per_block: int, k: int, metric: str) -> list[BlockTopK]:
-    ids = np.concatenate([i for i, _ in waiting])
-    vectors = np.concatenate([v for _, v in waiting])
-    return [
-        BlockTopK(ids[at:at + per_block], vectors[at:at + per_block], k, metric)
-        for at in range(0, len(ids), per_block)
-    ]

@@ -17,6 +17,11 @@ def _count_if(test: Column) -> Column:
     return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("long")
 
 
+def _known(test: Column) -> Column:
+    """``test``, false where it is null."""
+    return F.coalesce(test, F.lit(False))
+
+
 def dimensions(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Smallest and largest dimension over all rows."""
     size = F.size(vector)
@@ -28,38 +33,56 @@ def dimensions(df: DataFrame, vector: str = "embedding") -> DataFrame:
 def dimension_check(
     df: DataFrame, model: str, declared: int, vector: str = "embedding"
 ) -> DataFrame:
-    """Rows whose dimension is not the declared one, allowing for packed output."""
+    """Rows whose dimension is not the declared one, allowing for packed output.
+
+    A null vector is a violation and counted apart as well.
+    """
     ok = dimension_ok(F.lit(model), F.lit(declared), F.size(vector))
-    return df.agg(F.count("*").alias("row_count"), _count_if(~ok).alias("violations"))
+    return df.agg(
+        F.count("*").alias("row_count"),
+        _count_if(~_known(ok)).alias("violations"),
+        _count_if(F.col(vector).isNull()).alias("null_vectors"),
+    )
 
 
 def norm_check(df: DataFrame, tolerance: float = 1e-6, vector: str = "embedding") -> DataFrame:
-    """Rows that are not unit vectors."""
+    """Rows that are not unit vectors; null vectors and those with null components are none."""
+    unit = F.abs(V.norm(vector) - 1.0) < tolerance
     return df.agg(
         F.count("*").alias("row_count"),
-        _count_if(F.abs(V.norm(vector) - 1.0) >= tolerance).alias("violations"),
+        _count_if(~_known(unit)).alias("violations"),
+        _count_if(F.col(vector).isNull()).alias("null_vectors"),
     )
 
 
 def zero_check(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Kept and dropped rows of the zero-vector filter."""
-    zero = V.is_zero(vector)
-    return df.agg(_count_if(~zero).alias("kept"), _count_if(zero).alias("dropped"))
+    """Kept and dropped rows of the zero-vector filter, which drops null vectors too."""
+    zero, absent = V.is_zero(vector), F.col(vector).isNull()
+    return df.agg(
+        _count_if(~absent & ~_known(zero)).alias("kept"),
+        _count_if(~absent & _known(zero)).alias("dropped"),
+        _count_if(absent).alias("null_vectors"),
+    )
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, non-null and null count, smallest and largest value as text."""
-    plain = [
-        (f.name, f.dataType.simpleString())
-        for f in df.schema.fields
-        if f.dataType.typeName() not in ("array", "map", "struct", "binary")
-    ]
+    """One row per column: type, non-null and null count, smallest and largest value as text.
+
+    Of arrays, maps and binary columns the length counts as the value; structs have none.
+    """
+    plain = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
     aggregates = [F.count("*").alias("_rows")]
-    for i, (name, _) in enumerate(plain):
+    for i, field in enumerate(df.schema.fields):
+        kind, value = field.dataType.typeName(), F.col(f"`{field.name}`")
+        measured = {
+            "array": lambda v: F.size(v), "map": lambda v: F.size(v), "binary": lambda v: F.length(v),
+            "struct": lambda v: F.lit(None).cast("string"),
+        }.get(kind, lambda v: v)(value)
+        measured = F.when(value.isNotNull(), measured)
         aggregates += [
-            F.count(name).alias(f"_n{i}"),
-            F.min(name).cast("string").alias(f"_lo{i}"),
-            F.max(name).cast("string").alias(f"_hi{i}"),
+            F.count(value).alias(f"_n{i}"),
+            F.min(measured).cast("string").alias(f"_lo{i}"),
+            F.max(measured).cast("string").alias(f"_hi{i}"),
         ]
     lines = [
         F.struct(
@@ -111,18 +134,29 @@ def gather(
     query_id: str = "query_id",
     base_id: str = "base_id",
     vector: str = "embedding",
+    unknown: bool = False,
 ) -> DataFrame:
     """Put both vectors beside every stored neighbour: adds ``query_vec`` and ``base_vec``.
 
+    A place whose query or base row does not exist is left out, or with ``unknown`` stays with a
+    null vector and is told by ``unknown_query`` and ``unknown_base``.
+
     The base is filtered by the neighbour ids in its scan, so only rows that are some query's
     neighbour are shuffled. A base row that is a neighbour of very many queries is split.
     """
     wanted = materialize(result.select("base_id").distinct(), "neighbour_ids")
-    vectors = base.select(F.col(base_id).alias("base_id"), F.col(vector).alias("base_vec"))
+    how, there = ("left" if unknown else "inner"), F.lit(True)
+    vectors = base.select(
+        F.col(base_id).alias("base_id"), F.col(vector).alias("base_vec"), there.alias("_base")
+    )
     near = keyed_filter(vectors, wanted, "base_id", "base_id")
-    with_base = split_join(result, near, "base_id", "query_id")
-    queries = query.select(F.col(query_id).alias("query_id"), F.col(vector).alias("query_vec"))
-    return with_base.join(queries, "query_id").select(*result.columns, "query_vec", "base_vec")
+    with_base = split_join(result, near, "base_id", "query_id", how)
+    queries = query.select(
+        F.col(query_id).alias("query_id"), F.col(vector).alias("query_vec"), there.alias("_query")
+    )
+    pairs = with_base.join(queries, "query_id", how)
+    flags = [F.col(f"_{s}").isNull().alias(f"unknown_{s}") for s in ("query", "base")]
+    return pairs.select(*result.columns, "query_vec", "base_vec", *(flags if unknown else ()))
 
 
 def recomputed(
@@ -135,18 +169,36 @@ def recomputed(
     **columns,
 ) -> DataFrame:
     """Every stored neighbour with its recomputed distance, the similarity behind the stored
-    one, whether both agree, and whether the query is a zero vector."""
-    pairs = gather(result, query, base, **columns)
+    one, whether both agree, whether the query is a zero vector, whether either row does not
+    exist, and whether the list has the base row at an earlier place."""
+    pairs = gather(result, query, base, unknown=True, **columns)
     exact = V.distance("query_vec", "base_vec", metric)
     return pairs.select(
         *result.columns,
         exact.alias("exact"),
         V.to_similarity("distance", metric).alias("similarity"),
-        V.is_close(exact, "distance", rtol, atol).alias("agrees"),
-        V.is_zero("query_vec").alias("zero_query"),
+        _known(V.is_close(exact, "distance", rtol, atol)).alias("agrees"),
+        _known(V.is_zero("query_vec")).alias("zero_query"),
+        "unknown_query", "unknown_base", _repeated().alias("repeated_base"),
     )
 
 
+def _repeated() -> Column:
+    same = Window.partitionBy("query_id", "base_id").orderBy("rank")
+    return F.row_number().over(same) > 1
+
+
+def _counters(agrees: Column, zero: Column) -> list[Column]:
+    """What a validation counts: every stored place is ``checked``."""
+    unknown = F.col("unknown_query") | F.col("unknown_base")
+    return [
+        F.count("*").alias("checked"),
+        _count_if(~agrees & ~zero & ~unknown).alias("mismatches"),
+        F.count_distinct(F.when(zero, F.col("query_id"))).alias("zero_queries"),
+        *[_count_if(F.col(c)).alias(c) for c in ("unknown_query", "unknown_base", "repeated_base")],
+    ]
+
+
 def validate(
     result: DataFrame,
     query: DataFrame,
@@ -158,14 +210,11 @@ def validate(
 ) -> DataFrame:
     """Recompute every stored distance and count the mismatches; zero queries are skipped.
 
-    The default absolute tolerance is the step to which stored distances are rounded.
+    Places that name a row that does not exist, and places that repeat a base row of their list,
+    are counted apart. The default absolute tolerance also fits distances of 6 decimals.
     """
     checked = recomputed(result, query, base, metric, rtol, atol, **columns)
-    return checked.agg(
-        F.count("*").alias("checked"),
-        _count_if(~F.col("agrees") & ~F.col("zero_query")).alias("mismatches"),
-        F.count_distinct(F.when(F.col("zero_query"), F.col("query_id"))).alias("zero_queries"),
-    )
+    return checked.agg(*_counters(F.col("agrees"), F.col("zero_query")))
 
 
 def validate_similarity(
@@ -177,15 +226,12 @@ def validate_similarity(
     **columns,
 ) -> DataFrame:
     """The half-distance check for squared L2 on unit vectors: 1 - dot against distance / 2."""
-    pairs = gather(result, query, base, **columns)
+    pairs = gather(result, query, base, unknown=True, **columns)
     gap = 1.0 - V.dot("query_vec", "base_vec")
-    close = V.is_close(gap, F.col("distance") / 2.0, rtol, atol)
-    zero = V.is_zero("query_vec")
-    return pairs.agg(
-        F.count("*").alias("checked"),
-        _count_if(~close & ~zero).alias("mismatches"),
-        F.count_distinct(F.when(zero, F.col("query_id"))).alias("zero_queries"),
-    )
+    close = _known(V.is_close(gap, F.col("distance") / 2.0, rtol, atol))
+    zero = _known(V.is_zero("query_vec"))
+    flagged = pairs.withColumns({"repeated_base": _repeated(), "_close": close, "_zero": zero})
+    return flagged.agg(*_counters(F.col("_close"), F.col("_zero")))
 
 
 def recheck(
@@ -209,7 +255,7 @@ def recheck(
     by_rank = Window.partitionBy("query_id").orderBy("rank")
     checked = recomputed(result, query, base, metric, 1e-5, atol, **names)
     flagged = checked.withColumn("_before", F.lag("distance").over(by_rank))
-    wrong = ~F.col("agrees") | (F.col("distance") < F.col("_before"))
+    wrong = ~F.col("agrees") | _known(F.col("distance") < F.col("_before")) | F.col("repeated_base")
     failing = materialize(
         flagged.where(wrong & ~F.col("zero_query")).select("query_id").distinct(), "failing"
     )

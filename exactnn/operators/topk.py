@@ -3,8 +3,9 @@
 Each batch of base vectors goes through two steps. A float32 matrix product screens it: a pair
 survives if its score could still enter the query's current top k, given the worst rounding a
 float32 dot product of that length can have. The few survivors are then measured in float64 on
-the original components, rounded, and ranked by (distance, base_id). The screen only ever lets
-too much through, so the result is that of full float64 evaluation.
+the original components and ranked by (distance, base_id), on the full float64 distance unless
+``decimals`` asks for rounded ones. The screen only ever lets too much through, so the result is
+that of full float64 evaluation.
 """
 
 from __future__ import annotations
@@ -12,8 +13,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-DECIMALS = 6
-_SCALE = 10.0**DECIMALS
 _NO_ID = np.iinfo(np.int64).max
 _UNIT = 2.0**-24  # rounding unit of float32
 _MAX_NORM = 1e18  # products and squares up to here are finite in float32
@@ -65,14 +64,19 @@ def _place_in_run(sorted_keys: np.ndarray) -> np.ndarray:
     return np.arange(n) - np.repeat(starts, np.diff(np.r_[starts, n]))
 
 
-def ranked(rows: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Order by (row, distance, id), for rounded distances and small row numbers.
+def ranked(
+    rows: np.ndarray, dist: np.ndarray, ids: np.ndarray, decimals: int | None = None
+) -> np.ndarray:
+    """Order by (row, distance, id).
 
-    Row and distance fit one integer in nearly all cases, and so do the run of equal ones and
-    the id; sorting integers is many times faster than sorting by three keys.
+    Of distances rounded to ``decimals``, row and distance fit one integer in nearly all cases,
+    and so do the run of equal ones and the id; sorting integers is many times faster than
+    sorting by three keys.
     """
+    if decimals is None:
+        return np.lexsort((ids, dist, rows))
     unfilled = ~np.isfinite(dist)
-    steps = np.rint(np.where(unfilled, 0.0, dist) * _SCALE)
+    steps = np.rint(np.where(unfilled, 0.0, dist) * 10.0**decimals)
     if not _fits(np.abs(steps)) or (len(rows) and rows.max() >= _KEY_RUNS):
         return np.lexsort((ids, dist, rows))
     steps = np.where(unfilled, _KEY_LIMIT, steps.astype(np.int64))
@@ -115,7 +119,11 @@ class BlockTopK:
     is the bar for new ones, which lets a few more through and loses none.
     """
 
-    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str):
+    def __init__(
+        self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str,
+        decimals: int | None = None,
+    ):
+        self.decimals = decimals
         # copies: the arguments are views of an Arrow batch that should not stay in memory
         self.query_ids, self.k, self.metric = query_ids.copy(), k, metric
         self.queries = np.array(queries, dtype=np.float32)
@@ -168,8 +176,9 @@ class BlockTopK:
         if unfilled.any() and score.shape[1] > self.k:
             kth = np.partition(score[unfilled], self.k - 1, axis=1)[:, self.k - 1]
             known[unfilled] = kth + 2 * slack[unfilled]
-        # one rounding step of the distance and of the float32 comparison on top
-        known = known + 1.0 / _SCALE
+        # one rounding step of the distance, if any, and of the float32 comparison on top
+        if self.decimals is not None:
+            known = known + 10.0**-self.decimals
         known = (known + np.abs(known) * 2 * _UNIT).astype(np.float32)
         return np.nextafter(known, np.float32(np.inf))
 
@@ -190,7 +199,10 @@ class BlockTopK:
             exact = np.divide(exact, scale, out=np.zeros_like(exact), where=scale > 0)
         if self.metric != "sqeuclidean":
             exact = 1.0 - exact
-        return np.floor(exact * _SCALE + 0.5) / _SCALE + 0.0
+        if self.decimals is None:
+            return exact + 0.0
+        scale = 10.0**self.decimals
+        return np.floor(exact * scale + 0.5) / scale + 0.0
 
     def _admit(self, rows: np.ndarray, ids: np.ndarray, dist: np.ndarray) -> None:
         last_d, last_id = self.dist[rows, -1], self.ids[rows, -1]
@@ -210,7 +222,7 @@ class BlockTopK:
         all_rows = np.concatenate([np.repeat(touched, self.k), rows])
         all_ids = np.concatenate([self.ids[touched].ravel(), ids])
         all_dist = np.concatenate([self.dist[touched].ravel(), dist])
-        order = ranked(all_rows, all_dist, all_ids)
+        order = ranked(all_rows, all_dist, all_ids, self.decimals)
         keep = order[_place_in_run(all_rows[order]) < self.k]
         self.ids[touched] = all_ids[keep].reshape(len(touched), self.k)
         self.dist[touched] = all_dist[keep].reshape(len(touched), self.k)
@@ -233,7 +245,7 @@ class BlockTopK:
             )
 
 
-def merge_lists(k: int):
+def merge_lists(k: int, decimals: int | None = None):
     """Rank the lists of each query; the stream has the rows of one query side by side.
 
     The last query of a batch may go on in the next one, so its best k are carried over.
@@ -242,7 +254,7 @@ def merge_lists(k: int):
     def best(queries, ids, dist):
         # the stream is sorted by query, so its queries can be numbered as they come
         number = np.cumsum(np.r_[0, queries[1:] != queries[:-1]])
-        order = ranked(number, dist, ids)
+        order = ranked(number, dist, ids, decimals)
         place = _place_in_run(queries[order])
         keep = place < k
         order = order[keep]

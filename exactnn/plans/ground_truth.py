@@ -1,7 +1,9 @@
 """End-to-end jobs: sentence and token ground truths.
 
 Each stage writes its table and the next one reads it, so a job that was stopped goes on from
-the last finished table, and no embedding or distance is computed twice.
+the last finished table, and no embedding or distance is computed twice. Beside each output
+stands a stamp of the parameters and tables it was made from, written last: an output without it,
+or with another one, is made anew.
 """
 
 from __future__ import annotations
@@ -9,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +19,9 @@ from exactnn.operators import corpus as C
 from exactnn.operators import quality as Q
 from exactnn.operators.embed import embed_text, embedder_for
 from exactnn.operators.knn import knn_join
-from exactnn.sources.bundle import export
+from exactnn.sources.bundle import check_positions, export
 from exactnn.sources.naming import Naming
-from exactnn.sources.tables import write_vectors
+from exactnn.sources.tables import is_stamped, set_stamp, stamp_of, write_vectors
 
 
 @dataclass(frozen=True)
@@ -43,13 +44,12 @@ class GroundTruth:
     checks: DataFrame | None = None
 
 
-def _stored(spark: SparkSession, make, path: str) -> DataFrame:
-    """The table at ``path``, made first where it does not exist or has no committed file."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+def _stored(spark: SparkSession, make, path: str, stamp: str) -> DataFrame:
+    """The table at ``path``, made first where it is not a finished one of this ``stamp``."""
+    if not is_stamped(spark, path, stamp):
         write_vectors(make(), path, mode="overwrite")
-        return spark.read.parquet(path)
+        set_stamp(spark, path, stamp)
+    return spark.read.parquet(path)
 
 
 def _long(counters: DataFrame) -> DataFrame:
@@ -81,7 +81,8 @@ def sentence_ground_truth(
     first ``base_count``, those with a title of the query side first.
     """
     factory, dim = embedder_for(model, output_dimension, output_dtype or "float")
-    names = Naming(root, model, dim, query_count, base_count, k, output_dtype)
+    check_positions(base_count)
+    names = Naming(root, model, dim, query_count, base_count, k, output_dtype, metric)
     packed = PACKED_DIMENSIONS.get(model, 1) if output_dtype in ("binary", "ubinary") else 1
 
     def embedder(role: str):
@@ -96,6 +97,7 @@ def sentence_ground_truth(
             query.table, embedder("query"), query_count, query.text, query.order, query.title
         ),
         names.query_table,
+        query_stamp := _made_from(query, model=model, dim=dim, n=query_count, dtype=output_dtype),
     )
 
     def make_base() -> DataFrame:
@@ -107,9 +109,21 @@ def sentence_ground_truth(
             base.title or "title",
         )
 
-    bases = _stored(spark, make_base, names.base_table)
+    base_stamp = _made_from(
+        base, model=model, dim=dim, n=base_count, dtype=output_dtype,
+        titles=query_stamp if query.title and base.title else None,
+    )
+    bases = _stored(spark, make_base, names.base_table, base_stamp)
     return _finish(
-        spark, queries, bases, names, metric, bundle, validate, single_file, knn_options or {}
+        spark, queries, bases, names, metric, bundle, validate, single_file, knn_options or {},
+        [query_stamp, base_stamp],
+    )
+
+
+def _made_from(corpus: Corpus, **parameters) -> str:
+    return stamp_of(
+        table=corpus.table, text=corpus.text, order=list(corpus.order), title=corpus.title,
+        **parameters,
     )
 
 
@@ -132,17 +146,23 @@ def token_ground_truth(
     knn_options: dict | None = None,
 ) -> GroundTruth:
     """The same for one vector per token; titles play no part."""
-    names = Naming(root, model, dim, query_tokens, base_tokens, k)
+    check_positions(base_tokens)
+    names = Naming(root, model, dim, query_tokens, base_tokens, k, metric=metric)
+    stamps = [
+        _made_from(side, model=model, dim=dim, n=n, tokens=True)
+        for side, n in ((query, query_tokens), (base, base_tokens))
+    ]
     queries = _stored(
         spark, lambda: token_vectors(query, token_factory, dim, query_tokens, "query_id"),
-        names.query_table,
+        names.query_table, stamps[0],
     )
     bases = _stored(
         spark, lambda: token_vectors(base, token_factory, dim, base_tokens, "base_id"),
-        names.base_table,
+        names.base_table, stamps[1],
     )
     return _finish(
-        spark, queries, bases, names, metric, bundle, validate, single_file, knn_options or {}
+        spark, queries, bases, names, metric, bundle, validate, single_file, knn_options or {},
+        stamps,
     )
 
 
@@ -156,16 +176,20 @@ def token_vectors(
 
 
 def _finish(
-    spark, queries, bases, names: Naming, metric, bundle, validate, single_file, knn_options
+    spark, queries, bases, names: Naming, metric, bundle, validate, single_file, knn_options, stamps
 ) -> GroundTruth:
     base_rows = bases.count()
     result = _stored(
         spark,
         lambda: knn_join(queries, bases, names.k, metric, **knn_options),
         names.result_table,
+        stamp := stamp_of(
+            sides=stamps, k=names.k, metric=metric, decimals=knn_options.get("decimals"),
+        ),
     )
     manifest = export(
-        spark, names, result, queries, bases, base_rows, bundle=bundle, single_file=single_file
+        spark, names, result, queries, bases, base_rows, bundle=bundle, single_file=single_file,
+        stamp=stamp_of(result=stamp, single_file=single_file),
     )
     checks = None
     if validate:

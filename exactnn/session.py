@@ -87,7 +87,10 @@ def range_partitioned(df: DataFrame, order: Sequence[str]) -> DataFrame:
     for every pair of a map task and a partition. Larger partitions sort with spilling.
     """
     spark = df.sparkSession
-    wanted = min(MAX_PARTITIONS, math.ceil((input_bytes(df) or 0) / PARTITION_BYTES))
+    size = input_bytes(df)
+    # an input of unknown size keeps at least as many partitions as its splits
+    wanted = df.rdd.getNumPartitions() if size is None else math.ceil(size / PARTITION_BYTES)
+    wanted = min(MAX_PARTITIONS, wanted)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         ranged = df.repartitionByRange(wanted, *order)
     else:

@@ -9,6 +9,7 @@ from exactnn.functions.vectors import cast_field
 from exactnn.operators.ranking import as_arrays
 from exactnn.session import materialize
 from exactnn.sources.naming import Naming
+from exactnn.sources.tables import is_stamped, set_stamp
 from exactnn.sources.xvec import count_vectors, exists, write_xvec
 
 # The part names of a bundle.
@@ -34,8 +35,10 @@ def parts_of(
     }
 
 
-def write_bundle(parts: dict[str, DataFrame], path: str, dtype: str | None = None) -> None:
-    """One Parquet table per part; a part that exists is kept.
+def write_bundle(
+    parts: dict[str, DataFrame], path: str, dtype: str | None = None, mode: str = "error"
+) -> None:
+    """One Parquet table per part; a part that exists is an error unless ``mode`` says otherwise.
 
     ``dtype`` is the type of the two vector parts, noted with its encoding in the field metadata.
     """
@@ -43,7 +46,7 @@ def write_bundle(parts: dict[str, DataFrame], path: str, dtype: str | None = Non
         df = parts[name]
         if dtype and name in ("train", "test"):
             df = df.select("idx", cast_field("vector", dtype, "vector"))
-        df.write.mode("ignore").parquet(f"{path}/{name}")
+        df.write.mode(mode).parquet(f"{path}/{name}")
 
 
 def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -66,6 +69,12 @@ def bundle_manifest(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def check_positions(base_rows: int) -> None:
+    """Raise for a base whose positions an ivec cannot hold."""
+    if base_rows > MAX_POSITION:
+        raise ValueError("an ivec holds 32-bit positions; the base has too many rows")
+
+
 def export(
     spark: SparkSession,
     names: Naming,
@@ -75,10 +84,13 @@ def export(
     base_rows: int,
     bundle: bool = True,
     single_file: bool = False,
+    stamp: str = "",
 ) -> DataFrame:
-    """Write all outputs of a ground truth; what exists is kept. Returns (part, row_count, dim)."""
-    if base_rows > MAX_POSITION:
-        raise ValueError("an ivec holds 32-bit positions; the base has too many rows")
+    """Write all outputs of a ground truth. Returns (part, row_count, dim).
+
+    An output that was finished from what ``stamp`` says is kept, any other is written anew.
+    """
+    check_positions(base_rows)
     parts = parts_of(result, query, base)
     files = {
         "test": (names.query_vectors, "fvec"),
@@ -88,10 +100,12 @@ def export(
     }
     manifest = None
     for name, (path, kind) in files.items():
-        if not exists(path):
+        if not (exists(path) and is_stamped(spark, path, stamp)):
             write_xvec(parts[name], path, kind, single_file=single_file)
+            set_stamp(spark, path, stamp)
         size = count_vectors(spark, path, kind).select(F.lit(name).alias("part"), "row_count", "dim")
         manifest = size if manifest is None else manifest.unionByName(size)
-    if bundle:
-        write_bundle(parts, names.bundle, names.dtype)
+    if bundle and not is_stamped(spark, names.bundle, stamp):
+        write_bundle(parts, names.bundle, names.dtype, mode="overwrite")
+        set_stamp(spark, names.bundle, stamp)
     return manifest

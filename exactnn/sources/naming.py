@@ -1,4 +1,8 @@
-"""Output names by model, dimension, type, counts and k."""
+"""Output names by model, dimension, type, counts, k and metric.
+
+Fixed values: the patterns of the file names, which other tools look for. They have no metric; one
+other than the usual squared L2 is added to them.
+"""
 
 from __future__ import annotations
 
@@ -22,6 +26,7 @@ class Naming:
     base_count: int
     k: int
     dtype: str | None = None
+    metric: str = "sqeuclidean"
 
     @property
     def home(self) -> str:
@@ -43,7 +48,7 @@ class Naming:
     @property
     def result_table(self) -> str:
         """Long neighbour table."""
-        return f"{self.home}/neighbours.parquet"
+        return f"{self._stem()}_neighbours_{self._sizes()}.parquet"
 
     @property
     def query_vectors(self) -> str:
@@ -54,7 +59,10 @@ class Naming:
         return f"{self._stem()}_base_vectors_{self.base_count}.fvec"
 
     def _sizes(self) -> str:
-        return f"b{self.base_count}_q{self.query_count}_k{self.k}"
+        return f"b{self.base_count}_q{self.query_count}_k{self.k}{self._metric()}"
+
+    def _metric(self) -> str:
+        return "" if self.metric == "sqeuclidean" else f"_{self.metric}"
 
     @property
     def indices(self) -> str:
@@ -66,7 +74,7 @@ class Naming:
 
     @property
     def bundle(self) -> str:
-        return f"{self._stem()}_base_{self.base_count}_query_{self.query_count}_k{self.k}.bundle"
+        return f"{self._stem()}_base_{self.base_count}_query_{self.query_count}_k{self.k}{self._metric()}.bundle"
 
     def partial(self, kind: str, block: int | None = None) -> str:
         """Block files of an older run (``kind`` is indices or distances); None is the final."""

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,9 +76,9 @@ def write_vectors(
     path: str,
     columns: Sequence[str] | None = None,
     rows_per_file: int | None = None,
-    mode: str = "ignore",
+    mode: str = "error",
 ) -> None:
-    """Write a table; an existing one is kept unless ``mode`` says otherwise."""
+    """Write a table; one that exists is an error unless ``mode`` says otherwise."""
     out = df if columns is None else df.select(*columns)
     writer = out.write.mode(mode)
     if rows_per_file:
@@ -83,6 +86,32 @@ def write_vectors(
     writer.parquet(path)
 
 
+def stamp_of(**parameters) -> str:
+    """What a stored output was made from, as text: parameters, and tables by schema and files."""
+    def plain(value):
+        if isinstance(value, DataFrame):
+            files = hashlib.sha256("\n".join(sorted(value.inputFiles())).encode()).hexdigest()
+            return [value.schema.simpleString(), files]
+        return repr(value) if not isinstance(value, (str, int, float, type(None))) else value
+
+    return json.dumps({name: plain(v) for name, v in sorted(parameters.items())})
+
+
+def is_stamped(spark: SparkSession, path: str, stamp: str) -> bool:
+    """Whether the output at ``path`` was finished, from what ``stamp`` says."""
+    try:
+        found = spark.read.schema("stamp string").parquet(f"{path}.stamp").first()
+    except AnalysisException:
+        return False
+    return found is not None and found.stamp == stamp
+
+
+def set_stamp(spark: SparkSession, path: str, stamp: str) -> None:
+    """Note, once the output at ``path`` is finished, what it was made from."""
+    one = spark.createDataFrame([(stamp,)], "stamp string").coalesce(1)
+    one.write.mode("overwrite").parquet(f"{path}.stamp")
+
+
 def read_blocks(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """Positional block files ``<kind><number>.parquet`` with ``block_id`` and ``query_id``.
 

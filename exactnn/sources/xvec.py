@@ -40,6 +40,7 @@ FORMATS = {
 }
 SPLIT_BYTES = 128 * MIB
 READ_BYTES = 8 * MIB
+DONE = "_SUCCESS"  # marks a folder whose parts are complete
 MAX_SPLITS = 50_000  # bounds the list of splits the driver plans
 
 
@@ -131,6 +132,7 @@ class Written(WriterCommitMessage):
     temporary: str
     rows: int
     dim: int
+    powers: tuple[int, ...] = ()  # sums of idx, its square and its cube
 
 
 class XvecWriter(DataSourceArrowWriter):
@@ -154,11 +156,15 @@ class XvecWriter(DataSourceArrowWriter):
         number, attempt = context.partitionId(), context.taskAttemptId()
         rows, dim = 0, 0
         if self.single:
+            powers = [0, 0, 0]
             for records, idx in self._records(batches):
                 dim = self._same(dim, records.shape[1] - 1)
                 self._place(records, idx)
                 rows += len(records)
-            return Written(number, "", rows, dim)
+                places = idx.tolist()
+                for i in range(3):
+                    powers[i] += sum(x ** (i + 1) for x in places)
+            return Written(number, "", rows, dim, tuple(powers))
         system, root = open_path(self._temporary())
         system.create_dir(root, recursive=True)
         name = f"{root}/part-{number:08d}-{attempt}.{self.kind}"
@@ -205,7 +211,6 @@ class XvecWriter(DataSourceArrowWriter):
                 while data:
                     done = os.pwrite(handle, data, offset)
                     data, offset = data[done:], offset + done
-            os.fsync(handle)
         finally:
             os.close(handle)
 
@@ -221,8 +226,10 @@ class XvecWriter(DataSourceArrowWriter):
             if not done:
                 system.open_output_stream(path).close()
                 return
-            expected = sum(m.rows for m in done) * 4 * (1 + done[0].dim)
-            if system.get_file_info(temporary).size != expected:
+            rows = sum(m.rows for m in done)
+            found = tuple(map(sum, zip(*(m.powers for m in done))))
+            whole = system.get_file_info(temporary).size == rows * 4 * (1 + done[0].dim)
+            if not whole or found != _power_sums(rows):
                 raise ValueError("idx is not dense from 0")
             system.move(temporary, path)
             return
@@ -230,11 +237,19 @@ class XvecWriter(DataSourceArrowWriter):
         for place, message in enumerate(done):
             system.move(message.temporary, f"{path}/part-{place:08d}.{self.kind}")
         _clear(system, temporary)
+        with system.open_output_stream(f"{path}/{DONE}") as mark:  # last: all parts are in place
+            mark.write(b"")
 
     def abort(self, messages: list[Written | None]) -> None:
         _clear(*open_path(self._temporary()))
 
 
+def _power_sums(n: int) -> tuple[int, int, int]:
+    """Sums of i, i**2 and i**3 for i below ``n``, which repeats and holes together do not keep."""
+    first = n * (n - 1) // 2
+    return first, n * (n - 1) * (2 * n - 1) // 6, first * first
+
+
 def _clear(system: fs.FileSystem, path: str) -> None:
     kind = system.get_file_info(path).type
     if kind == fs.FileType.File:
@@ -309,10 +324,12 @@ def write_xvec(
 
 
 def exists(path: str) -> bool:
-    """True for a non-empty file or any folder."""
+    """True for a non-empty file, or a folder whose writing was finished."""
     system, local = open_path(path)
     info = system.get_file_info(local)
-    return info.type == fs.FileType.Directory or (info.type == fs.FileType.File and info.size > 0)
+    if info.type == fs.FileType.Directory:
+        return system.get_file_info(f"{local}/{DONE}").type == fs.FileType.File
+    return info.type == fs.FileType.File and info.size > 0
 
 
 def count_vectors(spark: SparkSession, path: str, kind: str = "fvec") -> DataFrame:

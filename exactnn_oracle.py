@@ -56,8 +56,9 @@ def components(source: str, keys: str, vector: str = "v") -> str:
 
 BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
 SPLIT = (
-    "list_filter(list_transform(string_split(regexp_replace(text, '([.!?。！？…])\\s+',"
-    " concat('\\1', chr(1)), 'g'), chr(1)), "
+    "list_filter(list_transform(string_split(regexp_replace(regexp_replace(text,"
+    " '([.!?。！？…])\\s+', concat('\\1', chr(1)), 'g'), '([。！？])([^.!?。！？…\\s])',"
+    " concat('\\1', chr(1), '\\2'), 'g'), chr(1)), "
     f"lambda s: trim(s, {BLANKS})), lambda s: length(s) > 0)"
 )
 
@@ -124,6 +125,7 @@ BASE_CORPUS = (
     "select doc_id, case when lang <> 'es' then concat(source, ' ', lang) end as title, text"
     " from documents"
 )
+ALL_TITLED = BASE_CORPUS.replace("source, ' ', lang", "source, '_', lang")
 TITLES = f"select distinct replace(title, '_', ' ') as title from ({QUERY_CORPUS})"
 MATCHED = (
     "exists (select 1 from titles t where t.title is not distinct from d.title) as matched"
@@ -152,18 +154,31 @@ def truth_query(n: int) -> str:
     return numbered(QUERY_SENTENCES, "doc_id, sent_idx", "query_id", n)
 
 
+# all documents as queries, for what is no matter of a small query side
+ALL_SENTENCES = hashed(
+    sentences(f"select doc_id, replace(title, '_', ' ') as title, text from ({ALL_TITLED})",
+              "doc_id, title"),
+    "doc_id, title, sent_idx",
+)
+
+
 def truth_base(n: int, titles: str = TITLES) -> str:
     flagged = f"with titles as ({titles}) select d.*, {MATCHED} from ({BASE_CORPUS}) d"
     rows = hashed(sentences(flagged, "doc_id, title, matched"), "doc_id, title, matched, sent_idx")
     return numbered(rows, "(not matched)::INT, doc_id, sent_idx", "base_id", n)
 
 
-# the end-to-end job takes the titles from the first N query vectors
+def truth(queries: int, bases: int, metric: str) -> str:
+    """The end-to-end job: titles come from the first query vectors."""
+    titles = f"select distinct title from ({truth_query(queries)})"
+    return knn(
+        f"select query_id as id, v from ({truth_query(queries)})",
+        f"select base_id as id, v from ({truth_base(bases, titles)})", 10, metric,
+    )
+
+
+E2E = truth(400, 10000, "sqeuclidean")
 E2E_TITLES = f"select distinct title from ({truth_query(400)})"
-E2E = knn(
-    f"select query_id as id, v from ({truth_query(400)})",
-    f"select base_id as id, v from ({truth_base(10000, E2E_TITLES)})", 10, "sqeuclidean",
-)
 
 ITEM_SENTENCES = hashed(sentences("select item_id, text from benchmark", "item_id"),
                         "item_id, sent_idx")
@@ -201,6 +216,21 @@ def counted(test: str) -> str:
     return f"coalesce(sum(case when {test} then 1 else 0 end), 0)::BIGINT"
 
 
+def validated(result: str, ok: str, zero: str = "false") -> str:
+    """Counters of a validation; ``ok`` and ``zero`` speak of r(esult), q(uery) and b(ase)."""
+    return f"""
+    select count(*) as checked,
+           {counted('not coalesce(ok, false) and not zero and not uq and not ub')} as mismatches,
+           count(distinct case when zero then query_id end) as zero_queries,
+           {counted('uq')} as unknown_query, {counted('ub')} as unknown_base,
+           {counted('place > 1')} as repeated_base
+    from (select r.query_id, {ok} as ok, coalesce({zero}, false) as zero, q.vec_id is null as uq,
+                 b.vec_id is null as ub,
+                 row_number() over (partition by r.query_id, r.base_id order by r.rank) as place
+          from ({result}) r left join ({VECTORS}) q on q.vec_id = r.query_id
+          left join ({VECTORS}) b on b.vec_id = r.base_id)"""
+
+
 # The models that labels 0 to 9 stand for, with the dimension declared for each.
 LABEL_MODELS = [
     ("text-embedding-ada-002", 1536), ("text-embedding-3-small", 1536),
@@ -214,18 +244,55 @@ _MODEL_ROWS = ", ".join(f"({i}, '{m}', {d})" for i, (m, d) in enumerate(LABEL_MO
 WIDE = ", ".join(f"embedding[{i + 1}]::DOUBLE as embedding_{i}" for i in range(DIM))
 
 
-def profile_line(name: str, kind: str) -> str:
+def profile_line(name: str, kind: str, table: str = "documents") -> str:
+    value = f"len({name})" if "array" in kind else name
     return (
         f"select '{name}' as column_name, '{kind}' as column_type, count({name}) as value_count,"
-        f" count(*) - count({name}) as null_count, min({name})::VARCHAR as min_value,"
-        f" max({name})::VARCHAR as max_value from documents"
+        f" count(*) - count({name}) as null_count, min({value})::VARCHAR as min_value,"
+        f" max({value})::VARCHAR as max_value from {table}"
     )
 
 
-E2E_PARTS = """
-select 'test' as part, 400::BIGINT as row_count, 64::INTEGER as dim
-union all select 'train', 10000, 64 union all select 'neighbors', 400, 10
-union all select 'distances', 400, 10"""
+E2E_SIZES = f"""
+select (select count(*) from ({truth_query(400)})) as q,
+       (select count(*) from ({truth_base(10000, E2E_TITLES)})) as b"""
+E2E_PARTS = f"""
+with s as ({E2E_SIZES}), w as (select least(10, b)::INTEGER as k, q, b from s)
+select 'test' as part, q as row_count, {DIM}::INTEGER as dim from w
+union all select 'train', b, {DIM} from w union all select 'neighbors', q, k from w
+union all select 'distances', q, k from w"""
+E2E_CHECKS = f"""
+with s as ({E2E_SIZES}), w as (select least(10, b) as k, q, b from s)
+select 'checked' as "check", q * k as value from w
+union all select 'queries', q from w union all select 'complete', q from w
+union all select name, 0::BIGINT from (values ('mismatches'), ('zero_queries'), ('missing'),
+  ('short'), ('surplus'), ('order_violations'), ('unknown_query'), ('unknown_base'),
+  ('repeated_base')) t(name)"""
+
+SMALL = (
+    "select vec_id as id, list_transform(embedding, lambda x:"
+    " (x::DOUBLE * 0.001::DOUBLE)::FLOAT::DOUBLE) as v from embeddings"
+)
+
+
+def unrounded(metric: str) -> str:
+    """Nearest rows of scaled vectors, ranked on full distances."""
+    return f"""
+    select '{metric}' as metric, query_id, (place - 1)::INTEGER as rank, base_id,
+           round(distance * 1e6, 4) + 0.0 as micro from (
+      select *, row_number() over (partition by query_id order by distance, base_id) as place
+      from (select q.id as query_id, b.id as base_id, {DISTANCE[metric]} as distance
+            from ({SMALL}) q cross join ({SMALL}) b))
+    where place <= 10"""
+
+
+DOUBLED = (
+    "select case when o_orderkey % 5 <> 0 then o_custkey end as custkey, o_orderkey, o_orderstatus"
+    " from orders"
+)
+DOUBLED = f"{DOUBLED} union all {DOUBLED}"
+IN_ORDER = "order by custkey nulls first, o_orderkey"
+NULLED = "select case when vec_id % 11 <> 0 then embedding end as embedding from embeddings"
 
 ORACLE_SQL = {
     "knn_sqeuclidean_block": self_knn(10, "sqeuclidean"),
@@ -250,21 +317,51 @@ ORACLE_SQL = {
     from (select e.vec_id, count(r.query_id) as n from embeddings e
           left join (select * from ({self_knn(10, 'cosine')}) where distance <= 0.3) r
           on r.query_id = e.vec_id group by e.vec_id)""",
-    "validate_v0": f"""
-    select count(*) as checked,
-           {counted('not ok and label <> 3')} as mismatches,
-           count(distinct case when label = 3 then query_id end) as zero_queries
-    from (select r.query_id, q.label,
-                 {close('(1 - list_inner_product(q.v, b.v))', '(r.distance / 2)', '1e-6')} as ok
-          from ({corrupted(10, 'sqeuclidean')}) r
-          join ({VECTORS}) q on q.vec_id = r.query_id
-          join ({VECTORS}) b on b.vec_id = r.base_id)""",
-    "validate_metric": f"""
-    select count(*) as checked, {counted('not ok')} as mismatches, 0::BIGINT as zero_queries
-    from (select {close('(' + DISTANCE['cosine'] + ')', 'r.distance', '1e-6')} as ok
-          from ({corrupted(10, 'cosine')}) r
-          join ({VECTORS}) q on q.vec_id = r.query_id
-          join ({VECTORS}) b on b.vec_id = r.base_id)""",
+    "validate_v0": validated(
+        corrupted(10, "sqeuclidean"),
+        close("(1 - list_inner_product(q.v, b.v))", "(r.distance / 2)", "1e-6"), "q.label = 3"),
+    "validate_metric": validated(
+        corrupted(10, "cosine"), close("(" + DISTANCE["cosine"] + ")", "r.distance", "1e-6")),
+    "validate_dangling": validated(
+        "select case when rank = 2 then query_id + 1000000 else query_id end as query_id, rank,"
+        " case when rank = 4 then base_id + 1000000 else base_id end as base_id, distance"
+        f" from ({self_knn(10, 'cosine')})",
+        close("(" + DISTANCE["cosine"] + ")", "r.distance", "1e-6")),
+    "validate_repeats": validated(
+        "select query_id, rank, case when rank = 5 then lag(base_id) over w else base_id end as"
+        " base_id, case when rank = 5 then lag(distance) over w else distance end as distance"
+        f" from ({self_knn(10, 'cosine')}) window w as (partition by query_id order by rank)",
+        close("(" + DISTANCE["cosine"] + ")", "r.distance", "1e-6")),
+    "knn_small_scale": " union all ".join(unrounded(m) for m in DISTANCE),
+    "knn_from_fvec": self_knn(10, "sqeuclidean"),
+    "first_n_nulls_ties": f"select * from ({DOUBLED}) {IN_ORDER} limit 12001",
+    "page_large": f"select * from ({DOUBLED}) {IN_ORDER} limit 2001 offset 11000",
+    "paged_copy": "select conv_id, turn, ((row_number() over (order by conv_id, turn) - 1) // 100)"
+    "::INTEGER as page from conversations",
+    "null_vector_checks": f"""
+    select 'dimension' as check_name, 'row_count' as counter, count(*) as value from ({NULLED})
+    union all select 'dimension', 'violations', count(*) from ({NULLED}) where embedding is null
+    union all select 'dimension', 'null_vectors', count(*) from ({NULLED}) where embedding is null
+    union all select 'norm', 'row_count', count(*) from ({NULLED})
+    union all select 'norm', 'violations', count(*) from ({NULLED}) where embedding is null
+    union all select 'norm', 'null_vectors', count(*) from ({NULLED}) where embedding is null
+    union all select 'zero', 'kept', count(*) from ({NULLED}) where embedding is not null
+    union all select 'zero', 'dropped', count(*) from ({NULLED})
+      where embedding is not null and list_inner_product(embedding, embedding) = 0
+    union all select 'zero', 'null_vectors', count(*) from ({NULLED}) where embedding is null""",
+    "embed_failures": f"""
+    with t as ({TURN_SENTENCES}), h as ({hashed(TURN_SENTENCES, 'conv_id, turn, sent_idx')})
+    select (select count(*) from conversations) as source_rows,
+           (select count(*) from t) as sentences,
+           (select count(*) from h where length(text) % 7 <> 0) as kept,
+           (select count(*) from t) - (select count(*) from h where length(text) % 7 <> 0)
+             as skipped_zero,
+           (select count(*) from t where length(text) % 7 = 0) as failed,
+           (select count(*) from t) as expected""",
+    "ground_truth_rerun": truth(100, 2000, "cosine"),
+    "vector_profile": " union all ".join(
+        profile_line(*c, "embeddings") for c in (
+            ("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int"))),
     "validate_v1": f"""
     select query_id, rank, base_id as stored_id, round(distance + 0.25, 6) as stored_distance,
            base_id as true_id, distance as true_distance
@@ -289,12 +386,12 @@ ORACLE_SQL = {
     " order by vec_id limit 250",
     "first_n_large": "select o_custkey, o_orderkey, o_orderstatus from orders"
     " order by o_custkey, o_orderkey limit 12000",
-    "distinct_titles": TITLES,
+    "distinct_titles": f"select distinct replace(title, '_', ' ') as title from ({ALL_TITLED})",
     "title_semi": f"select doc_id, title from ({FLAGGED}) where matched",
     "title_anti": f"select doc_id, title from ({FLAGGED}) where not matched",
     "priority_fill": f"select doc_id, title, matched from ({FLAGGED})"
     " order by not matched, doc_id limit 900",
-    "title_normalise": f"select doc_id, replace(title, '_', ' ') as title from ({QUERY_CORPUS})",
+    "title_normalise": f"select doc_id, replace(title, '_', ' ') as title from ({ALL_TITLED})",
     "sentence_split": f"select doc_id, sent_idx, text from ({sentences(BASE_CORPUS, 'doc_id')})",
     "e5_prefix": "select item_id, concat('query:', text) as model_input from benchmark",
     "ingest_stats": f"""
@@ -303,12 +400,13 @@ ORACLE_SQL = {
            (select count(*) from ({hashed(TURN_SENTENCES, 'conv_id, turn, sent_idx')})) as kept,
            (select count(*) from ({TURN_SENTENCES})) -
            (select count(*) from ({hashed(TURN_SENTENCES, 'conv_id, turn, sent_idx')}))
-             as skipped_zero,
+             as skipped_zero, 0::BIGINT as failed,
            (select count(*) from ({TURN_SENTENCES})) as expected""",
     "hash_embed": components(
         all_hashed(TURN_SENTENCES, "conv_id, turn, sent_idx"), "conv_id, turn, sent_idx"
     ),
-    "query_vectors": f"select query_id, doc_id, title, sent_idx, text from ({truth_query(500)})",
+    "query_vectors": "select query_id, doc_id, title, sent_idx, text"
+    f" from ({numbered(ALL_SENTENCES, 'doc_id, sent_idx', 'query_id', 5000)})",
     "base_vectors": "select base_id, doc_id, title, matched, sent_idx, text"
     f" from ({truth_base(15000)})",
     "text_and_vectors": components(ITEM_SENTENCES, "text"),
@@ -317,15 +415,16 @@ ORACLE_SQL = {
         f"select base_id as id, v from ({numbered(DOC_SENTENCES, 'doc_id, sent_idx', 'base_id')})",
         10, "cosine",
     ),
-    "zero_filter": f"select {counted('label <> 3')} as kept, {counted('label = 3')} as dropped"
-    " from embeddings",
+    "zero_filter": f"select {counted('label <> 3')} as kept, {counted('label = 3')} as dropped,"
+    f" {counted('embedding is null')} as null_vectors from embeddings",
     "normalise_vectors": components(
         "select vec_id, list_transform(s, lambda x:"
         " (x / sqrt(list_inner_product(s, s)))::FLOAT::DOUBLE) as v from (select vec_id,"
         " list_transform(embedding, lambda x: (x * (label + 1))::FLOAT::DOUBLE) as s"
         " from embeddings)", "vec_id"),
     "norm_check": f"""
-    select count(*) as row_count, {counted('abs(n - 1) >= 1e-6')} as violations
+    select count(*) as row_count, {counted('abs(n - 1) >= 1e-6')} as violations,
+           {counted('n is null')} as null_vectors
     from (select sqrt(list_inner_product(v, v)) * case when label = 4 then 1.5 else 1 end as n
           from ({VECTORS}))""",
     "dup_vectors": f"select min(vec_id) as first_id, count(*) as copies from ({COPIES})"
@@ -336,10 +435,10 @@ ORACLE_SQL = {
     from (select count(*) as n from ({COPIES}) group by v)""",
     "dedup_keep_first": f"select vec_id, label from ({COPIES})"
     " qualify row_number() over (partition by v order by vec_id) = 1",
-    "dimension_range": f"select count(*) as row_count, {DIM - 1}::INTEGER as min_dim,"
-    f" {DIM}::INTEGER as max_dim from embeddings",
-    "dim_check": f"select count(*) as row_count, {counted('label = 7')} as violations"
-    " from embeddings",
+    "dimension_range": "select count(*) as row_count, min(n)::INTEGER as min_dim, max(n)::INTEGER"
+    " as max_dim from (select len(embedding) - (label = 7)::INTEGER as n from embeddings)",
+    "dim_check": f"select count(*) as row_count, {counted('label = 7')} as violations,"
+    f" {counted('embedding is null')} as null_vectors from embeddings",
     "model_dims": f"""
     select m.model, replace(m.model, '/', '_') as path_name, m.declared, count(*) as row_count,
            {counted("not (len(embedding) = declared or (model = 'voyage-3-large'"
@@ -364,8 +463,11 @@ ORACLE_SQL = {
     "token_knn": token_search(),
     "xvec_roundtrip": components("select vec_id as idx, v from (" + VECTORS + ")", "idx"),
     "xvec_single_file": components("select vec_id as idx, v from (" + VECTORS + ")", "idx"),
-    "xvec_same_values": "select (count(*) - count(*))::BIGINT as only_left,"
-    " (count(*) - count(*))::BIGINT as only_right from embeddings",
+    "xvec_same_values": f"""
+    with a as (select vec_id, v::FLOAT[] as v from ({VECTORS})),
+         b as (select vec_id, embedding as v from embeddings)
+    select (select count(*) from (from a except all from b)) as only_left,
+           (select count(*) from (from b except all from a)) as only_right""",
     "xvec_count": f"select count(*) as row_count, {DIM}::INTEGER as dim from embeddings",
     "xvec_nth": components(
         "select vec_id as idx, v from (" + VECTORS + ") where vec_id = 123", "idx"),
@@ -387,9 +489,6 @@ ORACLE_SQL = {
            (count(*) - count(*))::BIGINT from embeddings""",
     "ground_truth_e2e": E2E,
     "ground_truth_manifest": E2E_PARTS,
-    "ground_truth_checks": """
-    select * from (values ('checked', 4000::BIGINT), ('mismatches', 0), ('zero_queries', 0),
-      ('queries', 400), ('missing', 0), ('short', 0), ('complete', 400), ('surplus', 0),
-      ('order_violations', 0)) t("check", value)""",
+    "ground_truth_checks": E2E_CHECKS,
     "token_truth_e2e": token_search(1000, 20000),
 }

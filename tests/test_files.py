@@ -3,6 +3,7 @@ import struct
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from exactnn.functions import vectors as V
@@ -139,10 +140,12 @@ def test_wide_tables_and_positions(spark, tmp_path):
     assert sorted(r.idx for r in first.collect()) == list(range(25))
 
 
-def test_write_keeps_what_exists(spark, tmp_path):
+def test_write_refuses_what_exists(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     T.write_vectors(spark.range(10), path, rows_per_file=3)
-    T.write_vectors(spark.range(99), path)
+    with pytest.raises(AnalysisException):
+        T.write_vectors(spark.range(99), path)
+    T.write_vectors(spark.range(99), path, mode="ignore")
     assert spark.read.parquet(path).count() == 10
 
 

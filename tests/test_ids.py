@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +76,24 @@ def test_small_inputs_are_spread_and_large_ones_left(spark, sf):
 def test_first_n_of_a_source_of_unknown_size(spark):
     df = spark.createDataFrame([(i * 37 % 100,) for i in range(100)], "k long")
     assert sorted(r.k for r in I.first_n(df, ["k"], 7).collect()) == list(range(7))
+
+
+def _positions(rows, keys):
+    """Rows under ``keys``, nulls first, equal keys in the order of either form."""
+    return sorted(rows, key=lambda r: [(r[k] is not None, r[k]) for k in keys])
+
+
+@pytest.mark.parametrize("low, high", [(0, 1), (0, 7), (0, 50), (5, 9), (11, 40), (39, 60), (90, 95), (0, 0)])
+def test_both_forms_give_the_same_rows(spark, monkeypatch, low, high):
+    rng = random.Random(high)
+    rows = [
+        (rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b"]), rng.choice([0.5, None]), i % 5) for i in range(55)
+    ]
+    df = spark.createDataFrame(rows + rows[:15], "k long, s string, x double, n int").repartition(4)
+    small = I.page(df, ["k", "s"], low, high - low).collect()
+    monkeypatch.setattr(I, "TOP_ROWS", 0)
+    large = I.page(df, ["k", "s"], low, high - low).collect()
+    assert sorted(map(tuple, large), key=repr) == sorted(map(tuple, small), key=repr)
+    assert len(large) == max(0, min(high, 70) - low)
+    keys = [(r[0], r[1]) for r in _positions([tuple(r) for r in df.collect()], [0, 1])][low:high]
+    assert sorted(((r.k, r.s) for r in large), key=repr) == sorted(keys, key=repr)

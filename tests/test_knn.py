@@ -1,17 +1,24 @@
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from exactnn.functions import vectors as V
-from exactnn.operators.knn import knn_join, knn_partials, task_count
+from exactnn.operators import knn as K
+from exactnn.operators.knn import task_count
 from exactnn.operators.ranking import as_arrays, as_wide, from_wide_pair, merge_topk
 from exactnn.operators.topk import BlockTopK, drop_surplus_copies, merge_lists, ranked, vector_matrix
 
 METRICS = ("sqeuclidean", "cosine", "inner")
 
+# rounded before ranking, so that a plain computation in another order gives the same rows
+knn_join = functools.partial(K.knn_join, decimals=6)
+knn_partials = functools.partial(K.knn_partials, decimals=6)
+
 
-def exact(q, b, metric):
+def exact(q, b, metric, decimals=6):
     q, b = q.astype(np.float64), b.astype(np.float64)
     if metric == "sqeuclidean":
         d = ((q[:, None, :] - b[None, :, :]) ** 2).sum(-1)
@@ -20,7 +27,9 @@ def exact(q, b, metric):
     else:
         scale = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
         d = 1 - np.divide(q @ b.T, scale, out=np.zeros_like(scale), where=scale > 0)
-    return np.floor(d * 1e6 + 0.5) / 1e6 + 0.0
+    if decimals is None:
+        return d
+    return np.floor(d * 10**decimals + 0.5) / 10**decimals + 0.0
 
 
 def brute(q, b, k, metric, qids=None, bids=None):
@@ -119,7 +128,7 @@ def test_kernel_on_any_scale(metric, scale):
     rng = np.random.default_rng(11)
     q = (rng.standard_normal((60, 33)) * scale).astype(np.float32)
     b = (rng.standard_normal((2500, 33)) * scale + scale).astype(np.float32)
-    top = BlockTopK(np.arange(60), q, 20, metric)
+    top = BlockTopK(np.arange(60), q, 20, metric, 6)
     for at in range(0, 2500, 400):
         top.offer(np.arange(at, min(at + 400, 2500)), b[at:at + 400])
     got = {}
@@ -142,7 +151,8 @@ def test_ranked_equals_lexsort(top_id, scale):
     dist[::17] = np.inf
     ids = rng.integers(-3 if top_id == 50 else 0, top_id, 3000)
     ids[::17] = np.iinfo(np.int64).max
-    order, plain = ranked(rows, dist, ids), np.lexsort((ids, dist, rows))
+    np.testing.assert_array_equal(ranked(rows, dist, ids), np.lexsort((ids, dist, rows)))
+    order, plain = ranked(rows, dist, ids, 6), np.lexsort((ids, dist, rows))
     for values in (rows, dist, ids):
         np.testing.assert_array_equal(values[order], values[plain])
 
@@ -254,3 +264,45 @@ def test_wide_round_trip(spark, data):
     indices = as_wide(lists, "neighbors", 5).withColumn("RowNum", F.col("query_id"))
     back = from_wide_pair(indices, as_wide(lists, "distances", 5))
     assert as_set(merge_topk(back.drop("pos"), 5)) == as_set(result)
+
+
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("scale", (1e-6, 1e-3, 1.0, 1e6))
+def test_ranks_follow_full_distances(spark, data, metric, scale):
+    """However close the distances, the k nearest are the k nearest."""
+    q, b = (x * np.float32(scale) for x in data)
+    query, base = frame(spark, range(100), q, "query_id"), frame(spark, range(1000), b, "base_id")
+    d = exact(q, b, metric, None)
+    for found in (
+        K.knn_join(query, base, 5, metric),
+        K.knn_join(query, base, 5, metric, strategy="grid", broadcast_bytes=8000),
+    ):
+        rows = sorted(tuple(r) for r in found.collect())
+        assert len(rows) == 500
+        for i, rank, j, distance in rows:
+            assert distance == pytest.approx(d[i, j], rel=1e-9, abs=1e-12 * scale**2)
+            if metric == "sqeuclidean":
+                assert j == np.argsort(d[i], kind="stable")[rank]
+
+
+def test_grid_reads_the_base_in_place(spark, data):
+    """One pass per query group, no shuffle of the base."""
+    q, b = data
+    query, base = frame(spark, range(100), q, "query_id"), frame(spark, range(1000), b, "base_id")
+    size = K.measure_queries(query)
+    groups = -(-105 * size.bytes(10) // 100 // 5000)
+    assert groups >= 8
+    lists = K.knn_lists(query, base, 10, strategy="grid", broadcast_bytes=5000)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan parquet") == groups
+
+
+def test_tasks_follow_the_splits_of_a_source_of_unknown_size(spark, tmp_path, data):
+    from exactnn.sources import xvec as S
+
+    path = str(tmp_path / "b.fvec")
+    S.write_xvec(frame(spark, range(1000), data[1], "idx").withColumnRenamed("embedding", "vector"), path)
+    base = S.read_xvec(spark, path, splitBytes=4000).withColumnRenamed("vector", "embedding")
+    assert task_count(base, 10, 48) is None
+    lists = K.knn_lists(frame(spark, range(100), data[0], "query_id"), base, 10, base_id="idx")
+    assert lists.rdd.getNumPartitions() == base.rdd.getNumPartitions() > 20

@@ -34,6 +34,7 @@ def test_sentence_job_checks_itself_and_goes_on(spark, tmp_path, corpora):
     assert checks == {
         "checked": 500, "mismatches": 0, "zero_queries": 0, "queries": 50, "missing": 0,
         "short": 0, "complete": 50, "surplus": 0, "order_violations": 0,
+        "unknown_query": 0, "unknown_base": 0, "repeated_base": 0,
     }
     assert {r.title for r in truth.base.select("title").distinct().collect()} == {"en"}
     lists = read_xvec(spark, truth.names.indices, "ivec").orderBy("idx").collect()
@@ -47,6 +48,32 @@ def test_sentence_job_checks_itself_and_goes_on(spark, tmp_path, corpora):
     assert before == sorted(p.stat().st_mtime_ns for p in tmp_path.rglob("*") if p.is_file())
 
 
+def test_what_is_stored_is_what_was_asked_for(spark, tmp_path, corpora):
+    """Another metric, another table or a run that was cut short is made anew."""
+    query, base = corpora
+
+    def run(metric="sqeuclidean", base=base):
+        truth = sentence_ground_truth(
+            spark, query, base, str(tmp_path), "hashing", 40, 500, 5, output_dimension=32,
+            metric=metric, bundle=False, validate=True,
+        )
+        checks = {r.check: r.value for r in truth.checks.collect()}
+        assert checks["mismatches"] == 0 and checks["checked"] == 200
+        return sorted(map(tuple, truth.neighbours.collect())), truth
+
+    first, truth = run()
+    assert run("cosine")[0] != first
+    assert run()[0] == first
+    fewer = Corpus(base.table.where("row_id % 2 = 0"), "text", ["row_id"], "title")
+    other, _ = run(base=fewer)
+    assert other == run(base=fewer)[0]
+    marks = [p for p in tmp_path.rglob("*.stamp")]
+    assert marks
+    for mark in tmp_path.rglob("*neighbours*.stamp/*.parquet"):
+        mark.rename(mark.with_suffix(".lost"))
+    assert run(base=fewer)[0] == other
+
+
 def test_token_job(spark, tmp_path, corpora):
     query, base = corpora
     truth = token_ground_truth(

@@ -24,7 +24,7 @@ def test_right_results_pass(sides, metric):
     query, base, results = sides
     result = results[metric]
     n = query.count()
-    assert tuple(Q.validate(result, query, base, metric).first()) == (10 * n, 0, 0)
+    assert tuple(Q.validate(result, query, base, metric).first()) == (10 * n, 0, 0, 0, 0, 0)
     assert Q.monotone_check(result).first().violations == 0
     assert tuple(Q.completeness(result, query, 10).first()) == (n, 0, 0, n, 0)
     assert Q.recheck(result, query, base, 10, metric).count() == 0
@@ -156,3 +156,35 @@ def test_same_values_counts_repeats(spark):
 
 def test_feasible_k():
     assert Q.feasible_k(10, 10) and not Q.feasible_k(9, 10)
+
+
+def test_validators_see_what_is_not_there(sides):
+    query, base, results = sides
+    n, result = query.count(), results["cosine"]
+    gone = F.when(F.col("rank") < 2, F.col("base_id") + 10**6).otherwise(F.col("base_id"))
+    report = Q.validate(result.withColumn("base_id", gone), query, base, "cosine").first()
+    assert (report.checked, report.mismatches, report.unknown_base) == (10 * n, 0, 2 * n)
+    stray = result.withColumn("query_id", F.col("query_id") - 10**6)
+    report = Q.validate(stray, query, base, "cosine").first()
+    assert (report.checked, report.unknown_query) == (10 * n, 10 * n)
+    twice = result.where("rank < 5").unionByName(result.where("rank < 5").withColumn("rank", F.col("rank") + 5))
+    assert Q.validate(twice, query, base, "cosine").first().repeated_base == 5 * n
+    assert Q.recheck(twice, query, base, 10, "cosine").count() == 10 * n
+
+
+def test_null_vectors_are_counted(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    assert tuple(Q.dimension_check(df, "m", 2).first()) == (4, 1, 1)
+    assert tuple(Q.norm_check(df).first()) == (4, 3, 1)
+    assert tuple(Q.zero_check(df).first()) == (2, 1, 1)
+
+
+def test_profile_of_nested_columns(spark):
+    rows = [(1, [1.0], {"a": 1}, b"xyz", (1, 2)), (None, [1.0, 2.0], None, b"", (1, 2)), (3, None, {}, None, None)]
+    schema = "i int, v array<double>, m map<string,int>, b binary, s struct<x:int,y:int>"
+    found = {r.column_name: tuple(r)[2:] for r in Q.profile(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {
+        "i": (2, 1, "1", "3"), "v": (2, 1, "1", "2"), "m": (2, 1, "0", "1"), "b": (2, 1, "0", "3"),
+        "s": (2, 1, None, None),
+    }
