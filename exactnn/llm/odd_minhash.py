@@ -50,7 +50,7 @@ LEAST = 80
 SLACK = 6.0
 #: Texts in a cell of the first round, and on either side of a cell of the second.
 CELL = 512
-LEFT_CELL, RIGHT_CELL = 512, 1 << 16
+LEFT_CELL, RIGHT_CELL = 512, 2048
 #: Meetings of a bucket up to which they are returned as pairs.
 FEW_PAIRS = 1000
 
