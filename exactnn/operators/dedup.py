@@ -58,6 +58,6 @@ def drop_duplicate_vectors(df: DataFrame, vector_id: str, vector: str = "embeddi
     hashed, repeated = _suspects(df, vector)
     single = keyed_filter(hashed, repeated, "_hash", vector_id, "left_anti")
     suspects = keyed_filter(hashed, repeated, "_hash", vector_id)
-    firsts = suspects.groupBy(vector).agg(F.min(vector_id).alias(vector_id)).select(vector_id)
-    kept = keyed_filter(df, materialize(firsts, "first_ids"), vector_id, vector_id)
-    return single.select(*df.columns).unionByName(kept.select(*df.columns))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    kept = suspects.groupBy(vector).agg(F.min_by(row, vector_id).alias("_row")).select("_row.*")
+    return single.select(*df.columns).unionByName(kept)

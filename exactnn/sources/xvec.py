@@ -291,7 +291,14 @@ def register(spark: SparkSession) -> None:
 # --- functions over the sources -------------------------------------------------------------
 
 
+def _shared(spark: SparkSession, path: str) -> None:
+    """Refuse, on a cluster, a path that would be another disk on each executor."""
+    if "://" not in path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path}: name the file system, as all executors have to reach it")
+
+
 def read_xvec(spark: SparkSession, path: str, kind: str = "fvec", **options) -> DataFrame:
+    _shared(spark, path)
     register(spark)
     return spark.read.format(kind).options(**options).load(path)
 
@@ -306,6 +313,7 @@ def write_xvec(
     mode: str = "overwrite",
 ) -> None:
     """Write vectors in ``order`` (with ``single_file`` a dense position from 0). ``mode`` is overwrite, ignore (keep what exists) or error."""
+    _shared(df.sparkSession, path)
     if mode not in ("overwrite", "ignore", "error"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode != "overwrite" and exists(path):
