@@ -21,6 +21,8 @@ from exactnn.session import materialize
 
 SEQUENCE_TOKENS = 2048
 END_TOKEN = 1
+#: Rows (of 20 bytes; one for each task and length) up to which a table is broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Text of one step: ids take four bytes a token, and a task holds a few such arrays.
 _STEP_BYTES = 1 << 20
 
@@ -112,8 +114,11 @@ def number_sequences(pieces: DataFrame, limit: int = SEQUENCE_TOKENS) -> DataFra
     buckets = limit.bit_length()
     bucket = F.log2("length").cast("long")
     sizes = pieces.groupBy("part", "length").agg(F.count("*").alias("pieces"))
+    sizes = materialize(sizes, "sizes")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("part", "length", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("first"))
+    if sizes.count() <= BROADCAST_ROWS:  # then the pieces, with their ids, need not be shuffled
+        firsts = F.broadcast(firsts)
     return pieces.join(firsts, ["part", "length"]).select(
         *[c for c in pieces.columns if c not in ("part", "nth")],
         ((F.col("first") + F.col("nth")) * buckets + bucket).alias("sequence_id"),
