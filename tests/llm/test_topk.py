@@ -25,17 +25,15 @@ def _plain(queries, base, k):
     return sorted(want)
 
 
-@pytest.mark.parametrize("block, tile", [(4096, 1024), (7, 3)])
-def test_against_plain_products(spark, monkeypatch, block, tile):
-    rng = random.Random(block)
+@pytest.mark.parametrize("seed, parts", [(1, 5), (2, 40)])
+def test_against_plain_products(spark, seed, parts):
+    """Each partition makes blocks of its own, so many partitions are many cells."""
+    rng = random.Random(seed)
     rows = [(i, [rng.gauss(0, 0.4) for _ in range(32)], 1, "x") for i in range(150)]
     rows += [(200 + i, rows[3][1], 1, "x") for i in range(40)]  # a hot vector: ties
     rows += [(300, None, 1, "x"), (301, [], 1, "x"), (302, [1.0, None], 1, "x"), (303, [float("nan")] * 32, 1, "x")]
     rows += [(304, [float("inf")] * 32, 1, "x"), (None, [0.5] * 32, 1, "x"), (305, [0.5, 0.25], 1, "x"), (306, [2.5, -0.25], 1, "x"), (307, [0.0] * 32, 1, "x")]
-    # blocks and tiles are set in the workers' module through the closure of the functions
-    monkeypatch.setattr(segment_topk, "BLOCK_ROWS", block)
-    monkeypatch.setattr(segment_topk, "_TILE_BASE", tile)
-    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
     pairs = [(r[0], r[1]) for r in spark.createDataFrame(rows, SCHEMA).select("vec_id", "embedding").collect()]
     for k in (1, 20, 500):
         got = segment_topk.top_k(df.where("vec_id % 3 = 0"), df, k).select("query_id", "rank", "vec_id", "score").collect()
@@ -43,9 +41,12 @@ def test_against_plain_products(spark, monkeypatch, block, tile):
         assert sorted(map(tuple, got)) == _plain(asked, pairs, k)
 
 
-def test_bounds_prune_and_keep_ties():
+@pytest.mark.parametrize("queries, base", [(128, 1024), (7, 3)])
+def test_bounds_prune_and_keep_ties(monkeypatch, queries, base):
     import numpy as np
 
+    monkeypatch.setattr(segment_topk, "_TILE_QUERIES", queries)
+    monkeypatch.setattr(segment_topk, "_TILE_BASE", base)
     rng = np.random.default_rng(1)
     centre = rng.integers(-30, 30, (20, 64)).repeat(100, axis=0)
     comps = (centre + rng.integers(-2, 3, centre.shape)).astype("<i2")
