@@ -14,7 +14,7 @@ Two physical forms give the same rows:
     For larger query sets. Queries fall into groups of at most ``broadcast_bytes``; one group after
     another runs in the broadcast form and stores its lists. A task reads its split of the base,
     at most 2 GiB, once for each group, and the base is never shuffled or sorted, whatever the
-    number of queries. One group's broadcast is in memory at a time.
+    number of queries. One group's broadcast is in memory at a time, or those of several small ones.
 
 The base is read once for each group and the query side twice, so store either first where it is
 expensive to make, such as vectors that a model is still to compute.
@@ -39,6 +39,7 @@ from exactnn.session import MAX_PARTITIONS, MIB, input_bytes, materialize, paral
 
 LIST_SCHEMA = "query_id long, base_ids array<long>, distances array<double>"
 RESULT_SCHEMA = "query_id long, rank int, base_id long, distance double"
+BROADCAST_BYTES = 256 * MIB
 BLOCK_BYTES = 4 * MIB
 BLOCK_ROWS = 2048
 TASK_BYTES = 2048 * MIB
@@ -129,7 +130,7 @@ def knn_lists(
     base_id: str = "base_id",
     vector: str = "embedding",
     strategy: str = "auto",
-    broadcast_bytes: int = 256 * MIB,
+    broadcast_bytes: int = BROADCAST_BYTES,
     base_tasks: int | None = None,
     size: QuerySize | None = None,
     decimals: int | None = None,
@@ -195,12 +196,16 @@ def _grid_form(
     grouped = queries.withColumn("qgroup", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)))
     if groups > 1:
         grouped = materialize(grouped, "queries")
+    part = QuerySize(math.ceil(size.rows / groups), size.dim)
+    together = max(1, BROADCAST_BYTES // max(1, part.bytes(k)))  # small groups share a job
     found = None
-    for group in range(groups):
-        own = grouped.where(F.col("qgroup") == group).drop("qgroup")
-        part = QuerySize(math.ceil(size.rows / groups), size.dim)
-        lists = _broadcast_form(own, rows, k, metric, part, tasks, decimals)
-        lists = materialize(lists, f"lists-{group}") if groups > 1 else lists
+    for first in range(0, groups, together):
+        lists = None
+        for group in range(first, min(first + together, groups)):
+            own = grouped.where(F.col("qgroup") == group).drop("qgroup")
+            more = _broadcast_form(own, rows, k, metric, part, tasks, decimals)
+            lists = more if lists is None else lists.unionByName(more)
+        lists = materialize(lists, f"lists-{first}") if groups > 1 else lists
         found = lists if found is None else found.unionByName(lists)
     return found
 
