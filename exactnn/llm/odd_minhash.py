@@ -1,6 +1,7 @@
 """Near-duplicates: banded MinHash, odd sketches to screen candidates, full sets to confirm.
 
-* Texts with the same shingle set form a class at once; one text stands for it.
+* Texts with the same shingle set form a class at once. Classes are numbered; from there on a
+  class, not a document, is what has sketches, is linked and has a component.
 * The MinHash samples of a set make band keys, and, folded into a bitmap by parity, its odd
   sketch. Two sketches differ in about as many bits as samples differ, so that the population
   count of their XOR tells high similarities apart.
@@ -137,13 +138,14 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                     keys.append(band_keys(samples).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(name, pa.binary()),
-                    pa.array(sketch, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                    batch.column("doc_id"), batch.column("row_key"), pa.array(size, pa.int64()),
+                    pa.array(name, pa.binary()), pa.array(sketch, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "class", "sketch", "keys"],
+                ["doc_id", "row_key", "n_shingles", "class", "sketch", "keys"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, sketch binary, keys array<long>")
+    schema = "doc_id long, row_key binary, n_shingles long, class binary, sketch binary, keys array<long>"
+    return docs.mapInArrow(run, schema)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[list[dict]]:
@@ -160,7 +162,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[list
 
 
 class _Texts:
-    """Ids, components, sizes, sketches and keys of rows of a bucket."""
+    """Ids (numbers of classes), components, sizes, sketches and keys of rows of a bucket."""
 
     def __init__(self, batches: list[pa.RecordBatch]):
         table = pa.Table.from_batches(batches)
@@ -330,7 +332,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             for first, last in slices(offsets):
                 texts = offsets[first : last + 1] - offsets[first]
                 sets = [s.tobytes() for s in shingle_sets(data[offsets[first] : offsets[last]], texts, words)]
-                ids = batch.column("doc_id").slice(first, last - first)
+                ids = batch.column("id").slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], ["id", "shingles"])
 
     return docs.mapInArrow(run, "id long, shingles binary")
@@ -361,6 +363,13 @@ def _cell(parts, *by) -> DataFrame:
     return F.pmod(F.xxhash64(*by), parts).cast("int")
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and row_key: a hash of both, the same for rows of one id (or of none) and one text."""
+    rows = id_and_text(docs, id_col, text_col)
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))
+    return rows.withColumn("row_key", F.unhex(F.sha2(named, 256)))
+
+
 def near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -370,23 +379,41 @@ def near_duplicates(
     ``shingle_words`` words, or the whole text if it has fewer; A-Z are lower-cased.
     ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks it. Null and empty texts and texts without words have no shingles and no links. Rows
     with a null id are linked with nothing, have a null component and are kept. Rows that share
-    an id are compared like others, under one name; of those only one stands for its set.
+    an id are documents of their own: each has the links and the component of its text.
     """
-    rows = id_and_text(docs, id_col, text_col)
+    rows = _keyed(docs, id_col, text_col)
     signed = materialize(_signatures(rows, shingle_words), "signatures")
-    classes = signed.where("class is not null and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("id"))
-    classes = materialize(classes, "classes")
+    names = _components(rows, signed.where("doc_id is not null"), shingle_words)
+    names = names.select("class", F.col("first.doc_id").alias("component_id"))
+    result = signed.select("doc_id", "n_shingles", "class").join(names, "class", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return result.select(
+        "doc_id", "n_shingles", component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    )
+
+
+def _components(rows: DataFrame, signed: DataFrame, shingle_words: int) -> DataFrame:
+    """(class, first): of each class of ``signed`` the first row (no_id, doc_id, row_key) of its component.
+
+    Rows with an id come before those without. ``id`` is the number of a class here, as for all
+    that this calls; the text of its first row is read for its full set.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    classes = signed.where("class is not null").groupBy("class").agg(F.min(row).alias("first"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     first = (
-        signed.join(classes.select(F.col("id").alias("doc_id"), "class"), ["doc_id", "class"])
-        .select(F.col("doc_id").alias("id"), "n_shingles", "sketch", "keys").dropDuplicates(["id"])
+        signed.join(classes.select("id", "class", "first.row_key"), ["class", "row_key"])
+        .select("id", "row_key", "n_shingles", "sketch", "keys").dropDuplicates(["id"])
     )
     first = materialize(first, "representatives")
     banded = first.select("id", F.posexplode("keys").alias("band", "bucket"))
     filled = banded.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     members = materialize(banded.join(filled, "bucket"), "buckets")
 
-    colliding = members.select("id").distinct()
-    sets = materialize(_sets(rows.join(colliding.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), shingle_words), "sets")
+    colliding = first.select("id", "row_key").join(members.select("id").distinct(), "id")
+    first = first.drop("row_key")
+    sets = materialize(_sets(rows.join(colliding, "row_key").select("id", "text"), shingle_words), "sets")
     sets = sets.dropDuplicates(["id"])
 
     cells = members.withColumn("cell", _cell(F.ceil(F.col("m") / CELL), "id", "bucket"))
@@ -406,15 +433,10 @@ def near_duplicates(
     if more.limit(1).count():
         joined = connected_components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    names = classes.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "class", F.coalesce("component", "id").alias("component_id")
-    )
-    result = signed.select("doc_id", "n_shingles", "class").join(names, "class", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    joined = joined.withColumnRenamed("node", "id")
+    least = joined.join(classes.select("id", "first"), "id").groupBy("component").agg(F.min("first").alias("least"))
+    placed = classes.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    return placed.join(least, "component", "left").select("class", F.coalesce("least", "first").alias("first"))
 
 
 def _unresolved(

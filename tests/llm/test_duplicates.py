@@ -81,6 +81,30 @@ def test_repeated_ids_and_other_columns(odd_docs, no_docs):
     assert M.near_duplicates(no_docs).count() == 0
 
 
+def _plain_reused(rows):
+    """As _plain_near, but rows are the nodes and ids may repeat; none is null."""
+    sets = [_shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for n, s in enumerate(sets):
+        for j, t in enumerate(sets[:n]):
+            common = len(s & t)
+            if s and t and 100 * common >= 80 * (len(s) + len(t) - common):
+                group = [group[j] if g == group[n] else g for g in group]
+    least = {g: min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in group}
+    return sorted((i, len(s), least[g], i == least[g]) for (i, _), s, g in zip(rows, sets, group, strict=True))
+
+
+def test_texts_that_share_an_id(spark):
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(80)] for _ in range(4)]
+    a, b, *_ = (" ".join(w) for w in base)
+    rows = [(5, a), (5, b), (3, " ".join([*base[0], "more"]))]
+    rows += [(rng.randrange(10, 25), t) for w in base[1:] for t in _copies(rng, w, 14, 3)] + [(12, ""), (12, " ")]
+    for some in (rows[:3], rows):
+        got = M.near_duplicates(spark.createDataFrame(some, "doc_id long, text string"), shingle_words=4).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == _plain_reused(some)
+
+
 def test_sketches_screen_without_losing_links():
     rng = np.random.default_rng(4)
     limit, lost, passed = M.most_bits(), 0, 0
