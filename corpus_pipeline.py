@@ -30,13 +30,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, 0.8), the one of the smallest id.
+    """One row of each group of near-duplicates (five words, 0.8), the one of the smallest id.
 
-    Rows without an id stay; rows of one id go or stay together, and go if each is a copy.
+    Groups are of texts, not of ids: rows without an id are linked like others, and of rows that
+    repeat id and text one stays. Else the next stage would cut a text from all of its copies.
     """
-    found = odd_minhash.near_duplicates(docs, shingle_words=5)
-    copies = found.groupBy(F.col("doc_id").alias("copy_id")).agg(F.max("kept").alias("kept")).where("not kept")
-    return docs.join(copies, F.col("doc_id").cast("long") == F.col("copy_id"), "left_anti")
+    return odd_minhash.one_of_each(docs, shingle_words=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

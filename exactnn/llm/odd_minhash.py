@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exactnn.llm.arrow import (
@@ -363,11 +363,14 @@ def _cell(parts, *by) -> DataFrame:
     return F.pmod(F.xxhash64(*by), parts).cast("int")
 
 
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """A hash that is the same for rows of one id (or of none) and one text."""
+    return F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text), 256))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text and row_key: a hash of both, the same for rows of one id (or of none) and one text."""
-    rows = id_and_text(docs, id_col, text_col)
-    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))
-    return rows.withColumn("row_key", F.unhex(F.sha2(named, 256)))
+    """doc_id, text and row_key."""
+    return id_and_text(docs, id_col, text_col).withColumn("row_key", _row_key(F.col("doc_id"), F.col("text")))
 
 
 def near_duplicates(
@@ -393,6 +396,30 @@ def near_duplicates(
     )
 
 
+def one_of_each(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one of the smallest id.
+
+    Here rows are linked whatever their ids are, also those without one, which stay only where no
+    row of the group has an id. Of rows that are equal in id (or in having none) and text one
+    stays, also where the text has no words.
+    """
+    rows = _keyed(docs, id_col, text_col)
+    signed = materialize(_signatures(rows, shingle_words), "signatures")
+    names = _components(rows, signed, shingle_words).select("class", F.col("first.row_key").alias("stays"))
+    counted = signed.groupBy("row_key", "class").agg(F.count("*").alias("n"))
+    gone = F.coalesce(F.col("row_key") != F.col("stays"), F.lit(False)).alias("gone")
+    marked = counted.join(names, "class", "left").select(F.col("row_key").alias("__row_key"), "n", gone)
+    marked = materialize(marked.where("gone or n > 1"), "marked")
+    keyed = docs.withColumn("__row_key", _row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    out = keyed.join(marked, "__row_key", "left_anti")
+    repeated = marked.where("not gone")
+    if repeated.limit(1).count():
+        out = out.unionByName(keyed.join(repeated, "__row_key", "left_semi").dropDuplicates(["__row_key"]))
+    return out.drop("__row_key")
+
+
 def _components(rows: DataFrame, signed: DataFrame, shingle_words: int) -> DataFrame:
     """(class, first): of each class of ``signed`` the first row (no_id, doc_id, row_key) of its component.
 

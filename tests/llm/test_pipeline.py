@@ -92,3 +92,35 @@ def test_odd_rows(spark, sf, odd_docs, no_docs, name):
     else:
         out.collect()
     assert STAGES[name](spark, no_docs, sf).count() == 0
+
+
+def test_repeated_rows_come_out_once_and_whole(spark, sf, documents):
+    """Rows of one id and text, copies and near copies without an id, with and without a twin that has one."""
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id")
+    long = documents.where("n_chars between 500 and 5000").join(good, "doc_id", "left_semi")
+    scored = byte_cnn.keep_good(long, spark.read.parquet(f"{sf}/labels.parquet"))
+    found = odd_minhash.near_duplicates(materialize(scored, "scored")).where("kept").select("doc_id")
+    texts = [r.text for r in scored.join(found, "doc_id", "left_semi").orderBy("doc_id").limit(12).collect()]
+    seen = Counter(t.encode()[i : i + 400] for t in texts for i in range(len(t.encode()) - 399))
+    texts = [t for t in texts if all(seen[t.encode()[i : i + 400]] == 1 for i in range(len(t.encode()) - 399))]
+    texts = [t for t in texts if not structural_secrets.find_secrets(t)][:5]
+    assert len(texts) == 5
+    same, bare, near, mixed, reused = texts
+    rows = [(7, same), (7, same), (None, bare), (None, bare), (None, near), (None, near + " again"), (None, mixed), (4, mixed), (9, mixed)]
+    rows += [(7, reused), (8, reused)]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], documents.schema)
+    # without the first stage: the network would learn from these few rows alone
+    pieces, out = {}, docs
+    for name, stage in P.STAGES[1:]:
+        out = materialize(stage(spark, out, sf), name)
+        if name == "near_duplicates":
+            assert sorted((str(r.doc_id), r.text) for r in out.collect() if r.text not in (near, near + " again")) == sorted([("7", same), ("None", bare), ("4", mixed), ("7", reused)])
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rebuilt = []
+    for r in out.collect():
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+    for own in pieces.values():
+        ids = np.concatenate([np.frombuffer(bytes(p.ids), "<u4") for p in sorted(own, key=lambda r: r.start)])
+        rebuilt.append(library.decode(ids.tolist()[:-1], skip_special_tokens=False))
+    assert len(rebuilt) == 5 and {same, bare, mixed, reused} <= set(rebuilt)
+    assert near in rebuilt or near + " again" in rebuilt
