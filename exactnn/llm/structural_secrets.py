@@ -3,12 +3,15 @@
 Patterns only propose. Assignments, access keys and hex strings are reported by their patterns;
 beyond them, base64 and hex strings are decoded and reported if what they hold is built like a
 secret: a private key whose nested lengths add up, or a signed token with a readable header.
+Base64 may be wrapped: lines of one length and a last one that is not longer, between breaks that
+are real ones or, as in JSON and source code, written as backslash-n, with quotes and plus signs.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -30,7 +33,14 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _WORD = re.compile(rb"password|passwd|secret|token|api_?key|AKIA|eyJ|-----BEGIN ", re.IGNORECASE)
-_CODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+_CODED = re.compile(r"[A-Za-z0-9+/_-]{40,}")
+#: What can stand between two lines of a wrapped string; possessive, so that it is read once.
+_BETWEEN = r"""(?>\\++[nrt]?+|\s++|["'](?:\s*+\+(?=\s*+\\*+["']))?+)++"""
+_GLUE = re.compile(_BETWEEN)
+_NEXT_LINE = re.compile(rf"({_BETWEEN})([A-Za-z0-9+/_-]+)")
+_BREAK = re.compile(r"[\r\n]|\\[nr]")
+_PADDING = re.compile(r"={0,2}")
+_NEXT_PADDING = re.compile(rf"({_BETWEEN})(={{1,2}})(?!=)")
 _HEX_ANY = re.compile(r"[0-9a-fA-F]{80,}")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
@@ -38,6 +48,8 @@ _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z
 #: No private key in use is as long in base64.
 _PEM_CHARACTERS = 1 << 16
 
+_OPENSSH = b"openssh-key-v1\0"
+
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[list(b"0123456789abcdefABCDEF")] = True
 _CODED_BYTE = np.zeros(256, bool)
@@ -76,15 +88,20 @@ def _members(raw: bytes, begin: int, end: int) -> list[tuple[int, int, int]] | N
 
 def is_private_key(raw: bytes) -> bool:
     """Whether ``raw`` is a whole private key: RSA, DSA, EC, PKCS#8, its encrypted form, OpenSSH."""
-    if raw.startswith(b"openssh-key-v1\0"):
-        at, parts = 15, 0
+    if raw.startswith(_OPENSSH):
+        at, parts = len(_OPENSSH), 0
         while at + 4 <= len(raw) and parts < 3:  # cipher, key derivation and its options
             at += 4 + int.from_bytes(raw[at : at + 4], "big")
             parts += 1
         keys = int.from_bytes(raw[at : at + 4], "big") if at + 4 <= len(raw) else 0
         return parts == 3 and 1 <= keys <= 16
     outer = _der(raw, 0, len(raw))
-    if outer is None or outer[0] != 0x30 or outer[2] != len(raw):
+    return outer is not None and outer[2] == len(raw) and _is_der_key(raw, outer)
+
+
+def _is_der_key(raw: bytes, outer: tuple[int, int, int]) -> bool:
+    """Whether ``outer``, a value in ``raw``, is a private key."""
+    if outer[0] != 0x30:
         return False
     inner = _members(raw, outer[1], outer[2])
     if not inner:
@@ -115,6 +132,97 @@ def _decode(text: str) -> bytes | None:
         return None
 
 
+def _der_key_end(raw: bytes, at: int) -> int | None:
+    """Where the DER private key that begins at ``at`` ends, if one does."""
+    outer = _der(raw, at, len(raw))
+    if outer is None or not _is_der_key(raw, outer):
+        return None
+    return outer[2]
+
+
+def _openssh_key_end(raw: bytes, at: int) -> int | None:
+    """Where the OpenSSH private key that begins at ``at`` ends, if all of it is there."""
+    at += len(_OPENSSH)
+    for _ in range(3):
+        at += 4 + int.from_bytes(raw[at : at + 4], "big")
+    keys = int.from_bytes(raw[at : at + 4], "big")
+    at += 4
+    for _ in range(keys + 1):  # the public keys and the private part
+        if at + 4 > len(raw):
+            return None
+        at += 4 + int.from_bytes(raw[at : at + 4], "big")
+    return at if at <= len(raw) else None
+
+
+def _coded_lines(text: str) -> Iterator[tuple[list[tuple[int, int]], int]]:
+    """(lines, end): each base64 run of 40 characters or more with the lines that go on with it.
+
+    All lines but the last have the length of the first; ``end`` is behind the padding. A shorter
+    last line can be the first of the next ones, so a run is in two of these at most.
+    """
+    at = 0
+    while m := _CODED.search(text, at):
+        start, end = m.span()
+        if start and text[start - 1] == "\\" and text[start] in "nrt":
+            start += 1  # of an escape
+        lines = [(start, end)]
+        while (n := _NEXT_LINE.match(text, end)) and _BREAK.search(n[1]):
+            begin, after = n.span(2)
+            if after - begin > lines[0][1] - start:
+                break
+            lines.append((begin, after))
+            end = after
+            if after - begin < lines[0][1] - start:
+                break
+        yield lines, _PADDING.match(text, end).end()
+        last = lines[-1]
+        at = last[0] if len(lines) > 1 and last[1] - last[0] < lines[0][1] - start else last[1]
+
+
+def _coded_keys(text: str, lines: list[tuple[int, int]], end: int) -> Iterator[tuple[int, int]]:
+    """Spans of the private keys that fill some of ``lines``, from one line to the same or a later one.
+
+    The lines are decoded at most four times, once for each place of a line's start in a group of
+    four characters; then a look at a few headers tells whether a key starts there, and how long it is.
+    """
+    width = lines[0][1] - lines[0][0]
+    joined = "".join(text[a:b] for a, b in lines)
+    decoded: dict[int, bytes] = {}
+    first = 0
+    for k in range(len(lines)):
+        if k < first:
+            continue
+        skip = k * width % 4
+        if skip not in decoded:
+            part = joined[skip:]
+            decoded[skip] = _decode(part[:-1] if len(part) % 4 == 1 else part) or b""
+        raw, at = decoded[skip], (k * width - skip) // 4 * 3
+        whole = False
+        if raw.startswith(_OPENSSH, at):
+            stop = _openssh_key_end(raw, at)
+            whole = stop is None and is_private_key(raw[at:])
+        else:
+            stop = _der_key_end(raw, at)
+        last = None
+        if stop is not None:
+            size = k * width + -(-(stop - at) * 4 // 3)
+            if size == len(joined):
+                last = len(lines) - 1
+            elif size % width == 0:
+                last = size // width - 1
+        if last is None and (whole or stop is not None and raw.startswith(_OPENSSH, at)):
+            last = len(lines) - 1  # cut off, or with more behind it
+        if last is not None:
+            first = last + 1
+            yield lines[k][0], _padded(text, lines[last][1], end, -(len(joined) - k * width) % 4) if first == len(lines) else lines[last][1]
+
+
+def _padded(text: str, last: int, end: int, size: int) -> int:
+    """``end``, or behind the rest of ``size`` signs of padding if a break parts them from ``last``."""
+    m = _NEXT_PADDING.match(text, end)
+    return m.end() if m and _BREAK.search(m[1]) and end - last + len(m[2]) == size else end
+
+
 def is_signed_token(token: str) -> bool:
     """Whether header and claims of header.claims.signature are JSON objects, with an algorithm."""
     parts = token.split(".")
@@ -130,6 +238,22 @@ def is_signed_token(token: str) -> bool:
     return isinstance(algorithm, str) and (bool(parts[2]) or algorithm.lower() == "none")
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _within(spans: list[tuple[int, int]], at: int) -> bool:
+    """Whether ``at`` is in one of the disjoint, ascending ``spans``."""
+    k = bisect.bisect_right(spans, (at, len(spans) and spans[-1][1])) - 1
+    return k >= 0 and at < spans[k][1]
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind."""
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
@@ -138,14 +262,17 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     keys: list[tuple[int, int]] = []
     for m in _PEM.finditer(text):
         close = text.find(f"-----END {m[1]}-----", m.end(), m.end() + _PEM_CHARACTERS)
-        body = "".join(text[m.end() : close].split()) if close >= 0 else ""
+        body = _GLUE.sub("", text[m.end() : close]) if close >= 0 else ""
         if body and (raw := _decode(body)) and is_private_key(raw):
             keys.append((m.start(), close + len(m[1]) + 14))
-    for pattern, read in ((_CODED, _decode), (_HEX_ANY, _unhex)):
-        for m in pattern.finditer(text):
-            inside = any(a <= m.start() < b for a, b in keys)
-            if not inside and (raw := read(m[0])) and is_private_key(raw):
-                keys.append(m.span())
+    pems = _merged(keys)
+    coded = [s for lines, end in _coded_lines(text) for s in _coded_keys(text, lines, end)]
+    coded = sorted({s for s in coded if not _within(pems, s[0])})
+    keys += coded
+    pems = _merged(keys)
+    for m in _HEX_ANY.finditer(text):
+        if not _within(pems, m.start()) and (raw := _unhex(m[0])) and is_private_key(raw):
+            keys.append(m.span())
     found += [("key", a, b) for a, b in keys]
     found += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -116,6 +116,54 @@ def test_private_keys_are_confirmed(raw):
     assert not [s for s in S.find_secrets(broken) if s[0] == "key" and s[1] == 0] or raw is EC
 
 
+def _key_spans(text):
+    return [s[1:] for s in S.find_secrets(text) if s[0] == "key"]
+
+
+def _wrapped(raw, width, between="\n"):
+    coded = _b64(raw)
+    return between.join(coded[i : i + width] for i in range(0, len(coded), width))
+
+
+@pytest.mark.parametrize("raw", [RSA, EC, PKCS8], ids=["rsa", "ec", "pkcs8"])
+@pytest.mark.parametrize("between", ["\\n", "\\r\\n", "\\\\n", '\\n"\n    "', '\\n" +\n  "', "\\n' + '", "\\\n", "\r\n", '\\\\n\\" + \\"'])
+def test_keys_with_escaped_breaks(raw, between):
+    pem = f"-----BEGIN PRIVATE KEY-----{between}{_wrapped(raw, 64, between)}{between}-----END PRIVATE KEY-----"
+    assert _key_spans(f'{{"private_key": "{pem}\\n", "x": 1}}') == [(17, 17 + len(pem))]
+    if between != "\\\n":
+        assert S._redact(f'k = "{pem}"', S.find_secrets(f'k = "{pem}"')) == 'k = "[key]"'
+
+
+@pytest.mark.parametrize("raw", [RSA, EC, PKCS8], ids=["rsa", "ec", "pkcs8"])
+@pytest.mark.parametrize("width", [64, 76, 70, 41])
+def test_wrapped_keys_without_marks(raw, width):
+    for between in ("\n", "\r\n", "\\n", '\\n"\n  "', '" +\n "'):
+        key = _wrapped(raw, width, between)
+        for before, after in (("é: ", " z"), ('"\\n', '\\n"'), ("x" * 80 + "\n", "\n"), ("y" * width + "\n", "\n\nplain words"), ("", "")):
+            assert _key_spans(before + key + after) == [(len(before), len(before) + len(key))]
+        assert not _key_spans(_wrapped(CERTIFICATE + raw[:-1], width, between))
+
+
+def test_wrapped_key_of_full_lines_in_other_lines():
+    raw = next(k for n in range(200) if len(_b64(k := _tlv(0x30, _int(0), *[_int(3**99 + 1)] * 7, _int(1 << 8 * n)))) % 64 == 0 and len(k) % 3 == 0)
+    key = _wrapped(raw, 64)
+    for before, after in (("A" * 64 + "\n", "\n" + "B" * 64 + "\nthe end"), ("", "\nthe end"), ("", "\n" + key.replace("MI", "AA", 1))):
+        assert _key_spans(before + key + after) == [(len(before), len(before) + len(key))]
+    assert _key_spans(key + "\n" + key) == [(0, len(key)), (len(key) + 1, 2 * len(key) + 1)]
+    blob = _wrapped(bytes(i * i % 251 for i in range(3_000_000)), 76)
+    assert _key_spans(blob + "=\n" + key) == [(len(blob) + 2, len(blob) + 2 + len(key))]
+    assert not _key_spans("\\" * 100_000 + '"' * 100_000 + '" + ' * 50_000 + "a" * 50)
+
+
+def test_wrapped_openssh_key():
+    part = lambda b: len(b).to_bytes(4, "big") + b
+    raw = b"openssh-key-v1\0" + part(b"none") + part(b"none") + part(b"") + (1).to_bytes(4, "big") + part(bytes(51)) + part(bytes(range(136)))
+    for between in ("\n", "\\n"):
+        key = _wrapped(raw, 70, between)
+        assert _key_spans(f'"{key}" z') == [(1, 1 + len(key))]
+        assert _key_spans(key[:200]) == [(0, 200)]
+
+
 def test_other_codes_are_left_out():
     for text in (_b64(CERTIFICATE), "A" * 200, "the/quick+brown" * 10, "f" * 31, _b64(b"not a key at all, but long enough to try it")):
         assert not [s for s in S.find_secrets(text) if s[0] in ("key", "jwt")]
