@@ -42,12 +42,9 @@ _BREAK = re.compile(r"[\r\n]|\\[nr]")
 _PADDING = re.compile(r"={0,2}")
 _NEXT_PADDING = re.compile(rf"({_BETWEEN})(={{1,2}})(?!=)")
 _HEX_ANY = re.compile(r"[0-9a-fA-F]{80,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+_PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)(?=-----)")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 
-#: No private key in use is as long in base64.
-_PEM_CHARACTERS = 1 << 16
-
 _OPENSSH = b"openssh-key-v1\0"
 
 _HEX_BYTE = np.zeros(256, bool)
@@ -254,17 +251,28 @@ def _within(spans: list[tuple[int, int]], at: int) -> bool:
     return k >= 0 and at < spans[k][1]
 
 
+def _pem_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the private keys between BEGIN and END lines of one label, of any length.
+
+    An END belongs to the last BEGIN before it, so that no two bodies overlap and each is read once.
+    """
+    begin = None
+    for m in _PEM.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+        elif begin and begin[2] == m[2]:
+            body = _GLUE.sub("", text[begin.end() + 5 : m.start()])
+            if body and (raw := _decode(body)) and is_private_key(raw):
+                yield begin.start(), m.end() + 5
+            begin = None
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind."""
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text) if len(m[0]) >= 32]
-    keys: list[tuple[int, int]] = []
-    for m in _PEM.finditer(text):
-        close = text.find(f"-----END {m[1]}-----", m.end(), m.end() + _PEM_CHARACTERS)
-        body = _GLUE.sub("", text[m.end() : close]) if close >= 0 else ""
-        if body and (raw := _decode(body)) and is_private_key(raw):
-            keys.append((m.start(), close + len(m[1]) + 14))
+    keys = list(_pem_keys(text))
     pems = _merged(keys)
     coded = [s for lines, end in _coded_lines(text) for s in _coded_keys(text, lines, end)]
     coded = sorted({s for s in coded if not _within(pems, s[0])})

@@ -164,6 +164,20 @@ def test_wrapped_openssh_key():
         assert _key_spans(key[:200]) == [(0, 200)]
 
 
+def test_long_and_nested_pem():
+    raw = _tlv(0x30, _int(0), *[_int(3**9999 + k) for k in range(24)])
+    raw = raw if S.is_private_key(raw) else _tlv(0x30, _int(0), *[_int(3**30_000 + k) for k in range(8)])
+    mark = lambda which, label: f"-----{which} {label}PRIVATE KEY-----"
+    # lines of different lengths, which only the marks hold together
+    code = _b64(raw)
+    lines = "\n".join([code[:30], code[30:90], *[code[i : i + 50] for i in range(90, len(code), 50)]])
+    pem = f"{mark('BEGIN', 'RSA ')}\n{lines}\n{mark('END', 'RSA ')}"
+    assert len(code) < 1 << 16 < len(pem := pem.replace("\n", " " * 100 + "\n"))
+    for before, after in (("", ""), (mark("BEGIN", "RSA ") + "\n", ""), (mark("END", "RSA "), mark("END", "RSA ")), (mark("BEGIN", "EC "), mark("END", "EC "))):
+        assert _key_spans(before + pem + after) == [(len(before), len(before) + len(pem))]
+    assert not _key_spans(mark("BEGIN", "") * 20_000 + mark("END", "") * 20_000)
+
+
 def test_other_codes_are_left_out():
     for text in (_b64(CERTIFICATE), "A" * 200, "the/quick+brown" * 10, "f" * 31, _b64(b"not a key at all, but long enough to try it")):
         assert not [s for s in S.find_secrets(text) if s[0] in ("key", "jwt")]
