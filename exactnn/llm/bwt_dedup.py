@@ -326,12 +326,20 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the job -----------------------------------------------------------------------------------
 
 
-def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _prefix(docs: DataFrame) -> str:
+    """What no column of ``docs`` begins with."""
+    taken = [c.lower() for c in docs.columns]
+    mark = "__"
+    while any(c.startswith(mark) for c in taken):
+        mark += "_"
+    return mark
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, mark: str) -> DataFrame:
     """``docs`` with a name for each row: id and text hash. Rows of one name are the same text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.withColumns(
-        {"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)), "__h": F.xxhash64(text), "__text": text}
-    )
+    name = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))
+    return docs.withColumns({f"{mark}id": name, f"{mark}h": F.xxhash64(text), f"{mark}text": text})
 
 
 def repeated_ranges(
@@ -342,9 +350,8 @@ def repeated_ranges(
 
     Ranges may overlap. ``id`` is the row's id (the least long for null), ``h`` its text's hash.
     """
-    texts = _named(docs, id_col, text_col).select(
-        F.col("__id").alias("id"), F.col("__h").alias("h"), F.col("__text").alias("text")
-    )
+    mark = _prefix(docs)
+    texts = _named(docs, id_col, text_col, mark).select(*[F.col(mark + c).alias(c) for c in ("id", "h", "text")])
     cut = texts.where(F.octet_length("text") >= length).mapInArrow(
         _segment_rows(length, gram), "v long, c long, id long, h long, start long, size int, turns boolean"
     )
@@ -413,14 +420,18 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_ranges(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
+def _with_ranges(docs: DataFrame, id_col: str, text_col: str, **options) -> tuple[DataFrame, str]:
+    """``docs`` with columns id, h, text and ranges, and the prefix that their names have."""
+    mark = _prefix(docs)
     ranges = repeated_ranges(docs, id_col=id_col, text_col=text_col, **options)
-    ranges = ranges.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("ranges").alias("__ranges"))
-    return _named(docs, id_col, text_col).join(ranges, ["__id", "__h"], "left")
+    ranges = ranges.select(*[F.col(c).alias(mark + c) for c in ("id", "h", "ranges")])
+    return _named(docs, id_col, text_col, mark).join(ranges, [f"{mark}id", f"{mark}h"], "left"), mark
 
 
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of every row.
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, text of every row.
+
+    ``text`` is what is left; where a cut parts a character, the bytes left of it are not in it.
 
     Every byte covered by a string of ``length`` bytes that starts anywhere else too is removed,
     judged on the input. Null and empty texts have no bytes. Rows with null or equal ids are texts
@@ -430,36 +441,41 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, str]] = []
+            out: list[tuple[int, int, int, str, str]] = []
             texts, ranges = batch.column("text"), batch.column("ranges").to_pylist()
             for text, own in zip(texts, ranges, strict=True):
                 data, spans = text.as_buffer().to_pybytes(), _merged(own)
                 kept = _kept(data, spans)
-                out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+                out.append((
+                    len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
+                    kept.decode(errors="ignore"),
+                ))
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
             )
 
-    joined = _with_ranges(docs, id_col, text_col, **options).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col("__text").alias("text"), F.col("__ranges").alias("ranges")
+    joined, mark = _with_ranges(docs, id_col, text_col, **options)
+    joined = joined.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(f"{mark}text").alias("text"), F.col(f"{mark}ranges").alias("ranges")
     )
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text_col``; all rows and columns stay.
 
-    Where a cut parts a character, the bytes left of it go too. Null stays null.
+    Where a cut parts a character, the bytes left of it go too. Null stays null, an empty table
+    empty. Of rows that repeat id and text each repeats the other; columns may have any names.
     """
     columns = docs.columns
     at = columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ranges = batch.column("__ranges")
+            ranges = batch.column(len(columns))
             own = batch.select(columns)
             hit = np.flatnonzero(ranges.is_valid().to_numpy(zero_copy_only=False)).tolist()
             if hit:
@@ -472,5 +488,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 own = pa.RecordBatch.from_arrays(arrays, schema=own.schema)
             yield own
 
-    joined = _with_ranges(docs, id_col, text_col, **options).select(*columns, "__ranges")
+    joined, mark = _with_ranges(docs, id_col, text_col, **options)
+    joined = joined.select(*columns, f"{mark}ranges")
     return joined.mapInArrow(run, docs.schema)

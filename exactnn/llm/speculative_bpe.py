@@ -202,9 +202,10 @@ class SpeculativeBpe:
                 first = first[first + 1 < len(ids)]
                 first = first[owner[first] == owner[first + 1]]
                 rank[first] = self._ranks(ids[first], ids[first + 1])
-        owner = np.concatenate([o for o, _ in done])
+        none = np.zeros(0, np.int64)  # words may all be empty
+        owner = np.concatenate([none, *[o for o, _ in done]])
         order = np.argsort(owner, kind="stable")
-        return np.concatenate([i for _, i in done])[order], np.bincount(owner, minlength=len(words))
+        return np.concatenate([none, *[i for _, i in done]])[order], np.bincount(owner, minlength=len(words))
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         rank = self._pair_rank.get(a * self._size + b)
@@ -335,8 +336,8 @@ class _Pairs:
 class Codec:
     """Whole texts to ids and back."""
 
-    def __init__(self, path: str, classes: bytes):
-        self.special = special_tokens(path)
+    def __init__(self, path: str, classes: bytes, special: bool = True):
+        self.special = special_tokens(path) if special else {}
         self.model = SpeculativeBpe(path)
         self.split = PreTokenizer(classes, list(self.special))
         self.memo = WordMemo(self._words)
@@ -387,9 +388,9 @@ class Codec:
 
 
 @functools.lru_cache(maxsize=2)
-def codec(path: str, classes: bytes) -> Codec:
-    """One codec per worker and file."""
-    return Codec(path, classes)
+def codec(path: str, classes: bytes, special: bool = True) -> Codec:
+    """One codec per worker and file. Without ``special``, special strings are plain text."""
+    return Codec(path, classes, special)
 
 
 def encode_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -152,7 +152,8 @@ def _plain_removed(texts, length):
                 gone[i : i + length] = True
         spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
         kept = bytes(b for b, g in zip(r, gone, strict=False) if not g)
-        out.append((len(r), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        left = kept.decode(errors="ignore")
+        out.append((len(r), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), left))
     return out
 
 
@@ -178,7 +179,7 @@ def test_removed_bytes(spark, hot, block):
     assert got == sorted(((r[0], *p) for r, p in zip(rows, _plain_removed(texts, 30), strict=True)), key=repr)
     cut = {r.doc_id: r for r in W.remove_repeats(docs, **options).collect()}
     assert len(cut) == len(rows) and cut[0].start == 1 and cut[len(texts) - 2].text is None
-    for (i, *_), (_, removed, _, _) in zip(rows, _plain_removed(texts, 30), strict=True):
+    for (i, *_), (_, removed, *_) in zip(rows, _plain_removed(texts, 30), strict=True):
         if not removed:
             assert cut[i].text == texts[i if i is not None else 3]
 
@@ -221,5 +222,14 @@ def test_suffix_array_and_intervals():
                     assert names.setdefault(own, name[b + i]) == name[b + i]
 
 
+def test_names_of_columns_do_not_clash(spark):
+    same = "word after word " * 30
+    rows = [(1, same, 7, "h", "t", [1]), (2, same, 8, "i", "u", [2]), (3, "short", 9, "j", "v", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, __h string, __TEXT string, ___ranges array<int>")
+    got = sorted(W.remove_repeats(docs, length=100, gram=40).collect())
+    assert [tuple(r)[2:] for r in got] == [r[2:] for r in rows]
+    assert [r.text for r in got] == ["", "", "short"]
+
+
 def test_no_texts(no_docs):
     assert W.removal_report(no_docs).count() == W.remove_repeats(no_docs).count() == 0

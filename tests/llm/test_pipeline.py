@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against its operators and plain Python."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -47,14 +48,31 @@ def test_one_of_each_group_stays(kept):
 
 def test_no_long_string_repeats_that_was_there(kept):
     before = [r.text.encode() for r in kept["near_duplicates"].collect()]
-    seen = Counter(t[i : i + 400] for t in before for i in range(0, len(t) - 399))
+    size = P.PASSAGE_BYTES
+    seen = Counter(t[i : i + size] for t in before for i in range(0, len(t) - size + 1))
     repeated = {s for s, n in seen.items() if n > 1}
     after = [r.text.encode() for r in kept["repeated_passages"].collect()]
     assert len(after) == len(before) and repeated
-    left = sum(t[i : i + 400] in repeated for t in after for i in range(len(t) - 399))
+    left = sum(t[i : i + size] in repeated for t in after for i in range(len(t) - size + 1))
     assert not left
 
 
+def test_passages_of_over_50_words_go(spark, sf, documents):
+    """Passages of 51 words that stand in several documents, in each language at hand."""
+    rng, rows, passages = random.Random(4), [], []
+    for lang in ("en", "de", "fr", "es"):
+        words = [w for r in documents.where(f"lang = '{lang}'").limit(20).collect() for w in r.text.split()]
+        passages.append(" ".join(rng.sample(words, 51)))
+        for _ in range(3):
+            own = [" ".join(rng.sample(words, 40)) for _ in range(2)]
+            rows.append((len(rows), own[0] + "\n" + passages[-1] + "\n" + own[1], lang, "x", 0))
+    docs = spark.createDataFrame(rows, documents.schema)
+    left = {r.doc_id: r.text for r in P.repeated_passages(spark, docs, sf).collect()}
+    for i, text, *_ in rows:
+        first, passage, second = text.split("\n")
+        assert passage not in left[i] and first in left[i] and second in left[i]
+
+
 def test_no_secret_is_left(kept):
     texts = [r.text for r in kept["secrets"].collect()]
     assert len(texts) == kept["repeated_passages"].count()
@@ -101,8 +119,10 @@ def test_repeated_rows_come_out_once_and_whole(spark, sf, documents):
     scored = byte_cnn.keep_good(long, spark.read.parquet(f"{sf}/labels.parquet"))
     found = odd_minhash.near_duplicates(materialize(scored, "scored")).where("kept").select("doc_id")
     texts = [r.text for r in scored.join(found, "doc_id", "left_semi").orderBy("doc_id").limit(12).collect()]
-    seen = Counter(t.encode()[i : i + 400] for t in texts for i in range(len(t.encode()) - 399))
-    texts = [t for t in texts if all(seen[t.encode()[i : i + 400]] == 1 for i in range(len(t.encode()) - 399))]
+    size = P.PASSAGE_BYTES
+    strings = lambda t: [t.encode()[i : i + size] for i in range(len(t.encode()) - size + 1)]
+    seen = Counter(s for t in texts for s in strings(t))
+    texts = [t for t in texts if all(seen[s] == 1 for s in strings(t))]
     texts = [t for t in texts if not structural_secrets.find_secrets(t)][:5]
     assert len(texts) == 5
     same, bare, near, mixed, reused = texts

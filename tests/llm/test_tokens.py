@@ -79,6 +79,25 @@ def test_speculation_is_verified(tool):
     assert wrong > 100
 
 
+LONG_WORDS = [
+    "supercalifragilisticexpialidocious" * 2, "ab" * 40, "Donaudampfschifffahrtselektrizitätenhauptbetriebswerkbauunterbeamtengesellschaft",
+    "吾輩は猫である名前はまだ無いどこで生れたかとんと見当がつかぬ", "漢字" * 30_000,
+]
+
+
+@pytest.mark.parametrize("word", LONG_WORDS, ids=range(len(LONG_WORDS)))
+def test_a_long_failing_word_alone(spark, tool, word):
+    """Long words whose speculation fails, with no short one in the same step."""
+    ids, counts = tool.model.encode_words([word.encode()])
+    assert ids.tolist() == _ids(word) and counts.tolist() == [len(ids)]
+    docs = spark.createDataFrame([(1, word)], "doc_id long, text string")
+    trip = speculative_bpe.encode_round_trip(docs, PATH).first()
+    assert (trip.n_tokens, trip.ids_sha256) == (len(ids), _digest(ids))
+    assert resync_count.count_tokens(docs, PATH, chunk=64, overlap=8).first().n_tokens == len(ids)
+    pieces = sorted(pow2_packing.pack(docs, PATH).collect(), key=lambda r: r.start)
+    assert np.concatenate([np.frombuffer(bytes(p.ids), "<u4") for p in pieces]).tolist() == [*_ids(word), 1]
+
+
 def test_counts_on_odd_texts(odd_docs):
     rows = resync_count.count_tokens(odd_docs, PATH, limit=5, chunk=64, overlap=8).collect()
     want = [
