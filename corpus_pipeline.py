@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from exactnn.llm import bwt_dedup, byte_cnn, odd_minhash, pow2_packing, structural_secrets
 from exactnn.session import materialize
 
+#: What 50 words take at least in the languages at hand; the gram that places strings in blocks.
+PASSAGE_BYTES, PASSAGE_GRAM = 240, 96
+
 #: SQL cannot express the trained network or the tokenizer; the tests compare with plain Python.
 ORACLE_SQL = None
 
@@ -39,8 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 400 bytes that stand more than once."""
-    return _recounted(bwt_dedup.remove_repeats(docs, length=400))
+    """All documents, without the strings of PASSAGE_BYTES that stand more than once."""
+    return _recounted(bwt_dedup.remove_repeats(docs, length=PASSAGE_BYTES, gram=PASSAGE_GRAM))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
