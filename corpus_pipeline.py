@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from exactnn.llm import bwt_dedup, byte_cnn, odd_minhash, pow2_packing, structural_secrets
 from exactnn.session import materialize
 
-#: What 50 words take at least in the languages at hand; the gram that places strings in blocks.
-PASSAGE_BYTES, PASSAGE_GRAM = 240, 96
+#: 50 words of four bytes with their spaces; the gram that places strings in blocks.
+PASSAGE_BYTES, PASSAGE_GRAM = 200, 80
 
 #: SQL cannot express the trained network or the tokenizer; the tests compare with plain Python.
 ORACLE_SQL = None
