@@ -11,13 +11,14 @@ Two physical forms give the same rows:
     after a count has shown that they, and the running top k that each task holds for them, fit
     ``broadcast_bytes``.
 ``grid``
-    For larger query sets. Queries fall into groups of at most ``broadcast_bytes``; one group after
-    another runs in the broadcast form and stores its lists. A task reads its split of the base,
-    at most 2 GiB, once for each group, and the base is never shuffled or sorted, whatever the
-    number of queries. One group's broadcast is in memory at a time, or those of several small ones.
+    For larger query sets. Queries are stored in the shared folder as tiles. The base is read once
+    as well: a task keeps RESIDENT_BYTES of its split in memory and lets the tiles pass over them,
+    one at a time. The first tasks leave there how far each query's k-th place is for them; later
+    ones look it up, and return only what is nearer, so the lists to merge hardly grow with the
+    number of tasks. A bar that is missing, or written twice by a repeated task, changes no result.
 
-The base is read once for each group and the query side twice, so store either first where it is
-expensive to make, such as vectors that a model is still to compute.
+The query side is read twice, so store it first where it is expensive to make, such as vectors
+that a model is still to compute.
 
 Both ids have to be unique integers. Ids decide every placement by hash, so a task that is run
 again on another executor sees the same rows.
@@ -26,16 +27,22 @@ again on another executor sees the same rows.
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exactnn.functions.vectors import METRICS
 from exactnn.operators.topk import BlockTopK, drop_surplus_copies, merge_lists, vector_matrix
-from exactnn.session import MAX_PARTITIONS, MIB, input_bytes, materialize, parallelism
+from exactnn.session import MAX_PARTITIONS, MIB, input_bytes, parallelism, scratch_path
+from exactnn.sources.xvec import open_path
 
 LIST_SCHEMA = "query_id long, base_ids array<long>, distances array<double>"
 RESULT_SCHEMA = "query_id long, rank int, base_id long, distance double"
@@ -45,6 +52,9 @@ BLOCK_ROWS = 2048
 TASK_BYTES = 2048 * MIB
 PLACE_BYTES, MERGE_BYTES = 16, 256 * MIB  # of a place in a list, and of lists a merge task reads
 ROWS_PER_PLACE = 500  # base rows a task should read for each of the k places it returns
+RESIDENT_BYTES = 512 * MIB  # base vectors that a task of the grid form holds at a time
+BAR_TASKS = 16  # tasks that leave their k-th places for others
+TILE_SCHEMA = "qblock int, qids binary, qvecs binary"
 
 
 @dataclass(frozen=True)
@@ -159,9 +169,7 @@ def knn_lists(
             raise ValueError("query side exceeds broadcast_bytes; use strategy='grid'")
         return _broadcast_form(queries, rows, k, metric, size, tasks, decimals)
     if strategy == "grid":
-        # hashing spreads the queries of a group by some standard deviations
-        groups = max(1, math.ceil(1.05 * size.bytes(k) / broadcast_bytes))
-        return _grid_form(queries, rows, k, metric, size, groups, tasks, decimals)
+        return _grid_form(queries, rows, k, metric, size, tasks, decimals)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -169,12 +177,7 @@ def _broadcast_form(
     queries, rows, k, metric, size: QuerySize, tasks: int | None, decimals: int | None
 ) -> DataFrame:
     dim, per_block = size.dim, block_rows(size.dim)
-    blocks = math.ceil(size.rows / per_block)
-    query_blocks = (
-        queries.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        .groupBy("qblock")
-        .applyInArrow(_pack_queries(dim), "qblock int, qids binary, qvecs binary")
-    )
+    query_blocks, blocks = _query_blocks(queries, size)
     base_packs = (rows.coalesce(tasks) if tasks else rows).mapInArrow(
         _pack_base(dim, k, per_block), "leading boolean, bids binary, bvecs binary"
     )
@@ -190,24 +193,141 @@ def _broadcast_form(
     )
 
 
+def _query_blocks(queries: DataFrame, size: QuerySize) -> tuple[DataFrame, int]:
+    blocks = math.ceil(size.rows / block_rows(size.dim))
+    numbered = queries.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    return numbered.groupBy("qblock").applyInArrow(_pack_queries(size.dim), TILE_SCHEMA), blocks
+
+
 def _grid_form(
-    queries, rows, k, metric, size: QuerySize, groups: int, tasks: int | None, decimals: int | None
+    queries, rows, k, metric, size: QuerySize, tasks: int | None, decimals: int | None
 ) -> DataFrame:
-    grouped = queries.withColumn("qgroup", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)))
-    if groups > 1:
-        grouped = materialize(grouped, "queries")
-    part = QuerySize(math.ceil(size.rows / groups), size.dim)
-    together = max(1, BROADCAST_BYTES // max(1, part.bytes(k)))  # small groups share a job
-    found = None
-    for first in range(0, groups, together):
-        lists = None
-        for group in range(first, min(first + together, groups)):
-            own = grouped.where(F.col("qgroup") == group).drop("qgroup")
-            more = _broadcast_form(own, rows, k, metric, part, tasks, decimals)
-            lists = more if lists is None else lists.unionByName(more)
-        lists = materialize(lists, f"lists-{first}") if groups > 1 else lists
-        found = lists if found is None else found.unionByName(lists)
-    return found
+    tiles = scratch_path(rows.sparkSession, "tiles")
+    _query_blocks(queries, size)[0].write.parquet(tiles)
+    packs = (rows.coalesce(tasks) if tasks else rows).mapInArrow(
+        sweep(_packs_of(size.dim, k), size.dim, k, metric, decimals, tiles, resident=RESIDENT_BYTES), LIST_SCHEMA
+    )
+    return packs
+
+
+class Pack(NamedTuple):
+    """Base rows that are scored together; ``ball`` says where they lie, if that is known."""
+
+    ids: np.ndarray
+    vectors: np.ndarray
+    ball: tuple | None = None
+
+
+def _packs_of(dim: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[Pack]]:
+    per_block = block_rows(dim)
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[Pack]:
+        for batch in batches:
+            ids, vectors = batch.column(0).to_numpy(), vector_matrix(batch.column(1), dim)
+            for at in range(0, len(ids), per_block):
+                kept, own = drop_surplus_copies(ids[at:at + per_block], vectors[at:at + per_block], k)
+                yield Pack(kept.copy(), own.copy())
+
+    return packs
+
+
+class Tile(NamedTuple):
+    ids: np.ndarray
+    vectors: np.ndarray
+    bar: np.ndarray | None
+
+
+def read_tiles(path: str, dim: int, dtype=np.float32) -> Iterator[Tile]:
+    """The query tiles stored at ``path``, always in one order, one in memory at a time."""
+    system, root = open_path(path)
+    found = system.get_file_info(fs.FileSelector(root))
+    for name in sorted(i.path for i in found if i.base_name.endswith(".parquet")):
+        with system.open_input_file(name) as file:
+            for batch in pq.ParquetFile(file).iter_batches(batch_size=1):
+                cell = {c: batch.column(c)[0].as_buffer() for c in batch.schema.names if c in ("qids", "qvecs", "qbars")}
+                bar = np.frombuffer(cell["qbars"], np.float64) if "qbars" in cell else None
+                yield Tile(
+                    np.frombuffer(cell["qids"], np.int64),
+                    np.frombuffer(cell["qvecs"], dtype).reshape(-1, dim), bar,
+                )
+
+
+class _Bars:
+    """k-th places that other tasks have left, in the order of the tiles; and a place for one's own."""
+
+    def __init__(self, path: str):
+        self._system, self._root = open_path(path)
+        self._system.create_dir(self._root, recursive=True)
+        found = self._system.get_file_info(fs.FileSelector(self._root))
+        self._files = [self._system.open_input_file(i.path) for i in found if i.base_name.endswith(".bar")]
+        self._own = None
+
+    def next(self, n: int) -> np.ndarray | None:
+        if not self._files:
+            return None
+        return np.min([np.frombuffer(f.read(8 * n), np.float64) for f in self._files], axis=0)
+
+    def leave(self, number: int, kth: np.ndarray) -> None:
+        if self._own is None:
+            self._name = f"{self._root}/{number:04d}"
+            self._draft = f"{self._name}-{uuid.uuid4().hex}.tmp"
+            self._own = self._system.open_output_stream(self._draft)
+        self._own.write(kth.astype(np.float64).tobytes())
+
+    def close(self) -> None:
+        """What was left becomes visible to others at once, and only whole."""
+        for file in self._files:
+            file.close()
+        if self._own is not None:
+            self._own.close()
+            self._system.move(self._draft, f"{self._name}.bar")
+
+
+def sweep(
+    packs_of, dim: int, k: int, metric: str, decimals: int | None, tiles: str,
+    offer: Callable | None = None, resident: int = RESIDENT_BYTES, count=None, kernel=BlockTopK, dtype=np.float32,
+):
+    """Task function of the grid form: lists of the queries in ``tiles`` for each resident part.
+
+    ``offer(top, packs)`` ranks the packs for a tile (all of them for all queries by default);
+    ``count`` takes the number of pairs scored; ``kernel`` ranks vectors of ``dtype``.
+    """
+
+    def every(top: BlockTopK, packs: list[Pack]) -> None:
+        for pack in packs:
+            top.offer(pack.ids, pack.vectors)
+
+    def part(packs: list[Pack], number: int | None) -> Iterator[pa.RecordBatch]:
+        bars = _Bars(f"{tiles}.bars")
+        for tile in read_tiles(tiles, dim, dtype):
+            bar = bars.next(len(tile.ids))
+            if tile.bar is not None:
+                bar = tile.bar if bar is None else np.minimum(bar, tile.bar)
+            top = kernel(tile.ids, tile.vectors, k, metric, decimals, bar)
+            (offer or every)(top, packs)
+            if count is not None:
+                count.add(top.products)
+            if number is not None:
+                bars.leave(number, top.kth())
+            yield from top.batches()
+        bars.close()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId()
+        number = number if number < BAR_TASKS else None
+        held, size = [], 0
+        for pack in packs_of(batches):
+            held.append(pack)
+            size += pack.vectors.nbytes
+            if size >= resident:
+                yield from part(held, number)
+                held, size, number = [], 0, None
+        if held:
+            yield from part(held, number)
+
+    return run
 
 
 def _pack_queries(dim: int):

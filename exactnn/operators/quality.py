@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -103,6 +105,13 @@ def feasible_k(base_rows: int, k: int) -> bool:
     return base_rows >= k
 
 
+def feasibility(base: DataFrame, ks: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., k, base_rows, feasible): for each k whether the base, or each group of it, can fill k places."""
+    counts = base.groupBy(*by).agg(F.count("*").alias("base_rows"))
+    asked = F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k")
+    return counts.select(*by, asked, "base_rows").withColumn("feasible", F.col("base_rows") >= F.col("k"))
+
+
 def completeness(result: DataFrame, query: DataFrame, k: int, query_id: str = "query_id") -> DataFrame:
     """Queries without any, with fewer than, and with exactly ``k`` neighbours."""
     found = result.groupBy("query_id").agg(F.count("*").alias("_found"))

@@ -116,14 +116,17 @@ class BlockTopK:
     """Running top k of one block of queries.
 
     Survivors are collected and merged into the ranking in groups. Meanwhile the old k-th place
-    is the bar for new ones, which lets a few more through and loses none.
+    is the bar for new ones, which lets a few more through and loses none. ``bar`` holds, for each
+    query, a distance within which k base rows are known elsewhere: farther ones are left out.
     """
 
     def __init__(
         self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str,
-        decimals: int | None = None,
+        decimals: int | None = None, bar: np.ndarray | None = None,
     ):
         self.decimals = decimals
+        self.bar = np.full(len(query_ids), np.inf) if bar is None else bar.copy()
+        self.products = 0  # pairs scored so far
         # copies: the arguments are views of an Arrow batch that should not stay in memory
         self.query_ids, self.k, self.metric = query_ids.copy(), k, metric
         self.queries = np.array(queries, dtype=np.float32)
@@ -136,7 +139,8 @@ class BlockTopK:
         self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.waiting_rows = 0
 
-    def offer(self, base_ids: np.ndarray, base: np.ndarray) -> None:
+    def offer(self, base_ids: np.ndarray, base: np.ndarray, some: np.ndarray | None = None) -> None:
+        """Rank base rows for all queries, or for the places ``some`` among them."""
         wide = base.astype(np.float64)
         norms = np.sqrt(np.einsum("ij,ij->i", wide, wide))
         biggest = float(norms.max(initial=0.0))
@@ -144,17 +148,27 @@ class BlockTopK:
             raise ValueError(f"vectors longer than {_MAX_NORM:g} overflow float32 products")
         right = _screen_base(base, wide, norms, self.metric)
         slack = self._slack(base.shape[1], biggest)
-        for top in range(0, len(self.query_ids), TILE_ROWS):
+        queries = len(self.query_ids) if some is None else len(some)
+        self.products += queries * len(base)
+        for top in range(0, queries, TILE_ROWS):
             tile = slice(top, top + TILE_ROWS)
-            score = _buffer("score", (len(self.query_ids[tile]), len(base)), np.float32)
-            np.matmul(self.left[tile], right, out=score)
+            if some is not None:
+                tile = some[tile]
+            left = self.left[tile]
+            score = _buffer("score", (len(left), len(base)), np.float32)
+            np.matmul(left, right, out=score)
             mask = _buffer("mask", score.shape, np.bool_)
             bound = self._bound(tile, score, slack[tile])
             np.less_equal(score, bound[:, None], out=mask)
             rows, cols = np.divmod(np.flatnonzero(mask), score.shape[1])
             if len(rows):
                 exact = self._measure(tile, rows, cols, wide, norms)
-                self._admit(rows + top, base_ids[cols], exact)
+                self._admit(rows + top if some is None else tile[rows], base_ids[cols], exact)
+
+    def kth(self) -> np.ndarray:
+        """For each query the distance beyond which nothing is wanted any more."""
+        self._merge()
+        return np.minimum(self.dist[:, -1], self.bar)
 
     def _slack(self, dim: int, biggest: float) -> np.ndarray:
         """Largest error of a float32 score, per query, for base norms up to ``biggest``."""
@@ -167,9 +181,9 @@ class BlockTopK:
             return np.full(len(self.query_ids), 2 * gamma)
         return gamma * self.query_norm * biggest + 4 * _UNIT
 
-    def _bound(self, tile: slice, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    def _bound(self, tile, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
         """Largest score per query that may still enter the top k."""
-        worst = self.dist[tile, -1]
+        worst = np.minimum(self.dist[tile, -1], self.bar[tile])
         shift = -self.query_sq[tile] if self.metric == "sqeuclidean" else -1.0
         known = worst + shift + slack
         unfilled = np.isinf(worst)
@@ -182,7 +196,7 @@ class BlockTopK:
         known = (known + np.abs(known) * 2 * _UNIT).astype(np.float32)
         return np.nextafter(known, np.float32(np.inf))
 
-    def _measure(self, tile: slice, rows, cols, wide, norms) -> np.ndarray:
+    def _measure(self, tile, rows, cols, wide, norms) -> np.ndarray:
         queries = self.queries[tile].astype(np.float64)
         exact = np.empty(len(rows))
         step = max(1, _VERIFY_ELEMENTS // wide.shape[1])
@@ -207,10 +221,11 @@ class BlockTopK:
     def _admit(self, rows: np.ndarray, ids: np.ndarray, dist: np.ndarray) -> None:
         last_d, last_id = self.dist[rows, -1], self.ids[rows, -1]
         better = (dist < last_d) | ((dist == last_d) & (ids < last_id))
+        better &= dist <= self.bar[rows]
         if better.any():
             self.waiting.append((rows[better], ids[better], dist[better]))
             self.waiting_rows += len(self.waiting[-1][0])
-        if self.waiting_rows > self.dist.size // 2 or np.isinf(last_d).any():
+        if self.waiting_rows > self.dist.size // 2 or np.isinf(np.minimum(last_d, self.bar[rows])).any():
             self._merge()
 
     def _merge(self) -> None:
@@ -228,16 +243,18 @@ class BlockTopK:
         self.dist[touched] = all_dist[keep].reshape(len(touched), self.k)
 
     def batches(self, places_per_batch: int = 1 << 18):
-        """One (query_id, base_ids, distances) row per query, in batches."""
+        """One (query_id, base_ids, distances) row per query that found any, in batches."""
         self._merge()
         step = max(1, places_per_batch // self.k)
-        for at in range(0, len(self.query_ids), step):
-            dist, ids = self.dist[at:at + step], self.ids[at:at + step]
+        found = np.flatnonzero(np.isfinite(self.dist[:, 0]))
+        for at in range(0, len(found), step):
+            own = found[at:at + step]
+            dist, ids = self.dist[own], self.ids[own]
             filled = np.isfinite(dist)
             offsets = pa.array(np.r_[0, np.cumsum(filled.sum(axis=1))], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(self.query_ids[at:at + step]),
+                    pa.array(self.query_ids[own]),
                     pa.ListArray.from_arrays(offsets, pa.array(ids[filled])),
                     pa.ListArray.from_arrays(offsets, pa.array(dist[filled])),
                 ],

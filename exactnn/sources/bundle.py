@@ -69,6 +69,16 @@ def bundle_manifest(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def bundle_types(spark: SparkSession, path: str) -> DataFrame:
+    """(part, element, dtype, encoding): the stored element type of each part, and what its field notes."""
+    rows = []
+    for name, df in read_bundle(spark, path).items():
+        field = df.schema["vector"]
+        noted = field.metadata or {}
+        rows.append((name, field.dataType.elementType.simpleString(), noted.get("dtype"), noted.get("encoding")))
+    return spark.createDataFrame(rows, "part string, element string, dtype string, encoding string")
+
+
 def check_positions(base_rows: int) -> None:
     """Raise for a base whose positions an ivec cannot hold."""
     if base_rows > MAX_POSITION:

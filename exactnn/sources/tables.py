@@ -115,9 +115,11 @@ def set_stamp(spark: SparkSession, path: str, stamp: str) -> None:
 def read_blocks(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """Positional block files ``<kind><number>.parquet`` with ``block_id`` and ``query_id``.
 
-    The query number is the row position inside its file.
+    The query number is the row position inside its file. Files may name their columns differently;
+    a row has nulls in the columns of other files.
     """
-    df = spark.read.option("pathGlobFilter", f"{kind}[0-9]*.parquet").parquet(folder)
+    options = {"pathGlobFilter": f"{kind}[0-9]*.parquet", "mergeSchema": "true"}
+    df = spark.read.options(**options).parquet(folder)
     number = F.regexp_extract(F.col("_metadata.file_name"), rf"^{kind}(\d+)\.parquet$", 1)
     positional = df.withColumn("block_id", number.cast("int")).withColumn(
         "query_id", F.col("_metadata.row_index")

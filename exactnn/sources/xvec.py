@@ -5,7 +5,9 @@ or int32 (ivec) values; all records of a dataset have the same dimension. A data
 or a folder of part files whose concatenation in name order is that file.
 
 Reading gives ``idx`` (record number from 0) and ``vector``. Tasks read byte ranges cut at
-record borders. Writing is one part file per task, moved into place on commit; or, with
+record borders. The options ``start``, ``end`` and ``records`` (numbers, comma-joined) choose what is
+read: a run of wanted records is a slice, and nothing else is opened or read. They are options and
+no pushed filters, as Spark 4.1.2 plans all scans of a DataFrame by the filters of one. Writing is one part file per task, moved into place on commit; or, with
 ``layout=single`` on a shared POSIX file system, one file that all tasks write at their own
 offsets (``idx`` has to be dense). Either way a task that is repeated writes the same bytes.
 """
@@ -69,6 +71,20 @@ class XvecReader(DataSourceReader):
         self.start = int(options.get("start", 0))
         self.end = int(options["end"]) if "end" in options else None
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
+        named = options.get("records")
+        self.wanted = None if named is None else sorted({int(i) for i in named.split(",") if i.strip()})
+
+    def _runs(self, low: int, high: int) -> Iterator[tuple[int, int]]:
+        """The wanted records from ``low`` to ``high``, as ranges."""
+        if self.wanted is None:
+            yield low, high
+            return
+        own = [i for i in self.wanted if low <= i < high]
+        first = 0
+        for at in range(1, len(own) + 1):
+            if at == len(own) or own[at] != own[at - 1] + 1:
+                yield own[first], own[at - 1] + 1
+                first = at
 
     def partitions(self) -> list[Slice]:
         system, path = open_path(self.path)
@@ -84,13 +100,11 @@ class XvecReader(DataSourceReader):
             if info.size % stride:
                 raise ValueError(f"{info.path}: size is not a multiple of {stride} bytes")
             rows = info.size // stride
-            low = max(self.start - seen, 0)
-            high = rows if self.end is None else min(rows, self.end - seen)
             step = max(1, split // stride)
-            for at in range(low, high, step):
-                slices.append(
-                    Slice(info.path, at * stride, min(step, high - at), seen + at, dim)
-                )
+            last = seen + rows if self.end is None else min(seen + rows, self.end)
+            for low, high in self._runs(max(self.start, seen), last):
+                for at in range(low, high, step):
+                    slices.append(Slice(info.path, (at - seen) * stride, min(step, high - at), at, dim))
             seen += rows
         return slices or [Slice("", 0, 0, 0, 0)]
 
@@ -298,8 +312,11 @@ def _shared(spark: SparkSession, path: str) -> None:
 
 
 def read_xvec(spark: SparkSession, path: str, kind: str = "fvec", **options) -> DataFrame:
+    """(idx, vector) of a dataset. Options: ``start``, ``end``, ``splitBytes``, ``records`` (a list of idx)."""
     _shared(spark, path)
     register(spark)
+    if not isinstance(options.get("records", ""), str):
+        options["records"] = ",".join(str(int(i)) for i in options["records"])
     return spark.read.format(kind).options(**options).load(path)
 
 

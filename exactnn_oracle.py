@@ -15,6 +15,23 @@ select * from ({VECTORS})
 union all select vec_id + 100000000, v, label from ({VECTORS}) where label < 2
 union all select vec_id + 200000000, v, label from ({VECTORS}) where label < 2"""
 
+CLUSTERED = (
+    "select vec_id, label, list_transform(embedding, lambda x, i: (x::DOUBLE * 0.25"
+    " + case when i - 1 = label then 2.0 else 0.0 end)::FLOAT)::DOUBLE[] as v from embeddings"
+)
+
+SCALAR = f"""
+select vec_id, list(greatest(0, least(255, case when high > low then floor((x - low) / ((high - low) / 255.0)) else 0 end))
+       order by pos) as v
+from (select vec_id, unnest(v) as x, generate_subscripts(v, 1) as pos from ({VECTORS}))
+join (select pos, min(x) as low, max(x) as high
+      from (select unnest(v) as x, generate_subscripts(v, 1) as pos from ({VECTORS})) group by pos) using (pos)
+group by vec_id"""
+INT8 = f"select vec_id, list_transform(v, lambda x: x - 128) as v from ({SCALAR})"
+BITS = f"""
+select vec_id, list_transform(range({DIM} // 8), lambda i: list_sum(list_transform(range(8),
+       lambda j: case when v[8 * i + j + 1] > 0 then 1 << (7 - j) else 0 end))::INTEGER) as v from ({VECTORS})"""
+
 DISTANCE = {
     "sqeuclidean": "power(list_distance(q.v, b.v), 2)",
     "cosine": "1 - list_inner_product(q.v, b.v)"
@@ -332,6 +349,9 @@ ORACLE_SQL = {
         " base_id, case when rank = 5 then lag(distance) over w else distance end as distance"
         f" from ({self_knn(10, 'cosine')}) window w as (partition by query_id order by rank)",
         close("(" + DISTANCE["cosine"] + ")", "r.distance", "1e-6")),
+    "knn_balls": " union all ".join(
+        f"select *, '{m}' as metric from ({knn(ids(CLUSTERED), ids(CLUSTERED), 10, m)})" for m in DISTANCE
+    ),
     "knn_small_scale": " union all ".join(unrounded(m) for m in DISTANCE),
     "knn_from_fvec": self_knn(10, "sqeuclidean"),
     "first_n_nulls_ties": f"select * from ({DOUBLED}) {IN_ORDER} limit 12001",
@@ -471,6 +491,26 @@ ORACLE_SQL = {
     "xvec_count": f"select count(*) as row_count, {DIM}::INTEGER as dim from embeddings",
     "xvec_nth": components(
         "select vec_id as idx, v from (" + VECTORS + ") where vec_id = 123", "idx"),
+    "xvec_records": components(
+        "select vec_id as idx, v from (" + VECTORS + ") where vec_id between 121 and 179"
+        " or vec_id in (3, 7, 8, 444, 498, 499)", "idx"),
+    "block_files": self_knn(10, "sqeuclidean"),
+    "block_manifest": f"""
+    select block_id, kind, q.n as row_count, q.n * least(10, b.n) as places
+    from (select (label % 3)::INTEGER as block_id, count(*) as n from ({VECTORS}) group by label % 3) b,
+         (select count(*) as n from embeddings) q,
+         (select unnest(['distances', 'indices']) as kind)""",
+    "table_samples": f"""
+    (select block_id, query_id, rank, base_id from (
+      {" union all ".join(
+          f"select {block} as block_id, query_id, rank, base_id from ("
+          + knn(ids(VECTORS), f"select * from ({ids(VECTORS)}) where label % 3 = {block}", 10, "sqeuclidean") + ")"
+          for block in range(3))}) order by query_id, block_id, rank limit 10) union all (
+    select -1 as block_id, query_id, rank, base_id from ({self_knn(10, "sqeuclidean")})
+    order by query_id, rank limit 10)""",
+    "k_feasible": f"""
+    select label, k, n as base_rows, n >= k as feasible
+    from (select label, count(*) as n from ({VECTORS}) group by label), (select unnest([10, 50, 100]) as k)""",
     "ivec_roundtrip": "select query_id as idx, rank as pos, base_id::INTEGER as base_id"
     f" from ({self_knn(10, 'sqeuclidean')})",
     "parquet_roundtrip": components(
@@ -480,6 +520,31 @@ ORACLE_SQL = {
     union all select 'test', (select count(*) from embeddings), {DIM}
     union all select 'neighbors', (select count(*) from embeddings), 10
     union all select 'distances', (select count(*) from embeddings), 10""",
+    "bundle_quantised": f"""
+    with sizes(part, n) as (
+      select 'train', count(*) from embeddings union all select 'test', count(*) from embeddings
+      union all select 'neighbors', count(*) from embeddings union all select 'distances', count(*) from embeddings
+    ), types("of", vectors, dim, encoding) as (
+      values ('int8', 'tinyint', {DIM}, null), ('ubinary', 'smallint', {DIM} // 8, 'binary_uint8')
+    )
+    select "of", part, n as row_count,
+           (case when part in ('train', 'test') then dim else 10 end)::INTEGER as dim,
+           case part when 'neighbors' then 'bigint' when 'distances' then 'double' else vectors end as element,
+           case when part in ('train', 'test') then "of" end as dtype,
+           case when part in ('train', 'test') then encoding end as encoding
+    from sizes cross join types""",
+    "quantised_values": " union all ".join(
+        f"select '{name}' as dtype, vec_id, (generate_subscripts(v, 1) - 1)::INTEGER as pos, unnest(v)::INTEGER as value from ({source})"
+        for name, source in (
+            ("int8", INT8), ("uint8", SCALAR), ("ubinary", BITS),
+            ("binary", f"select vec_id, list_transform(v, lambda x: x - 128) as v from ({BITS})"),
+        )),
+    "knn_int8": knn(
+        f"select vec_id as id, v::DOUBLE[] as v from ({INT8})", f"select vec_id as id, v::DOUBLE[] as v from ({INT8})",
+        10, "sqeuclidean"),
+    "knn_ubinary": knn(
+        f"select vec_id as id, v from ({BITS})", f"select vec_id as id, v from ({BITS})", 10, "sqeuclidean",
+        "list_sum(list_transform(list_zip(q.v, b.v), lambda p: bit_count(xor(p[1], p[2]))))::DOUBLE"),
     "bundle_duplicates": f"""
     select 'train' as part, sum(n)::BIGINT as total_rows, count(*)::BIGINT as unique_rows,
            {counted('n > 1')} as duplicate_rows

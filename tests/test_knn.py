@@ -70,7 +70,7 @@ def test_both_forms_equal_brute_force(spark, data, metric, k):
     query, base = frame(spark, range(100), q, "query_id"), frame(spark, range(1000), b, "base_id")
     expected = brute(q, b, k, metric)
     assert as_set(knn_join(query, base, k, metric)) == expected
-    grid = knn_join(query, base, k, metric, strategy="grid", broadcast_bytes=40_000)
+    grid = knn_join(query, base, k, metric, strategy="grid")
     assert as_set(grid) == expected
 
 
@@ -93,7 +93,7 @@ def test_one_vector_holds_a_third_of_the_base(spark):
     query, base = frame(spark, range(21), q, "query_id"), frame(spark, bids, b, "base_id")
     expected = brute(q, b, 25, "sqeuclidean", bids=bids)
     assert as_set(knn_join(query, base, 25)) == expected
-    grid = knn_join(query, base, 25, strategy="grid", broadcast_bytes=4000)
+    grid = knn_join(query, base, 25, strategy="grid")
     assert as_set(grid) == expected
 
 
@@ -275,7 +275,7 @@ def test_ranks_follow_full_distances(spark, data, metric, scale):
     d = exact(q, b, metric, None)
     for found in (
         K.knn_join(query, base, 5, metric),
-        K.knn_join(query, base, 5, metric, strategy="grid", broadcast_bytes=8000),
+        K.knn_join(query, base, 5, metric, strategy="grid"),
     ):
         rows = sorted(tuple(r) for r in found.collect())
         assert len(rows) == 500
@@ -285,22 +285,39 @@ def test_ranks_follow_full_distances(spark, data, metric, scale):
                 assert j == np.argsort(d[i], kind="stable")[rank]
 
 
-@pytest.mark.parametrize("memory, scans", [(1, 23), (25_000, 5), (1 << 28, 1)])
-def test_grid_reads_the_base_in_place(spark, data, monkeypatch, memory, scans):
-    """One pass per query group, small groups several in a job, no shuffle of the base."""
-    monkeypatch.setattr(K, "BROADCAST_BYTES", memory)
+@pytest.mark.parametrize("resident, rows", [(1 << 29, 2048), (20_000, 16), (1, 7)])
+def test_grid_reads_the_base_once(spark, data, monkeypatch, resident, rows):
+    """One scan whatever the number of tiles and of resident parts, no shuffle of the base."""
+    monkeypatch.setattr(K, "RESIDENT_BYTES", resident)
+    monkeypatch.setattr(K, "block_rows", lambda dim: rows)
     q, b = data
     query, base = frame(spark, range(100), q, "query_id"), frame(spark, range(1000), b, "base_id")
-    size = K.measure_queries(query)
-    groups = -(-105 * size.bytes(10) // 100 // 5000)
-    assert groups >= 8
-    lists = K.knn_lists(query, base, 10, strategy="grid", broadcast_bytes=5000)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    seen = base.mapInArrow(counted, base.schema)
+    lists = K.knn_lists(query, seen, 10, strategy="grid", base_tasks=4)
     plan = lists._jdf.queryExecution().executedPlan().toString()
-    scans = groups if memory == 1 else scans
-    assert "Exchange" not in plan and abs(plan.count("FileScan parquet") - scans) <= 1
-    assert as_set(K.knn_join(query, base, 10, strategy="grid", broadcast_bytes=5000, decimals=6)) == brute(
-        q, b, 10, "sqeuclidean"
-    )
+    assert "Exchange" not in plan and plan.count("MapInArrow") == 2
+    found = K.knn_join(query, seen, 10, strategy="grid", base_tasks=4, decimals=6)
+    assert as_set(found) == brute(q, b, 10, "sqeuclidean")
+    assert read.value == len(b)
+
+
+def test_later_tasks_return_less(spark, data, monkeypatch):
+    """The k-th places of the first tasks bound what the others return."""
+    monkeypatch.setattr(K, "BAR_TASKS", 1)
+    q, b = data
+    query, base = frame(spark, range(100), q, "query_id"), frame(spark, range(1000), b, "base_id").repartition(20, "base_id")
+    places = lambda lists: lists.select(F.sum(F.size("base_ids"))).first()[0]
+    grid = K.knn_lists(query, base, 10, strategy="grid", base_tasks=20, size=K.measure_queries(query))
+    first = places(grid)  # tasks that start together do not see each other's bars
+    assert places(grid) < first <= 20 * 100 * 10
+    assert as_set(knn_join(query, base, 10, strategy="grid", base_tasks=20)) == brute(q, b, 10, "sqeuclidean")
 
 
 def test_tasks_follow_the_splits_of_a_source_of_unknown_size(spark, tmp_path, data):
