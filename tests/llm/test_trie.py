@@ -94,10 +94,10 @@ def test_no_conversations(spark):
 
 
 def test_one_long_conversation(spark):
-    rows = [(700, t, "user", str(t)) for t in range(5000)] + [(799, t, "user", str(t)) for t in range(3)]
+    rows = [(700, t, "user", str(t)) for t in range(600)] + [(799, t, "user", str(t)) for t in range(3)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    found = {r.depth: r for r in T.prefix_trie(turns, piece_turns=700).where("conv_id = 700").collect()}
-    assert len(found) == 5001 and found[4999].n_children == 1 and found[5000].n_children == 0
+    found = {r.depth: r for r in T.prefix_trie(turns, piece_turns=90).where("conv_id = 700").collect()}
+    assert len(found) == 601 and found[599].n_children == 1 and found[600].n_children == 0
     assert found[1].parent_conv_id == 700 and all(r.n_leaves >= 1 for r in found.values())
 
 
