@@ -52,9 +52,9 @@ class Limits(NamedTuple):
     #: Counters of the order.
     counters: int = 1 << 22
     #: Prefix shingles of a range, those a task packs at once, and those a range holds at once.
-    range_shingles: int = 1 << 20
-    pack_shingles: int = 1 << 20
-    held_shingles: int = 4 << 20
+    range_shingles: int = 1 << 18
+    pack_shingles: int = 1 << 18
+    held_shingles: int = 1 << 19
     #: Classes a task remembers to have sent; forgetting one only sends it again.
     seen_classes: int = 200_000
     #: Texts of a cell of the first round, and on a side of a cell of the second.
