@@ -349,6 +349,7 @@ ORACLE_SQL = {
         " base_id, case when rank = 5 then lag(distance) over w else distance end as distance"
         f" from ({self_knn(10, 'cosine')}) window w as (partition by query_id order by rank)",
         close("(" + DISTANCE["cosine"] + ")", "r.distance", "1e-6")),
+    "knn_updated": knn(ids(VECTORS), f"select * from ({ids(VECTORS)}) where label > 0", 10, "sqeuclidean"),
     "knn_balls": " union all ".join(
         f"select *, '{m}' as metric from ({knn(ids(CLUSTERED), ids(CLUSTERED), 10, m)})" for m in DISTANCE
     ),
