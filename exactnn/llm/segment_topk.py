@@ -2,12 +2,14 @@
 
 Cut two vectors into segments. With the means m and deviations s of a segment of n components,
 n * ((m1 - m2)**2 + (s1 - s2)**2) is at most its share of the squared distance; summed over the
-segments this bounds the distance from below, the finer the segmentation the closer. Candidates
-whose bound is beyond the k-th distance found so far are left out, from coarse to fine; the others
-are measured exactly on integers. Inner products follow from distances and norms.
-
-Vectors travel as packed blocks. Query groups meet base shards in cells of bounded size; each
-cell returns k rows per query at most, which one window merges.
+segments this bounds the distance from below, the finer the segmentation the closer. Pairs of a query
+and a candidate whose bound is beyond the query's k-th distance so far are left out, from coarse to
+fine; only the others are measured, exactly on integers. Inner products follow from distances and norms.
+
+Vectors travel as packed blocks. A first pass gives each query a bar, its k-th score in a sample of
+the base, so that every cell can leave out pairs from its first block on; a bar only spares work.
+Query groups meet base shards in cells of bounded size; each cell returns k rows per query at most,
+which one window merges.
 """
 
 from __future__ import annotations
@@ -27,8 +29,12 @@ BLOCK_ROWS = 4096
 CELL_BYTES = 64 << 20
 #: Segments of the resolutions, coarse to fine.
 RESOLUTIONS = (4, 16)
+#: Rows of the sample that the first bars come from, about.
+SAMPLE_ROWS = 4096
 _TILE_QUERIES = 128
 _TILE_BASE = 1024
+#: Share of a tile's pairs up to which survivors are measured one by one, not as a product.
+_FEW = 0.05
 
 _BLOCK = "dim int, n int, kind string, ids binary, comps binary, part int, nth long"
 
@@ -96,10 +102,11 @@ class _Side:
 class _Best:
     """The best rows of each query of a block so far: score down, id up."""
 
-    def __init__(self, queries: _Side, k: int):
+    def __init__(self, queries: _Side, k: int, bar: np.ndarray | None = None):
         self.q, self.k = queries, k
         n = len(queries.ids)
-        self.bar = np.full(n, -np.inf)
+        self.bar = np.full(n, -np.inf) if bar is None else bar.copy()
+        self.pairs = self.survivors = 0
         self.row = np.zeros(0, np.int64)
         self.id = np.zeros(0, np.int64)
         self.score = np.zeros(0, np.int64)
@@ -116,7 +123,8 @@ class _Best:
         self.row, self.id, self.score = row[keep], ids[keep], score[keep]
         last = np.flatnonzero(place == self.k - 1)
         bar = score[last].astype(np.float64)
-        self.bar[row[last]] = np.where(np.abs(bar) < 1 << 53, bar, np.nextafter(bar, -np.inf))
+        bar = np.where(np.abs(bar) < 1 << 53, bar, np.nextafter(bar, -np.inf))
+        self.bar[row[last]] = np.maximum(self.bar[row[last]], bar)
 
 
 def _search(best: _Best, base: _Side, skip_self: bool) -> None:
@@ -128,28 +136,46 @@ def _search(best: _Best, base: _Side, skip_self: bool) -> None:
     for a in range(0, len(q.ids), _TILE_QUERIES):
         rows = slice(a, min(a + _TILE_QUERIES, len(q.ids)))
         for b in range(0, len(base.ids), _TILE_BASE):
-            columns = np.arange(b, min(b + _TILE_BASE, len(base.ids)))
-            bar = best.bar[rows, None]
-            if np.isfinite(bar).any():
-                for ours, theirs in zip(q.levels, base.levels, strict=True):
-                    nearest = 2 * (ours[rows] @ theirs[columns].T)  # norms less the distance's bound
-                    slack = 1e-9 * (q.norms[rows, None] + base.norms[columns]) + 1e-6
-                    columns = columns[((nearest + slack) / 2 >= bar).any(axis=0)]
-                    if not len(columns):
-                        break
-            if not len(columns):
+            columns = slice(b, min(b + _TILE_BASE, len(base.ids)))
+            alive = _survivors(best, base, rows, columns)
+            best.pairs += alive.size
+            if skip_self:
+                alive &= q.ids[rows, None] != base.ids[columns]
+            left = int(np.count_nonzero(alive))
+            best.survivors += left
+            if not left:
                 continue
-            if exact:
-                scores = q.vectors[rows] @ base.vectors[columns].T
+            one, other = (q.vectors, base.vectors) if exact else (q.whole, base.whole)
+            bar = best.bar[rows]
+            if left < _FEW * alive.size:
+                row, column = np.nonzero(alive)
+                score = np.einsum("ij,ij->i", one[rows][row], other[columns][column])
+                good = score >= bar[row]
+                row, column, score = row[good], column[good], score[good]
             else:
-                scores = q.whole[rows] @ base.whole[columns].T
-            good = scores >= bar
-            if skip_self:
-                good &= q.ids[rows, None] != base.ids[columns]
-            row, column = np.nonzero(good)
-            if len(row) > 4 * best.k * scores.shape[0]:  # only the best of this tile can stay
-                row, column = _tile_best(scores, good, best.k)
-            best.add(row + a, base.ids[columns[column]], scores[row, column].astype(np.int64))
+                scores = one[rows] @ other[columns].T
+                alive &= scores >= bar[:, None]
+                row, column = np.nonzero(alive)
+                if len(row) > 4 * best.k * scores.shape[0]:  # only the best of this tile can stay
+                    row, column = _tile_best(scores, alive, best.k)
+                score = scores[row, column]
+            best.add(row + a, base.ids[columns][column], score.astype(np.int64))
+
+
+def _survivors(best: _Best, base: _Side, rows: slice, columns: slice) -> np.ndarray:
+    """Pairs that the bounds of no resolution rule out."""
+    q, bar = best.q, best.bar[rows, None]
+    alive = np.ones((len(bar), len(base.ids[columns])), bool)
+    if np.isneginf(bar).all():
+        return alive
+    slack = 1e-9 * (q.norms[rows, None] + base.norms[columns]) + 1e-6
+    for ours, theirs in zip(q.levels, base.levels, strict=True):
+        some = np.flatnonzero(alive.any(axis=0))
+        if not len(some):
+            break
+        nearest = 2 * (ours[rows] @ theirs[columns][some].T)  # norms less the distance's bound
+        alive[:, some] &= (nearest + slack[:, some]) / 2 >= bar
+    return alive
 
 
 def _tile_best(scores: np.ndarray, good: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +201,8 @@ def _cells(k: int, skip_self: bool):
                     best, cell, side = {}, (r["g"], r["s"], r["dim"]), None
                 query = (r["q_part"], r["q_nth"])
                 if query not in best:
-                    best[query] = _Best(_Side(r["q_ids"], r["q_comps"], r["q_kind"], r["dim"]), k)
+                    bar = np.frombuffer(r["q_bars"], np.float64)
+                    best[query] = _Best(_Side(r["q_ids"], r["q_comps"], r["q_kind"], r["dim"]), k, bar)
                 name = (r["part"], r["nth"])
                 if side is None or side[0] != name:
                     side = (name, _Side(r["ids"], r["comps"], r["kind"], r["dim"]))
@@ -185,6 +212,36 @@ def _cells(k: int, skip_self: bool):
     return run
 
 
+def _first_bars(k: int, skip_self: bool):
+    """Query blocks with the k-th score of each query among the sample's blocks, which come with them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bars = []
+            for r in batch.to_pylist():
+                best = _Best(_Side(r["ids"], r["comps"], r["kind"], r["dim"]), k)
+                for block in r["sample"] or ():
+                    _search(best, _Side(block["ids"], block["comps"], block["kind"], r["dim"]), skip_self)
+                bars.append(best.bar.tobytes())
+            own = [c for c in batch.schema.names if c != "sample"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], pa.array(bars, pa.binary())], [*own, "bars"])
+
+    return run
+
+
+def _with_bars(asked: DataFrame, base: DataFrame, n: int, k: int, skip_self: bool) -> DataFrame:
+    """Query blocks and their first bars. The sample is dealt by the hash of the ids, about SAMPLE_ROWS rows."""
+    some = base.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(max(1, n // SAMPLE_ROWS))) == 0)
+    packed = materialize(some.coalesce(1).mapInArrow(_pack, _BLOCK), "sample")
+    # equal ids have one hash: the sample is broadcast only if it is as small as it should be
+    size = packed.agg(F.coalesce(F.sum(F.length("comps")), F.lit(0)).alias("bytes")).first().bytes
+    sample = packed.groupBy("dim").agg(F.collect_list(F.struct("ids", "comps", "kind")).alias("sample"))
+    if size > CELL_BYTES:
+        sample = sample.limit(0)
+    met = asked.join(F.broadcast(sample), "dim", "left").select("dim", "n", "kind", "ids", "comps", "part", "nth", "sample")
+    return materialize(met.mapInArrow(_first_bars(k, skip_self), f"{_BLOCK}, bars binary"), "bars")
+
+
 def _found(best: dict[tuple, _Best]) -> Iterator[pa.RecordBatch]:
     for b in best.values():
         if len(b.row):
@@ -212,23 +269,25 @@ def top_k(
     tables give an empty result.
     """
     spark = base.sparkSession
-    rows = materialize(valid_vectors(base, id_col, vector_col, scale).mapInArrow(_pack, _BLOCK), "base")
+    candidates = valid_vectors(base, id_col, vector_col, scale)
+    rows = materialize(candidates.mapInArrow(_pack, _BLOCK), "base")
     asked = materialize(
         valid_vectors(queries, id_col, vector_col, scale).mapInArrow(_pack, _BLOCK), "queries"
     )
     bytes_of = F.coalesce(F.sum(F.length("comps") + F.length("ids")), F.lit(0))
-    size = rows.agg(F.count("*").alias("n"), bytes_of.alias("bytes")).first()
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), bytes_of.alias("bytes")).first()
     q_size = asked.agg(F.count("*").alias("n"), bytes_of.alias("bytes")).first()
     groups = max(1, math.ceil(q_size.bytes / CELL_BYTES))
     spare = math.ceil(3 * parallelism(spark) / groups)
     shards = max(1, math.ceil(size.bytes / CELL_BYTES), min(size.n, spare))
 
+    asked = _with_bars(asked, candidates, size.rows, k, skip_self)
     place = F.xxhash64("part", "nth")
     left = asked.select(
         "dim",
         F.pmod(place, F.lit(groups)).cast("int").alias("g"),
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"),
-        *[F.col(c).alias(f"q_{c}") for c in ("kind", "ids", "comps", "part", "nth")],
+        *[F.col(c).alias(f"q_{c}") for c in ("kind", "ids", "comps", "part", "nth", "bars")],
     )
     right = rows.select(
         "dim", "kind", "ids", "comps", "part", "nth",

@@ -52,8 +52,13 @@ def test_bounds_prune_and_keep_ties(monkeypatch, queries, base):
     comps = (centre + rng.integers(-2, 3, centre.shape)).astype("<i2")
     ids = np.arange(2000, dtype="<i8")
     side = segment_topk._Side(ids.tobytes(), comps.tobytes(), "<i2", 64)
-    best = segment_topk._Best(segment_topk._Side(ids[:50].tobytes(), comps[:50].tobytes(), "<i2", 64), 5)
+    asked = segment_topk._Side(ids[:50].tobytes(), comps[:50].tobytes(), "<i2", 64)
+    first = segment_topk._Best(asked, 5)
+    some = np.arange(0, 2000, 7)
+    segment_topk._search(first, segment_topk._Side(ids[some].tobytes(), comps[some].tobytes(), "<i2", 64), True)
+    best = segment_topk._Best(asked, 5, first.bar)
     segment_topk._search(best, side, True)
+    assert best.pairs == 50 * 2000 and best.survivors < 0.15 * best.pairs
     scores = comps[:50].astype(int) @ comps.T.astype(int)
     for q in range(50):
         want = sorted((-s, i) for i, s in enumerate(scores[q]) if i != q)[:5]
