@@ -61,9 +61,13 @@ def embed_text(
     output: str = "embedding",
     packed: int = 1,
     flag: str | None = None,
+    bisect: bool = False,
 ) -> DataFrame:
     """Add one vector per text. A chunk whose call fails gets zero vectors (dropped later).
 
+    With ``bisect`` such a chunk is halved and called again, until only the texts that fail by
+    themselves are without a vector.
+
     Only a failing call is passed over: a model that returns another number of vectors, or
     vectors of another width, ends the job. ``flag`` names a boolean column that is false for
     texts whose call failed; :func:`exactnn.operators.corpus.ingest_stats` counts them.
@@ -73,7 +77,7 @@ def embed_text(
     if role not in INPUT_TYPES:
         raise ValueError("role must be 'query', 'document' or None")
     width = dim // packed
-    function = _chunked(factory, width, chunk, INPUT_TYPES[role], flag is not None)
+    function = _chunked(factory, width, chunk, INPUT_TYPES[role], flag is not None, bisect)
     if flag is None:
         return df.withColumn(output, _once(function)(model_input(text, model)))
     run = _once(function, "struct<vector array<float>, embedded boolean>")
@@ -89,19 +93,25 @@ def _once(function, kind: str = "array<float>"):
     return F.arrow_udf(function, kind).asNondeterministic()
 
 
-def _chunked(factory: Factory, width: int, chunk: int, input_type: str | None, flagged: bool):
+def _chunked(factory: Factory, width: int, chunk: int, input_type: str | None, flagged: bool, bisect: bool = False):
     def embed_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embed = factory()
         for batch in batches:
             texts = batch.to_pylist()
             out = np.zeros((len(texts), width), dtype=np.float32)
             done = np.ones(len(texts), dtype=bool)
-            for at in range(0, len(texts), chunk):
-                part = texts[at:at + chunk]
+            calls = [(at, min(at + chunk, len(texts))) for at in range(0, len(texts), chunk)][::-1]
+            while calls:
+                at, end = calls.pop()
+                part = texts[at:end]
                 try:
                     vectors = embed(part, input_type)
                 except Exception as problem:  # a failed call must not end the job
-                    done[at:at + len(part)], last = False, problem
+                    if bisect and len(part) > 1:
+                        half = (at + end) // 2
+                        calls += [(half, end), (at, half)]
+                    else:
+                        done[at:end], last = False, problem
                     continue
                 vectors = np.asarray(vectors, dtype=np.float32)
                 if vectors.shape != (len(part), width):

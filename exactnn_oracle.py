@@ -372,6 +372,15 @@ ORACLE_SQL = {
     union all select 'zero', 'null_vectors', count(*) from ({NULLED}) where embedding is null""",
     "embed_failures": f"""
     with t as ({TURN_SENTENCES}), h as ({hashed(TURN_SENTENCES, 'conv_id, turn, sent_idx')})
+    select (select count(*) from conversations) as source_rows,
+           (select count(*) from t) as sentences,
+           (select count(*) from h where length(text) % 7 <> 0) as kept,
+           (select count(*) from t) - (select count(*) from h where length(text) % 7 <> 0)
+             as skipped_zero,
+           (select count(*) from t where length(text) % 7 = 0) as failed,
+           (select count(*) from t) as expected""",
+    "embed_resumed": f"""
+    with t as ({TURN_SENTENCES}), h as ({hashed(TURN_SENTENCES, 'conv_id, turn, sent_idx')})
     select (select count(*) from conversations) as source_rows,
            (select count(*) from t) as sentences,
            (select count(*) from h where length(text) % 7 <> 0) as kept,
