@@ -46,6 +46,41 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataF
     )
 
 
+class _Keys:
+    """Order keys, range-sorted and stored once, with the weight before each range partition.
+
+    The totals, one number for each of at most MAX_PARTITIONS partitions, are on the driver.
+    """
+
+    def __init__(self, df: DataFrame, order: Sequence[str], weight: Column | None = None):
+        self.order, self.weighted = list(order), weight is not None
+        step = [] if weight is None else [weight.cast("long").alias("_w")]
+        self.table = _range_sorted(df.select(*order, *step), order, "keys")
+        total = F.count("*") if weight is None else F.coalesce(F.sum("_w"), F.lit(0))
+        self.before: dict[int, int] = {}
+        self.total = 0
+        for part in self.table.groupBy("_part").agg(total.alias("n")).orderBy("_part").collect():
+            self.before[part["_part"]] = self.total
+            self.total += part.n
+
+    def at(self, n: int) -> Row | None:
+        """Key and partition of the first row at which the running weight reaches ``n``."""
+        if n > self.total:
+            return None
+        part = next(p for p, b in reversed(self.before.items()) if b < n)
+        own = self.table.where(F.col("_part") == part)
+        if not self.weighted:
+            return own.where(F.col("_place") == n - self.before[part] - 1).select(*self.order, "_part").first()
+        running = Window.partitionBy("_part").orderBy(*self.order)
+        reached = own.withColumn("_run", F.sum("_w").over(running) + F.lit(self.before[part])).where(F.col("_run") >= n)
+        return reached.orderBy(*self.order).select(*self.order, "_part").first()
+
+    def count(self, key: Row, strictly: bool = False) -> int:
+        """Rows up to, or before, a key that :meth:`at` gave; equal keys lie in one partition."""
+        own = self.table.where((F.col("_part") == key["_part"]) & up_to(self.order, key, strictly))
+        return self.before[key["_part"]] + own.count()
+
+
 def position_boundary(
     df: DataFrame, order: Sequence[str], n: int, weight: str | None = None
 ) -> Row | None:
@@ -54,24 +89,7 @@ def position_boundary(
     None if the whole table weighs less than ``n``. Only the order columns and the weight are
     moved, and only the range partition that contains the boundary is summed row by row.
     """
-    step = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    table = _range_sorted(df.select(*order, step.alias("_w")), order, "keys")
-    hit = (
-        _offsets(table, F.col("_w"))
-        .where((F.col("_before") < n) & (F.col("_before") + F.col("_total") >= n))
-        .first()
-    )
-    if hit is None:
-        return None
-    running = Window.partitionBy("_part").orderBy(*order)
-    return (
-        table.where(F.col("_part") == hit["_part"])
-        .withColumn("_run", F.sum("_w").over(running) + F.lit(hit["_before"]))
-        .where(F.col("_run") >= n)
-        .orderBy(*order)
-        .select(*order)
-        .first()
-    )
+    return _Keys(df, order, F.col(weight) if weight else None).at(n)
 
 
 def up_to(order: Sequence[str], key: Row, strictly: bool = False) -> Column:
@@ -127,25 +145,24 @@ def _between(df: DataFrame, order: Sequence[str], low: int, high: int) -> DataFr
         return df.limit(0)
     if _small_limit(df, high):
         return tied.orderBy(*keys).offset(low).limit(high - low).drop("_tie")
-    only = materialize(tied.select(*keys), "order_keys")
-    lower = position_boundary(only, keys, low) if low else None
+    ranked = _Keys(tied, keys)
+    lower = ranked.at(low) if low else None
     if low and lower is None:
         return df.limit(0)
-    upper = position_boundary(only, keys, high)
-    count = lambda test: only.where(test).count()
+    upper = ranked.at(high)
     if lower is not None and lower == upper:  # all rows are copies of one
         return _some(tied.where(_at(keys, upper)), high - low).drop("_tie")
     inner, parts = F.lit(True), []
     if lower is not None:
         inner = ~up_to(keys, lower)
-        surplus = count(up_to(keys, lower)) - low
+        surplus = ranked.count(lower) - low
         if surplus:
             parts.append(_some(tied.where(_at(keys, lower)), surplus))
     if upper is not None:
-        surplus = count(up_to(keys, upper)) - high
+        surplus = ranked.count(upper) - high
         inner = inner & up_to(keys, upper, strictly=surplus > 0)
         if surplus:
-            parts.append(_some(tied.where(_at(keys, upper)), high - count(up_to(keys, upper, True))))
+            parts.append(_some(tied.where(_at(keys, upper)), high - ranked.count(upper, strictly=True)))
     out = tied.where(inner)
     for part in parts:
         out = out.unionByName(part)
