@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from exactnn.llm.arrow import id_and_text, slices, text_buffer
+from exactnn.llm.arrow import id_and_text, mix, slices, text_buffer
 from exactnn.llm.components import connected_components
 from exactnn.llm.odd_minhash import shingle_sets
 from exactnn.session import MIB, materialize
@@ -40,6 +40,8 @@ SHINGLE_WORDS, LEAST = 5, 80
 MOST_MATCHES = 8
 #: Cost of comparing one shingle of two sets, in prefix shingles sent.
 COMPARE = 0.02
+#: Texts that a rare shingle is taken to meet.
+RARE_MEETS = 0.25
 #: Parts of the counters, and tasks whose counters one task adds up.
 PARTS, FAN_IN = 256, 512
 #: Partners of each text in the first round.
@@ -180,7 +182,7 @@ def rarity(counters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     over = counters / (2 * load + 8)
     codes = np.where(over > 1, np.ceil(2 * np.log2(np.maximum(over, 1))), 0).astype(np.uint8)
     further = (2 * load + 8) * 2.0 ** (np.arange(256) / 2)
-    further[0] = 0.0
+    further[0] = RARE_MEETS
     return codes, further
 
 
@@ -228,7 +230,8 @@ class _Pack:
     def rows(self) -> pa.RecordBatch:
         tokens, lams = np.concatenate(self.tokens), np.concatenate(self.lams)
         owner = np.repeat(np.arange(len(self.names)), [len(t) for t in self.tokens])
-        part = ((tokens >> np.uint64(32)) * self._ranges >> np.uint64(32)).astype(np.int64)
+        # prefixes hold the least hashes of each set, so ranges are those of another hash
+        part = ((mix(tokens) >> np.uint64(32)) * self._ranges >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part, tokens, lams, owner = part[order], tokens[order], lams[order], owner[order]
         names = np.array(self.names, "V16")
@@ -315,13 +318,14 @@ def _shared(limit: int):
                 if part != current:
                     if held:
                         yield rows(settle(held, known)[0])
-                    current, held, count, known = part, [], 0, np.zeros(0, "<u8")
+                    current, held, count, known, full = part, [], 0, np.zeros(0, "<u8"), limit
                 held.append(_entries(batch, row))
                 count += len(held[-1])
-                if count > limit:
+                if count > full:
                     found, alone, known = settle(held, known)
                     yield rows(found)
                     held, count = [alone], len(alone)
+                    full = max(limit, 2 * count)  # so that each entry is sorted a few times at most
         if held:
             yield rows(settle(held, known)[0])
 
@@ -395,16 +399,19 @@ class _Join:
         shared = materialize(shared, "shared").dropDuplicates(["token", "c1", "c2"])
         ids = self.classes.select("id", "c1", "c2")
         self.entries = materialize(shared.join(ids, ["c1", "c2"]).drop("c1", "c2"), "entries")
-        self.sets = self._full_sets(rows, words)
-
-    def _full_sets(self, rows: DataFrame, words: int) -> DataFrame:
-        wanted = self.classes.join(self.entries.select("id").distinct(), "id").select("id", "first.*")
-        wanted = materialize(wanted, "wanted")
-        if wanted.count() * 64 <= self.limits.broadcast_bytes:
+        self._texts, self._words = rows, words
+
+    def _full_sets(self, pairs: DataFrame) -> DataFrame:
+        """(id, shingles) of the classes in ``pairs``, from the text of one of their rows."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = materialize(self.classes.join(ids, "id").select("id", "first.*"), "wanted")
+        n = wanted.count()
+        if n * 64 <= self.limits.broadcast_bytes:
             wanted = F.broadcast(wanted)
-        texts = rows.join(wanted, ["doc_id", "k1", "k2"]).select("id", "text")
+        texts = self._texts.join(wanted, ["doc_id", "k1", "k2"]).select("id", "text")
+        sets = materialize(texts.mapInArrow(_sets(self._words), "id long, shingles binary"), "sets")
         # rows that repeat id and text give equal sets
-        return materialize(materialize(texts.mapInArrow(_sets(words), "id long, shingles binary"), "sets").dropDuplicates(["id"]), "sets")
+        return sets if sets.count() == n else sets.dropDuplicates(["id"])
 
     def neighbours(self) -> DataFrame:
         """Pairs of neighbours by size in the cells of the buckets: those with the most matches of each text."""
@@ -461,7 +468,7 @@ class _Join:
         return materialize(counted.where("matches >= l").select("a", "b"), "meetings")
 
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
-        return materialize(_confirmed(pairs, self.sets, self.classes, self.least), name)
+        return materialize(_confirmed(pairs, self._full_sets(pairs), self.classes, self.least), name)
 
     def components(self) -> DataFrame:
         """(id, component) of the classes that have links."""
