@@ -435,7 +435,8 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte covered by a string of ``length`` bytes that starts anywhere else too is removed,
     judged on the input. Null and empty texts have no bytes. Rows with null or equal ids are texts
-    like others: of two equal rows each repeats the other.
+    like others: of two equal rows each repeats the other. Other columns may have any names; an
+    empty table gives an empty one.
     """
     import hashlib
 

@@ -254,7 +254,10 @@ def keep_good(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_text_bytes: int = SAMPLE_TEXT_BYTES,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **training,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches THRESHOLD; see ``score_quality``."""
+    """The rows of ``docs``, all columns, whose score reaches THRESHOLD; see ``score_quality``.
+
+    Repeated rows stay or go together; columns may have any names; an empty table stays empty.
+    """
     net = fit(*training_sample(docs, labels, sample_rows, sample_text_bytes, id_col, text_col, label_col), **training)
     at = docs.columns.index(text_col)
 
@@ -281,7 +284,8 @@ def score_quality(
     ``sample_text_bytes`` bytes, never from held-out rows (crc32(doc_id) mod 4 is 2); it sees
     nothing but the text. Scores are of whole texts. Null and empty texts have the score of an
     empty text; a null id is not held out; rows with equal ids are scored one by one. Without
-    labels every score is 0.5, with one class only it is near that class.
+    labels every score is 0.5, with one class only it is near that class. Repeated rows are scored
+    each; other columns are not looked at, whatever their names; an empty table gives an empty one.
     """
     net = fit(*training_sample(docs, labels, sample_rows, sample_text_bytes, id_col, text_col, label_col), **training)
 

@@ -216,6 +216,9 @@ def scan_licenses(
     comma-joined; labels has those of all verified templates), score (0 without a match, nearer
     to 1 the longer and the more complete the best template is), matches (template label, first
     word, share). Letters A-Z are lower-cased. Null and empty texts have no words and no matches.
+    Rows with null or equal ids, and repeated rows, are scanned each; of matches as good as each
+    other the first counts. Other columns are not looked at, whatever their names; an empty table
+    gives an empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -382,7 +382,9 @@ def near_duplicates(
     ``shingle_words`` words, or the whole text if it has fewer; A-Z are lower-cased.
     ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks it. Null and empty texts and texts without words have no shingles and no links. Rows
     with a null id are linked with nothing, have a null component and are kept. Rows that share
-    an id are documents of their own: each has the links and the component of its text.
+    an id are documents of their own: each has the links and the component of its text. Repeated
+    rows are in the result as often as in ``docs``. Other columns are not looked at, whatever their
+    names; an empty table gives an empty one.
     """
     rows = _keyed(docs, id_col, text_col)
     signed = materialize(_signatures(rows, shingle_words), "signatures")
@@ -403,7 +405,8 @@ def one_of_each(
 
     Here rows are linked whatever their ids are, also those without one, which stay only where no
     row of the group has an id. Of rows that are equal in id (or in having none) and text one
-    stays, also where the text has no words.
+    stays, also where the text has no words. An empty table stays empty; of the columns only
+    ``__row_key`` may not be there.
     """
     rows = _keyed(docs, id_col, text_col)
     signed = materialize(_signatures(rows, shingle_words), "signatures")

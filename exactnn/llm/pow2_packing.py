@@ -138,7 +138,9 @@ def pack(
     """One row per piece: doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset.
 
     With ``keep_ids`` also ``ids``. The pieces are stored once in the shared folder, so that their
-    numbers are fixed whatever is run again. An empty table gives an empty one.
+    numbers are fixed whatever is run again. A null text is an empty one, which is the end token
+    alone. Repeated rows, and rows with null or equal ids, are documents of their own; other columns
+    are not looked at, whatever their names. An empty table gives an empty one.
     """
     pieces = decompose(docs, path, limit, end_token, id_col, text_col)
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids"))

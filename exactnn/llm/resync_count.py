@@ -94,7 +94,9 @@ def count_tokens(
 
     Counts equal those of the tokenizers library without added special tokens, truncation or
     padding. Null and empty texts have 0 bytes and 0 tokens. Rows with equal or null ids are
-    counted one by one. Texts of more than ``chunk`` bytes are counted by overlapping chunks.
+    counted one by one, as are repeated rows. Texts of more than ``chunk`` bytes are counted by
+    overlapping chunks. Other columns are not looked at, whatever their names; an empty table gives
+    an empty one.
     """
     classes = character_classes(path)
 

@@ -400,7 +400,7 @@ def encode_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     padding; special strings inside a text become their one id. ``ids_sha256`` is over
     little-endian unsigned 32-bit ids, ``decoded_sha256`` over the UTF-8 of the decoded text.
     Null and empty texts have no ids and decode to nothing; rows with equal or null ids and other
-    columns are each taken as they are. Memory: one Arrow batch, and some 30 bytes per byte of a
+    columns are each taken as they are, also repeated rows; an empty table gives an empty one. Memory: one Arrow batch, and some 30 bytes per byte of a
     step of at most 4 MiB unless a text has no letter-space-letter in that length.
     """
     classes = character_classes(path)

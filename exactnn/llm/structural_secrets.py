@@ -327,7 +327,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id and spans (kind, start, end) of every row, ordered by start and then kind.
 
     Places are code points, ends exclusive. Null and empty texts, and texts without a secret, have
-    an empty list. Each row is scanned whole and by itself.
+    an empty list. Each row is scanned whole and by itself, also repeated rows and rows with null
+    or equal ids. Other columns are not looked at, whatever their names; an empty table gives an
+    empty one.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -346,7 +348,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every secret of ``text_col`` replaced by ``[kind]``; all rows stay.
 
-    Overlapping spans are replaced together, under the kind that comes first. Null stays null.
+    Overlapping spans are replaced together, under the kind that comes first. Null stays null,
+    empty texts stay empty, an empty table stays empty; repeated rows are changed alike, and
+    columns may have any names.
     """
     at = docs.columns.index(text_col)
 
