@@ -405,22 +405,24 @@ def one_of_each(
 
     Here rows are linked whatever their ids are, also those without one, which stay only where no
     row of the group has an id. Of rows that are equal in id (or in having none) and text one
-    stays, also where the text has no words. An empty table stays empty; of the columns only
-    ``__row_key`` may not be there.
+    stays, also where the text has no words. An empty table stays empty; columns may have any names.
     """
+    key = "__row_key"
+    while key in (c.lower() for c in docs.columns):
+        key = "_" + key
     rows = _keyed(docs, id_col, text_col)
     signed = materialize(_signatures(rows, shingle_words), "signatures")
     names = _components(rows, signed, shingle_words).select("class", F.col("first.row_key").alias("stays"))
     counted = signed.groupBy("row_key", "class").agg(F.count("*").alias("n"))
     gone = F.coalesce(F.col("row_key") != F.col("stays"), F.lit(False)).alias("gone")
-    marked = counted.join(names, "class", "left").select(F.col("row_key").alias("__row_key"), "n", gone)
+    marked = counted.join(names, "class", "left").select(F.col("row_key").alias(key), "n", gone)
     marked = materialize(marked.where("gone or n > 1"), "marked")
-    keyed = docs.withColumn("__row_key", _row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    out = keyed.join(marked, "__row_key", "left_anti")
+    keyed = docs.withColumn(key, _row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    out = keyed.join(marked, key, "left_anti")
     repeated = marked.where("not gone")
     if repeated.limit(1).count():
-        out = out.unionByName(keyed.join(repeated, "__row_key", "left_semi").dropDuplicates(["__row_key"]))
-    return out.drop("__row_key")
+        out = out.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return out.drop(key)
 
 
 def _components(rows: DataFrame, signed: DataFrame, shingle_words: int) -> DataFrame:

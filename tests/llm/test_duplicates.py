@@ -222,6 +222,13 @@ def test_suffix_array_and_intervals():
                     assert names.setdefault(own, name[b + i]) == name[b + i]
 
 
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    text = "some words that stand here twice or more in all"
+    rows = [(1, text, 7, 1), (2, text, 8, 2), (3, "other words", 9, 3), (3, "other words", 9, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __ROW_KEY int, gone int")
+    assert sorted(tuple(r) for r in M.one_of_each(docs).collect()) == [rows[0], rows[2]]
+
+
 def test_names_of_columns_do_not_clash(spark):
     same = "word after word " * 30
     rows = [(1, same, 7, "h", "t", [1]), (2, same, 8, "i", "u", [2]), (3, "short", 9, "j", "v", None)]
