@@ -13,7 +13,8 @@ match more of it before the sets are compared. Two texts meet under the smaller
   more, and forgets in between what it has passed on, so it holds no bucket.
 * First round: neighbours by size in a cell of a bucket, those with the most matches of each text,
   are compared. Second round: classes of a bucket that are not joined yet meet in a grid of cells,
-  their matches are counted, and those with enough of them are compared. No pair is passed over.
+  their matches are counted, and those with enough of them are compared, the likeliest first. No
+  pair of two components is passed over.
 """
 
 from __future__ import annotations
@@ -465,21 +466,45 @@ class _Join:
         counted = met.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
             F.count("*").alias("matches"), F.first(F.least("x_l", "y_l")).alias("l")
         )
-        return materialize(counted.where("matches >= l").select("a", "b"), "meetings")
+        return materialize(counted.where("matches >= l").select("a", "b", "matches"), "meetings")
 
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         return materialize(_confirmed(pairs, self._full_sets(pairs), self.classes, self.least), name)
 
     def components(self) -> DataFrame:
-        """(id, component) of the classes that have links."""
+        """(id, component) of the classes that have links.
+
+        Of the meetings each text's likeliest ones are compared first, as they join most of a group
+        of copies; what is in one component by then needs no comparison. The last time all of what
+        is left is compared.
+        """
         near = self.neighbours()
         joined = connected_components(self.confirmed(near, "near_links"))
-        more = self.confirmed(self.meetings(joined).join(near, ["a", "b"], "left_anti"), "more_links")
-        if more.limit(1).count():
-            known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            joined = connected_components(known.union(more.select("a", "b")))
+        left = self.meetings(joined).join(near, ["a", "b"], "left_anti")
+        for last in (False, False, True):
+            left = materialize(left, "left")
+            some = left.select("a", "b") if last else self._likeliest(left)
+            links = self.confirmed(some, "more_links")
+            if links.limit(1).count():
+                known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                joined = connected_components(known.union(links.select("a", "b")))
+            if last or not left.limit(1).count():
+                break
+            left = left.join(some, ["a", "b"], "left_anti")
+            for side in ("a", "b"):
+                name = joined.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+                left = left.join(name, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
+            left = left.where("c_a <> c_b").select("a", "b", "matches")
         return joined.withColumnRenamed("node", "id")
 
+    @staticmethod
+    def _likeliest(pairs: DataFrame) -> DataFrame:
+        """The PARTNERS pairs of the most matches of each text."""
+        ends = F.explode(F.array("a", "b")).alias("end")
+        best = Window.partitionBy("end").orderBy(F.desc("matches"), "a", "b")
+        ranked = pairs.select("*", ends).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= PARTNERS)
+        return materialize(ranked.select("a", "b").distinct(), "likeliest")
+
 
 def ngram_components(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text",
@@ -517,6 +542,6 @@ def ngram_links(
     every row with words and an id. The rest is as :func:`ngram_components` has it.
     """
     job = _Join(docs, shingle_words, least, id_col, text_col, limits)
-    links = job.confirmed(job.meetings(None), "links").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), "common")
+    links = job.confirmed(job.meetings(None).select("a", "b"), "links").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), "common")
     members = job.rows.where("doc_id is not null").join(job.classes.select("c1", "c2", F.col("id").alias("class_id")), ["c1", "c2"])
     return links, members.select("class_id", "doc_id", "n_shingles")
