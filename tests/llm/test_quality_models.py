@@ -54,6 +54,39 @@ def test_rules_hold_on_held_out_rows(spark):
     assert sum(r.kept for r in bad) <= 0.1 * len(bad)
 
 
+def _features(text):
+    """The features of a text, counted with plain loops."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, chars, symbols, dup_lines, repeated, _ = _plain(text)
+    share = lambda a, b: a / max(b, 1)
+    count = lambda pattern: len(re.findall(pattern, text))
+    return {
+        "n_words": n, "mean_word": share(chars, n), "symbol_share": share(symbols, chars),
+        "dup_line_share": share(dup_lines, len(lines)), "repeat_share": share(repeated, n),
+        "distinct_share": share(len(set(words)), n), "upper_share": share(count("[A-Z]"), chars),
+        "mark_share": share(count("[!?]"), chars), "digit_share": share(count("[0-9]"), chars), "words_per_line": share(n, len(lines)),
+    }
+
+
+def test_verdicts_against_plain_rules(spark, sf, documents, odd_docs):
+    """Every row's verdict, from the learned rules and plainly counted features."""
+    docs = documents.select("doc_id", "text").unionByName(odd_docs.selectExpr("doc_id + 100000 as doc_id", "text"))
+    counted = materialize(D.statistics(docs), "counted")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rules = D.learn(counted.join(labels.select("doc_id", "quality"), "doc_id"))
+    assert rules and {c.feature for r in rules for c in r.conditions} <= set(_features(""))
+    want = []
+    for r in docs.collect():
+        own = _features(r.text)
+        hit = any(all((own[c.feature] > c.threshold) == c.above for c in rule.conditions) for rule in rules)
+        want.append((r.doc_id, not _plain(r.text)[-1] and not hit))
+    got = [(r.doc_id, r.kept) for r in D.apply_rules(counted, rules).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert len({k for _, k in got}) == 2
+
+
 def test_rules_are_learned_pruned_and_ordered(spark):
     rows = []
     for i in range(900):
@@ -145,3 +178,32 @@ def test_odd_rows_are_scored(spark, odd_docs):
     assert len(rows) == odd_docs.count()
     empty = {r.score for r, t in zip(rows, odd_docs.select("text").collect(), strict=True) if not t.text}
     assert len(empty) == 1
+
+
+def _plain_score(net, data):
+    """One text, position by position: filters over two groups of bytes, chunk maxima, the layers."""
+    blocks = -(-(len(data) + B.STRIDE) // B.BLOCK_BYTES)
+    symbols = list(data) + [B.PAD] * (blocks * B.BLOCK_BYTES - len(data))
+    groups = [np.concatenate([net.embed[s] for s in symbols[i : i + B.STRIDE]]) for i in range(0, len(symbols), B.STRIDE)]
+    values = [a @ net.filters[0] + b @ net.filters[1] for a, b in zip(groups, groups[1:], strict=False)] + [np.zeros(B.FILTERS)]
+    per_block = B.BLOCK_BYTES // B.STRIDE
+    chunks, at = [], 0
+    while True:
+        part = values[at * per_block : (at + B.CHUNK_BLOCKS) * per_block]
+        chunks.append(np.maximum(np.max(part, axis=0), 0))
+        if at + B.CHUNK_BLOCKS >= blocks:
+            break
+        at += B.HOP_BLOCKS
+    features = np.concatenate([np.max(chunks, axis=0), np.mean(chunks, axis=0), np.min(chunks, axis=0)])
+    hidden = np.tanh(features @ net.hidden + net.hidden_bias)
+    return 1 / (1 + np.exp(-np.clip(hidden @ net.out + net.out_bias[0], -30, 30)))
+
+
+def test_scores_against_a_plain_forward_pass(odd_texts, documents):
+    """Whole texts, from empty to some that are many steps long."""
+    net = B.Network.start(np.random.default_rng(3))
+    texts = [(t or "").encode() for t in [*odd_texts[:40], "some words! " * 12_000]]
+    texts += [r.text.encode() for r in documents.orderBy("doc_id").limit(20).collect()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = B.predict(net, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert np.allclose(got, [_plain_score(net, t) for t in texts], atol=1e-4)
