@@ -61,11 +61,15 @@ class Plain:
                 links.append((i, spans[1][j][0]))
                 j += 1
         common = sorted({e for *_, e in spans[0]} & {e for *_, e in spans[1]})
-        groups, low = [], 0
+        groups, at = [], [0, 0]
         for end in common:
-            sides = [",".join(str(i) for i, _, e in own if low < e <= end) for own in spans]
+            sides = []
+            for k, own in enumerate(spans):
+                first = at[k]
+                while at[k] < len(own) and own[at[k]][2] <= end:
+                    at[k] += 1
+                sides.append(",".join(str(i) for i, *_ in own[first : at[k]]))
             groups.append("|".join(sides))
-            low = end
         return len(a), len(b), len(common), links, ";".join(groups)
 
     def all(self, texts):
