@@ -11,8 +11,8 @@
 * Upper nodes leave their shard as partial sums, are merged by name, and are added up along their
   own parents in as many steps as the logarithm of their depth.
 
-A sequence of more than PIECE_TURNS turns is cut into pieces, each a shard of its own below the node
-where it begins; all its nodes are upper ones.
+A sequence of more than PIECE_TURNS turns is cut into pieces, each but the first a shard of its own
+below the node where it begins; all its nodes are upper ones.
 """
 
 from __future__ import annotations
@@ -177,8 +177,8 @@ def _prefix(depth: Column | int, name: str) -> Column:
 def _sharded(pieces: DataFrame, piece_turns: int, shard_turns: int) -> DataFrame:
     """``pieces`` with the shard (g1, g2) and the depth from which on nodes are in no other one."""
     size = F.size("turns")
-    whole = (F.col("piece") == 0) & (F.col("len") <= piece_turns)
-    prefixes = pieces.where(whole & (size > 0)).select(
+    first = F.col("piece") == 0  # also of a long sequence: its opening lies in the shard of its prefix
+    prefixes = pieces.where(first & (size > 0)).select(
         "rep", F.explode(F.sequence(F.lit(1), F.least(size, F.lit(SPLIT_DEPTH)))).alias("d"), "turns", size.alias("w")
     ).select("rep", "d", _prefix(F.col("d"), "ga").alias("pa"), _prefix(F.col("d"), "gb").alias("pb"), "w")
     hot = prefixes.groupBy("d", "pa", "pb").agg(F.sum("w").alias("total")).where(F.col("total") > shard_turns)
@@ -194,9 +194,9 @@ def _sharded(pieces: DataFrame, piece_turns: int, shard_turns: int) -> DataFrame
     deep = split > SPLIT_DEPTH
     at = F.least(split, F.lit(SPLIT_DEPTH))
     salt = F.when(deep, F.pmod(F.xxhash64("rep"), F.ceil(F.col("total") / shard_turns))).otherwise(F.lit(0))
-    g1 = F.when(whole, F.xxhash64(_prefix(at, "ga"), salt)).otherwise(F.xxhash64("rep", "piece"))
-    g2 = F.when(whole, _prefix(at, "gb")).otherwise(F.col("rep"))
-    alone = F.when(whole & ~deep, split.cast("long")).otherwise(F.lit(_EVER))
+    g1 = F.when(first, F.xxhash64(_prefix(at, "ga"), salt)).otherwise(F.xxhash64("rep", "piece"))
+    g2 = F.when(first, _prefix(at, "gb")).otherwise(F.col("rep"))
+    alone = F.when(first & (F.col("len") <= piece_turns) & ~deep, split.cast("long")).otherwise(F.lit(_EVER))
     return pieces.select("rep", "piece", "n", "len", "ends", "sa", "sb", "turns", g1.alias("g1"), g2.alias("g2"), alone.alias("alone"))
 
 
