@@ -15,6 +15,7 @@ offsets (``idx`` has to be dense). Either way a task that is repeated writes the
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -307,7 +308,7 @@ def register(spark: SparkSession) -> None:
 
 def _shared(spark: SparkSession, path: str) -> None:
     """Refuse, on a cluster, a path that would be another disk on each executor."""
-    if "://" not in path and not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path) and not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{path}: name the file system, as all executors have to reach it")
 
 

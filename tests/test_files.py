@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from exactnn.functions import vectors as V
 from exactnn.operators.ranking import merge_topk
 from exactnn.plans.vector_tables import paged_table, sort_table, split_table
+from exactnn.session import scratch_path
+from exactnn.sources import blocks as BF
 from exactnn.sources import bundle as B
 from exactnn.sources import tables as T
 from exactnn.sources import xvec as S
@@ -197,3 +199,20 @@ def test_table_jobs(spark, tmp_path, sf):
     pages = paged_table(spark, turns, str(tmp_path / "pages"), ["conv_id", "turn"], 100)
     assert pages.where("page = 0").count() == 100
     assert pages.count() == spark.read.parquet(turns).count()
+
+
+def test_files_on_a_cluster_with_a_plain_shared_folder(spark, tmp_path, vectors, monkeypatch):
+    data, df = vectors
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    conf, get = type(spark.conf), type(spark.conf).get
+    with monkeypatch.context() as patch:
+        patch.setattr(conf, "get", lambda self, key, *a: str(tmp_path) if key == "spark.checkpoint.dir" else get(self, key, *a))
+        path = scratch_path(spark, "v.fvec")
+    assert path.startswith(f"file:{tmp_path}/")
+    S.write_xvec(df, path)
+    assert S.read_xvec(spark, path).count() == len(data)
+    lists = spark.createDataFrame([(0, 0, [5], [0.5])], BF.BLOCK_SCHEMA)
+    BF.write_blocks(lists, f"{tmp_path.as_uri()}/blocks", 1)
+    assert BF.block_lists(spark, f"{tmp_path.as_uri()}/blocks").count() == 1
+    with pytest.raises(ValueError, match="name the file system"):
+        S.write_xvec(df, str(tmp_path / "plain.fvec"))
