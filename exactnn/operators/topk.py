@@ -15,6 +15,7 @@ import pyarrow as pa
 
 _NO_ID = np.iinfo(np.int64).max
 _UNIT = 2.0**-24  # rounding unit of float32
+_ROUNDING = 2.0**-50  # of float64 distances of about 1, and of products too small for float32
 _MAX_NORM = 1e18  # products and squares up to here are finite in float32
 TILE_ROWS = 512  # queries scored at a time, so that a tile of scores stays in the cache
 _VERIFY_ELEMENTS = 1 << 18  # float64 components gathered at a time, for the same reason
@@ -179,7 +180,8 @@ class BlockTopK:
             ) ** 2
         if self.metric == "cosine":
             return np.full(len(self.query_ids), 2 * gamma)
-        return gamma * self.query_norm * biggest + 4 * _UNIT
+        # the screen orders by the product; only the ranked distance, in float64, is one less it
+        return gamma * self.query_norm * biggest + _ROUNDING
 
     def _bound(self, tile, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
         """Largest score per query that may still enter the top k."""

@@ -157,6 +157,21 @@ def test_ranked_equals_lexsort(top_id, scale):
         np.testing.assert_array_equal(values[order], values[plain])
 
 
+@pytest.mark.parametrize("metric", METRICS)
+def test_screen_of_short_vectors(metric):
+    rng = np.random.default_rng(8)
+    q, b = (unit(rng, n, 32) * np.float32(1e-3) for n in (40, 4000))
+    top, measured = BlockTopK(np.arange(40), q, 5, metric), []
+    measure = top._measure
+    top._measure = lambda tile, rows, *rest: measured.append(len(rows)) or measure(tile, rows, *rest)
+    for at in range(0, 4000, 500):
+        top.offer(np.arange(at, at + 500), b[at:at + 500])
+    found = {r["query_id"]: r["base_ids"] for batch in top.batches() for r in batch.to_pylist()}
+    d = exact(q, b, metric, None)
+    assert found == {i: np.lexsort((np.arange(4000), d[i]))[:5].tolist() for i in range(40)}
+    assert sum(measured) < 40 * 100
+
+
 def test_lists_merge_across_batches():
     rng = np.random.default_rng(0)
     rows, expected = [], {}
