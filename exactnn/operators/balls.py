@@ -30,6 +30,7 @@ from exactnn.operators.knn import (
     LIST_SCHEMA,
     RESIDENT_BYTES,
     RESULT_SCHEMA,
+    TILES_PER_FILE,
     Pack,
     QuerySize,
     block_rows,
@@ -274,7 +275,7 @@ def _tiles_with_bars(queries: DataFrame, balls: Balls, size: QuerySize, k: int,
     inmost = balls.table.join(F.broadcast(inmost), ["centre", "inner"]).dropDuplicates(["centre"])
     met = blocks.join(inmost.select("centre", "bids", "bvecs"), "centre", "left").drop("centre", "sub")
     path = scratch_path(queries.sparkSession, "tiles")
-    met.mapInArrow(first, "qids binary, qvecs binary, qbars binary").write.parquet(path)
+    met.mapInArrow(first, "qids binary, qvecs binary, qbars binary").write.option("maxRecordsPerFile", TILES_PER_FILE).parquet(path)
     return path
 
 

@@ -46,14 +46,15 @@ from exactnn.sources.xvec import open_path
 
 LIST_SCHEMA = "query_id long, base_ids array<long>, distances array<double>"
 RESULT_SCHEMA = "query_id long, rank int, base_id long, distance double"
-BROADCAST_BYTES = 256 * MIB
+BROADCAST_BYTES = 64 * MIB  # an executor has a task, and so this state, on every core
 BLOCK_BYTES = 4 * MIB
 BLOCK_ROWS = 2048
 TASK_BYTES = 2048 * MIB
 PLACE_BYTES, MERGE_BYTES = 16, 256 * MIB  # of a place in a list, and of lists a merge task reads
 ROWS_PER_PLACE = 500  # base rows a task should read for each of the k places it returns
-RESIDENT_BYTES = 512 * MIB  # base vectors that a task of the grid form holds at a time
+RESIDENT_BYTES = 256 * MIB  # base vectors that a task of the grid form holds at a time
 BAR_TASKS = 16  # tasks that leave their k-th places for others
+TILES_PER_FILE = 16  # a task reads the tiles of a file at once
 TILE_SCHEMA = "qblock int, qids binary, qvecs binary"
 
 
@@ -203,7 +204,7 @@ def _grid_form(
     queries, rows, k, metric, size: QuerySize, tasks: int | None, decimals: int | None
 ) -> DataFrame:
     tiles = scratch_path(rows.sparkSession, "tiles")
-    _query_blocks(queries, size)[0].write.parquet(tiles)
+    _query_blocks(queries, size)[0].write.option("maxRecordsPerFile", TILES_PER_FILE).parquet(tiles)
     packs = (rows.coalesce(tasks) if tasks else rows).mapInArrow(
         sweep(_packs_of(size.dim, k), size.dim, k, metric, decimals, tiles, resident=RESIDENT_BYTES), LIST_SCHEMA
     )

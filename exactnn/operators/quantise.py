@@ -20,6 +20,7 @@ from exactnn.operators.knn import (
     LIST_SCHEMA,
     RESIDENT_BYTES,
     RESULT_SCHEMA,
+    TILES_PER_FILE,
     Pack,
     measure_queries,
     sweep,
@@ -177,7 +178,7 @@ def knn_hamming(
     blocks = -(-size.rows // TILE_QUERIES)
     tiles = scratch_path(spark, "tiles")
     numbered = queries.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    numbered.groupBy("qblock").applyInArrow(pack, "qblock int, qids binary, qvecs binary").write.parquet(tiles)
+    numbered.groupBy("qblock").applyInArrow(pack, "qblock int, qids binary, qvecs binary").write.option("maxRecordsPerFile", TILES_PER_FILE).parquet(tiles)
     lists = (rows.coalesce(base_tasks) if base_tasks else rows).mapInArrow(
         sweep(_bit_packs(values, k), words, k, "hamming", None, tiles, resident=resident, kernel=HammingTopK, dtype=np.uint64), LIST_SCHEMA
     )

@@ -2,6 +2,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,6 +324,17 @@ def test_grid_reads_the_base_once(spark, data, monkeypatch, resident, rows):
     assert read.value == len(b)
 
 
+def test_large_query_sides_are_read_by_the_tile(spark, tmp_path, monkeypatch):
+    assert K.QuerySize(100_000, 64).bytes(10) > K.BROADCAST_BYTES
+    monkeypatch.setattr(K, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(K, "scratch_path", lambda spark, name: str(tmp_path / name))
+    vectors = unit(np.random.default_rng(9), 2600, 4)
+    query, base = frame(spark, range(2600), vectors, "query_id"), frame(spark, range(50), vectors[:50], "base_id")
+    assert as_set(knn_join(query, base, 3, strategy="grid")) == brute(vectors, vectors[:50], 3, "sqeuclidean")
+    tiles = [pq.ParquetFile(p).metadata.num_rows for p in (tmp_path / "tiles").glob("*.parquet")]
+    assert sum(tiles) == 41 and max(tiles) <= 16
+
+
 def test_later_tasks_return_less(spark, data, monkeypatch):
     """The k-th places of the first tasks bound what the others return."""
     monkeypatch.setattr(K, "BAR_TASKS", 1)
