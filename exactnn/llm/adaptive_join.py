@@ -11,10 +11,13 @@ match more of it before the sets are compared. Two texts meet under the smaller
   one keeps common lines and passages out of prefixes.
 * Prefixes are sent packed, by ranges of hashes. A range passes on only shingles of two classes or
   more, and forgets in between what it has passed on, so it holds no bucket.
-* First round: neighbours by size in a cell of a bucket, those with the most matches of each text,
-  are compared. Second round: classes of a bucket that are not joined yet meet in a grid of cells,
-  their matches are counted, and those with enough of them are compared, the likeliest first. No
-  pair of two components is passed over.
+* In a bucket of few classes all pairs meet; their matches are counted over these buckets.
+* In a bucket of many, as a group of near copies has, pairs are not counted: classes carry a bitmap
+  of their set, whose differing bits bound the overlap from above. Cells of bounded size are screened
+  by that bound, and only pairs that may link leave them: first the likeliest of each class, again
+  once those are joined, then all pairs of two components.
+* Pairs are compared on full sets, the likeliest of each class first. What is in one component by
+  then needs no comparison. No pair of two components is passed over.
 """
 
 from __future__ import annotations
@@ -47,6 +50,8 @@ RARE_MEETS = 0.25
 PARTS, FAN_IN = 256, 512
 #: Partners of each text in the first round.
 PARTNERS = 2
+#: Bits of a set's bitmap.
+LEAST_BITS, MOST_BITS = 64, 1 << 13
 
 
 class Limits(NamedTuple):
@@ -65,6 +70,8 @@ class Limits(NamedTuple):
     grid: int = 1024
     #: Keys of texts to compare that are broadcast.
     broadcast_bytes: int = 32 * MIB
+    #: Classes of a bucket up to which its pairs are counted.
+    counted: int = 32
 
 
 # --- classes and order -----------------------------------------------------------------------------
@@ -333,6 +340,125 @@ def _shared(limit: int):
     return run
 
 
+# --- large buckets ---------------------------------------------------------------------------------
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """A bit for each shingle by its hash; shingles may share one. Longer bitmaps fold onto shorter ones."""
+    width = min(max(LEAST_BITS, 1 << (2 * len(own) - 1).bit_length()), MOST_BITS)
+    bits = np.zeros(width, np.uint8)
+    bits[((own >> np.uint64(32)) & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def _bitmaps(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [bitmap(own) for _, own in _sets_of(batch, words)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(maps, pa.binary())], ["id", "bits"])
+
+    return run
+
+
+class _Cell:
+    """Classes of one bucket, with their bitmaps."""
+
+    def __init__(self, rows: pa.Table):
+        self.id, self.component, self.size, self.l, self.lam = (rows[c].to_numpy() for c in ("id", "component", "size", "l", "lam"))
+        self._bits = rows["bits"].to_pylist()
+        self._widths = np.array([8 * len(b) for b in self._bits])
+
+    def widths(self) -> list[int]:
+        return np.unique(self._widths).tolist()
+
+    def of_width(self, width: int) -> np.ndarray:
+        return np.flatnonzero(self._widths == width)
+
+    def bits(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Bitmaps of rows of one width, folded to ``width``, as 0 and 1."""
+        raw = np.frombuffer(b"".join([self._bits[i] for i in rows.tolist()]), np.uint8).reshape(len(rows), -1, width // 8)
+        return np.unpackbits(np.bitwise_or.reduce(raw, axis=1), axis=1).astype(np.float32)
+
+
+def screened(left: _Cell, right: _Cell, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows of left, rows of right, likeness), -1 for pairs that cannot link or are of one component.
+
+    A bit that only one set has stands for a shingle that the other lacks. So the overlap is at most
+    the bits in common and the shingles that a set has beyond its bits.
+    """
+    for w in left.widths():
+        for v in right.widths():
+            if max(w, v) * least >= 200 * min(w, v):
+                continue  # a bitmap has 2 to 4 bits a shingle, so sizes are too far apart
+            i, j = left.of_width(w), right.of_width(v)
+            x, y = left.bits(i, min(w, v)), right.bits(j, min(w, v))
+            n, m = left.size[i].astype(np.int64), right.size[j].astype(np.int64)
+            beyond = np.minimum.outer(n - x.sum(1).astype(np.int64), m - y.sum(1).astype(np.int64))
+            common = (x @ y.T).astype(np.int64) + beyond
+            union = np.add.outer(n, m) - common
+            may = (100 * common >= least * union) & (left.component[i][:, None] != right.component[j][None, :])
+            may &= np.maximum.outer(left.lam[i], right.lam[j]) <= np.minimum.outer(left.l[i], right.l[j])
+            yield i, j, np.where(may, common / union, -1.0)
+
+
+def _cells(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of one key after another."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        by = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in keys])
+        edges = [0, *(np.flatnonzero((by[:, 1:] != by[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:], strict=False):
+            key = tuple(by[:, a].tolist())
+            if key != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _found(a: np.ndarray, b: np.ndarray, likeness: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, likeness)], ["a", "b", "likeness"])
+
+
+def _likeliest_of(least: int):
+    """(class, its likeliest partner in a cell that is of another component, likeness)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches, ["token", "cell"]):
+            cell = _Cell(rows)
+            best, partner = np.full(len(cell.id), -1.0), np.zeros(len(cell.id), np.int64)
+            for i, j, likeness in screened(cell, cell, least):
+                at = likeness.argmax(1)
+                value = likeness[np.arange(len(i)), at]
+                more = value > best[i]
+                best[i[more]], partner[i[more]] = value[more], cell.id[j[at[more]]]
+            has = best > 0
+            yield _found(cell.id[has], partner[has], best[has])
+
+    return run
+
+
+def _may_link(least: int):
+    """All pairs of a left and a right row of a cell that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches, ["token", "t", "u"]):
+            side = rows["side"].to_numpy()
+            left, right = (_Cell(rows.filter(pa.array(side == k))) for k in (0, 1))
+            largest = rows["largest"][0].as_py()
+            for i, j, likeness in screened(left, right, least):
+                once = (right.component[j] == largest)[None, :] | (left.id[i][:, None] < right.id[j][None, :])
+                p, q = np.nonzero((likeness > 0) & once)
+                yield _found(left.id[i[p]], right.id[j[q]], likeness[p, q])
+
+    return run
+
+
 # --- comparing -------------------------------------------------------------------------------------
 
 
@@ -397,49 +523,79 @@ class _Join:
         shared = packed.repartition("part").sortWithinPartitions("part").mapInArrow(
             _shared(limits.held_shingles), "token long, c1 long, c2 long, size int, l int, lam int"
         )
-        shared = materialize(shared, "shared").dropDuplicates(["token", "c1", "c2"])
         ids = self.classes.select("id", "c1", "c2")
-        self.entries = materialize(shared.join(ids, ["c1", "c2"]).drop("c1", "c2"), "entries")
+        # joined first, so that what was sent twice is dropped without a further shuffle
+        shared = shared.join(ids, ["c1", "c2"]).dropDuplicates(["c1", "c2", "token"])
+        self.entries = materialize(shared.drop("c1", "c2"), "entries")
         self._texts, self._words = rows, words
+        filled = self.entries.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > limits.counted)
+        self._hot = materialize(filled, "hot")
+        self._large = self._bits = None
+        if self._hot.limit(1).count():
+            self._large = materialize(self.entries.join(self._hot, "token"), "large")
+            self._bits = self._read(self._large.select("id").distinct(), "bits", _bitmaps)
 
     def _full_sets(self, pairs: DataFrame) -> DataFrame:
-        """(id, shingles) of the classes in ``pairs``, from the text of one of their rows."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        """(id, shingles) of the classes in ``pairs``."""
+        return self._read(pairs.select("a").union(pairs.select("b")).toDF("id").distinct(), "shingles", _sets)
+
+    def _read(self, ids: DataFrame, name: str, function) -> DataFrame:
+        """(id, name) of classes, from the text of one of their rows."""
         wanted = materialize(self.classes.join(ids, "id").select("id", "first.*"), "wanted")
         n = wanted.count()
         if n * 64 <= self.limits.broadcast_bytes:
             wanted = F.broadcast(wanted)
         texts = self._texts.join(wanted, ["doc_id", "k1", "k2"]).select("id", "text")
-        sets = materialize(texts.mapInArrow(_sets(self._words), "id long, shingles binary"), "sets")
+        sets = materialize(texts.mapInArrow(function(self._words), f"id long, {name} binary"), name)
         # rows that repeat id and text give equal sets
         return sets if sets.count() == n else sets.dropDuplicates(["id"])
 
-    def neighbours(self) -> DataFrame:
-        """Pairs of neighbours by size in the cells of the buckets: those with the most matches of each text."""
-        filled = self.entries.groupBy("token").agg(F.count("*").alias("m"))
-        cells = self.entries.join(filled, "token").withColumn("cell", _slot(F.ceil(F.col("m") / self.limits.cell), "id", "token"))
-        before = Window.partitionBy("token", "cell").orderBy("size", "id")
-        columns = {c: F.lag(c).over(before) for c in ("id", "size", "l", "lam")}
-        pairs = cells.withColumns({f"p_{c}": v for c, v in columns.items()}).where("p_id is not null")
-        pairs = pairs.where(_alike("size", "p_size", self.least) & (F.greatest("lam", "p_lam") <= F.least("l", "p_l")))
-        counted = pairs.groupBy(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).agg(
-            F.count("*").alias("matches"), F.first(F.least("l", "p_l")).alias("l")
+    def counted(self) -> DataFrame:
+        """(a, b, likeness) of the pairs with enough matches in the buckets of few classes."""
+        rows = self.entries if self._large is None else self.entries.join(self._hot, "token", "left_anti")
+        sides = [rows.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "l", "lam")]) for side in "xy"]
+        met = sides[0].join(sides[1], "token").where(
+            (F.col("x_id") < F.col("y_id"))
+            & _alike("x_size", "y_size", self.least)
+            & (F.greatest("x_lam", "y_lam") <= F.least("x_l", "y_l"))
         )
-        best = Window.partitionBy("b").orderBy(F.desc("matches"), "a")
-        kept = counted.where("matches >= l").withColumn("nth", F.row_number().over(best))
-        return materialize(kept.where(F.col("nth") <= PARTNERS).select("a", "b"), "neighbours")
+        counted = met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(
+            F.count("*").alias("matches"), F.first(F.least("x_l", "y_l")).alias("l")
+        )
+        return materialize(counted.where("matches >= l").select("a", "b", F.col("matches").cast("double").alias("likeness")), "counted")
 
-    def meetings(self, joined: DataFrame | None) -> DataFrame:
-        """(a, b) of all pairs with enough matches, but for those of one component of ``joined``.
+    @staticmethod
+    def _placed(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
+        """``rows`` with the component of each class."""
+        if joined is None:
+            return rows.withColumn("component", F.col("id"))
+        names = joined.withColumnRenamed("node", "id")
+        return rows.join(names, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def likeliest_of_large(self, joined: DataFrame | None) -> DataFrame:
+        """(a, b) of the likeliest partners of each class in cells of the large buckets, out of its component."""
+        salt = F.lit(0 if joined is None else 1)
+        slot = _slot(F.ceil(F.col("m") / self.limits.cell), "id", "token", salt)
+        rows = self._placed(self._large, joined).withColumn("cell", slot).join(self._bits, "id")
+        cells = rows.repartition("token", "cell").sortWithinPartitions("token", "cell")
+        found = cells.mapInArrow(_likeliest_of(self.least), "a long, b long, likeness double")
+        best = Window.partitionBy("a").orderBy(F.desc("likeness"), "b")
+        kept = found.distinct().withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= PARTNERS)
+        return materialize(kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "likeliest")
+
+    def meetings(self, counted: DataFrame, joined: DataFrame | None) -> DataFrame:
+        """(a, b, likeness) of ``counted`` and of the pairs of large buckets, but for those of one component of ``joined``."""
+        if self._large is None:
+            return counted
+        return counted.union(self._met_in_cells(joined)).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+
+    def _met_in_cells(self, joined: DataFrame | None) -> DataFrame:
+        """(a, b, likeness) of the pairs of the large buckets that may link.
 
         A bucket is a grid of cells: its left side are the texts outside its largest component, or
         all, its right side all texts.
         """
-        rows = self.entries.withColumn("component", F.col("id"))
-        if joined is not None:
-            names = joined.withColumnRenamed("node", "id")
-            rows = self.entries.join(names, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        rows = materialize(rows, "placed")
+        rows = self._placed(self._large, joined)
         sizes = rows.groupBy("token", "component").agg(F.count("*").alias("n"))
         largest = F.max_by("component", F.struct("n", "component"))
         buckets = sizes.groupBy("token").agg(F.sum("n").alias("m"), F.max("n").alias("most"), largest.alias("largest"), F.count("*").alias("parts"))
@@ -447,26 +603,17 @@ class _Join:
         buckets = buckets.where("parts > 1").select(
             "token", "largest", F.ceil(rest / self.limits.grid).cast("int").alias("ts"), F.ceil(F.col("m") / self.limits.grid).cast("int").alias("us")
         )
-        placed = rows.join(buckets, "token")
+        rows = rows.drop("m").join(buckets, "token")
         deal = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = placed.where("component <> largest").select(
-            "token", _slot(F.col("ts"), "id", F.lit(1)).alias("t"), deal("us").alias("u"),
-            *[F.col(c).alias(f"x_{c}") for c in ("id", "component", "size", "l", "lam")],
+        left = rows.where("component <> largest").select(
+            "*", _slot(F.col("ts"), "id", F.lit(1)).alias("t"), deal("us").alias("u"), F.lit(0).alias("side")
         )
-        right = placed.select(
-            "token", deal("ts").alias("t"), _slot(F.col("us"), "id", F.lit(2)).alias("u"), "largest",
-            *[F.col(c).alias(f"y_{c}") for c in ("id", "component", "size", "l", "lam")],
-        )
-        met = left.join(right, ["token", "t", "u"]).where(
-            (F.col("x_component") != F.col("y_component"))
-            & ((F.col("y_component") == F.col("largest")) | (F.col("x_id") < F.col("y_id")))
-            & _alike("x_size", "y_size", self.least)
-            & (F.greatest("x_lam", "y_lam") <= F.least("x_l", "y_l"))
-        )
-        counted = met.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
-            F.count("*").alias("matches"), F.first(F.least("x_l", "y_l")).alias("l")
-        )
-        return materialize(counted.where("matches >= l").select("a", "b", "matches"), "meetings")
+        right = rows.select("*", deal("ts").alias("t"), _slot(F.col("us"), "id", F.lit(2)).alias("u"), F.lit(1).alias("side"))
+        both = left.union(right).join(self._bits, "id")
+        cells = both.repartition("token", "t", "u").sortWithinPartitions("token", "t", "u")
+        met = cells.mapInArrow(_may_link(self.least), "a long, b long, likeness double")
+        likelier = (F.col("likeness") + 1000).alias("likeness")  # than any that is counted
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likelier).distinct()
 
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         return materialize(_confirmed(pairs, self._full_sets(pairs), self.classes, self.least), name)
@@ -474,34 +621,44 @@ class _Join:
     def components(self) -> DataFrame:
         """(id, component) of the classes that have links.
 
-        Of the meetings each text's likeliest ones are compared first, as they join most of a group
-        of copies; what is in one component by then needs no comparison. The last time all of what
-        is left is compared.
+        Each text's likeliest pairs are compared first, as they join most of a group of copies; what
+        is in one component by then needs no comparison. The last time all of what is left is compared.
         """
-        near = self.neighbours()
-        joined = connected_components(self.confirmed(near, "near_links"))
-        left = self.meetings(joined).join(near, ["a", "b"], "left_anti")
-        for last in (False, False, True):
-            left = materialize(left, "left")
-            some = left.select("a", "b") if last else self._likeliest(left)
-            links = self.confirmed(some, "more_links")
-            if links.limit(1).count():
-                known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                joined = connected_components(known.union(links.select("a", "b")))
-            if last or not left.limit(1).count():
-                break
-            left = left.join(some, ["a", "b"], "left_anti")
+        counted = self.counted()
+        tested = self._likeliest(counted)
+        if self._large is not None:
+            tested = materialize(tested.union(self.likeliest_of_large(None)).distinct(), "tested")
+        joined = connected_components(self.confirmed(tested, "links"))
+        if self._large is not None:
+            again = materialize(self.likeliest_of_large(joined).join(tested, ["a", "b"], "left_anti"), "again")
+            joined = self._joined(joined, self.confirmed(again, "links"))
+            tested = tested.union(again)
+        left = self.meetings(counted, joined).join(tested, ["a", "b"], "left_anti")
+        for last in (False, True):
             for side in ("a", "b"):
                 name = joined.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
                 left = left.join(name, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-            left = left.where("c_a <> c_b").select("a", "b", "matches")
+            left = materialize(left.where("c_a <> c_b").select("a", "b", "likeness"), "left")
+            if not left.limit(1).count():
+                break
+            some = left.select("a", "b") if last else self._likeliest(left)
+            joined = self._joined(joined, self.confirmed(some, "links"))
+            left = left.join(some, ["a", "b"], "left_anti")
         return joined.withColumnRenamed("node", "id")
 
+    @staticmethod
+    def _joined(joined: DataFrame, links: DataFrame) -> DataFrame:
+        """``joined`` with more links."""
+        if not links.limit(1).count():
+            return joined
+        known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return connected_components(known.union(links.select("a", "b")))
+
     @staticmethod
     def _likeliest(pairs: DataFrame) -> DataFrame:
-        """The PARTNERS pairs of the most matches of each text."""
+        """The PARTNERS likeliest pairs of each text."""
         ends = F.explode(F.array("a", "b")).alias("end")
-        best = Window.partitionBy("end").orderBy(F.desc("matches"), "a", "b")
+        best = Window.partitionBy("end").orderBy(F.desc("likeness"), "a", "b")
         ranked = pairs.select("*", ends).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= PARTNERS)
         return materialize(ranked.select("a", "b").distinct(), "likeliest")
 
@@ -542,6 +699,6 @@ def ngram_links(
     every row with words and an id. The rest is as :func:`ngram_components` has it.
     """
     job = _Join(docs, shingle_words, least, id_col, text_col, limits)
-    links = job.confirmed(job.meetings(None).select("a", "b"), "links").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), "common")
+    links = job.confirmed(job.meetings(job.counted(), None).select("a", "b"), "links").select(F.col("a").alias("a_id"), F.col("b").alias("b_id"), "common")
     members = job.rows.where("doc_id is not null").join(job.classes.select("c1", "c2", F.col("id").alias("class_id")), ["c1", "c2"])
     return links, members.select("class_id", "doc_id", "n_shingles")

@@ -102,6 +102,47 @@ def test_all_links(spark):
     assert got | {frozenset((r[0],)) for r in rows} == want | {frozenset((r[0],)) for r in rows}
 
 
+@pytest.mark.parametrize("least", [50, 80])
+def test_large_buckets_in_small_cells(spark, least):
+    """Every bucket of three classes or more is screened by bitmaps, in cells of a few classes."""
+    limits = J.Limits(cell=4, grid=3, counted=2)
+    rows = _corpus(6)
+    assert _got(J.ngram_components(_frame(spark, rows), 3, least, limits=limits)) == _plain(rows, 3, least)
+    rows = [r for r in rows if r[0] is not None]
+    some, others = (J.ngram_links(_frame(spark, rows), 3, least, limits=own) for own in (limits, J.Limits(counted=10**6)))
+    assert some[0].count() == others[0].count() > 50
+
+
+def test_bitmaps_lose_no_link():
+    """Whatever their bitmaps, two sets that link pass the screen."""
+    rng = np.random.default_rng(3)
+    for least in (40, 80):
+        for _ in range(300):
+            n, more, less = int(rng.integers(1, 6000)), int(rng.integers(0, 400)), int(rng.integers(0, 400))
+            both = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            x = np.unique(np.concatenate([both, rng.integers(0, 1 << 63, more).astype(np.uint64)]))
+            y = np.unique(np.concatenate([both, rng.integers(0, 1 << 63, less).astype(np.uint64)]))
+            cells = [J._Cell(J.pa.table({"id": [i], "component": [i], "size": [len(s)], "l": [1], "lam": [1], "bits": [J.bitmap(s)]})) for i, s in enumerate((x, y))]
+            passed = any((likeness > 0).any() for _, _, likeness in J.screened(*cells, least))
+            assert passed or 100 * len(np.intersect1d(x, y)) < least * len(np.union1d(x, y))
+
+
+def test_a_large_group_of_near_copies_compares_few_pairs(spark, monkeypatch):
+    """Copies that are like their original and little like each other: most pairs share a prefix, few link."""
+    rng = random.Random(9)
+    original = [str(rng.randrange(10**6)) for _ in range(150)]
+    rows = [(0, " ".join(original))]
+    for i in range(1, 300):
+        own = list(original)
+        for at in rng.sample(range(len(own)), rng.choice([2, 3, 4, 5])):
+            own[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    compared, confirmed = [], J._Join.confirmed
+    monkeypatch.setattr(J._Join, "confirmed", lambda self, pairs, name: compared.append(pairs.count()) or confirmed(self, pairs, name))
+    assert _got(J.ngram_components(_frame(spark, rows))) == _plain(rows)
+    assert sum(compared) < 10 * len(rows)  # of 44,850 pairs
+
+
 def test_prefixes_lengthen_where_shingles_are_frequent():
     """Under any order and any numbers of matches, linked sets match often enough; hot prefixes ask for more."""
     rng = np.random.default_rng(1)
