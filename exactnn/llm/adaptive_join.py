@@ -51,7 +51,7 @@ PARTS, FAN_IN = 256, 512
 #: Partners of each text in the first round.
 PARTNERS = 2
 #: Bits of a set's bitmap.
-LEAST_BITS, MOST_BITS = 64, 1 << 13
+LEAST_BITS, MOST_BITS = 1 << 11, 1 << 13
 
 
 class Limits(NamedTuple):
