@@ -52,6 +52,7 @@ BLOCK_ROWS = 2048
 TASK_BYTES = 2048 * MIB
 PLACE_BYTES, MERGE_BYTES = 16, 256 * MIB  # of a place in a list, and of lists a merge task reads
 ROWS_PER_PLACE = 500  # base rows a task should read for each of the k places it returns
+LIST_BYTES = 64 * MIB  # of all lists from a base of unknown size, before it gets fewer tasks than splits
 RESIDENT_BYTES = 256 * MIB  # base vectors that a task of the grid form holds at a time
 BAR_TASKS = 16  # tasks that leave their k-th places for others
 TILES_PER_FILE = 16  # a task reads the tiles of a file at once
@@ -88,8 +89,8 @@ def block_rows(dim: int) -> int:
 def task_count(base: DataFrame, k: int, dim: int) -> int | None:
     """One to four base tasks per core, more if a task would read over 2 GiB.
 
-    None where the size of the base is unknown, as of a data source in Python: its tasks are
-    then left as its splits are.
+    None where the size of the base is unknown, as of a data source in Python: see
+    :func:`list_tasks`.
 
     Up to four per core balance the load; but each task returns k places per query however
     little it read, so tasks of few rows for their k are not worth it.
@@ -102,6 +103,16 @@ def task_count(base: DataFrame, k: int, dim: int) -> int | None:
     return max(balanced, math.ceil(size / TASK_BYTES))
 
 
+def list_tasks(base: DataFrame, k: int, size: QuerySize) -> int:
+    """Most tasks for a base of unknown size, where the splits say nothing about its rows.
+
+    Each task returns a list for every query, so with small splits the lists would outgrow the
+    vectors. They are held to LIST_BYTES, but with one task per core at least, in whole rounds.
+    """
+    cores = parallelism(base.sparkSession)
+    return cores * max(1, LIST_BYTES // max(1, cores * size.rows * k * PLACE_BYTES))
+
+
 def knn_join(
     query: DataFrame, base: DataFrame, k: int = 100, metric: str = "sqeuclidean", **options
 ) -> DataFrame:
@@ -113,7 +124,7 @@ def knn_join(
     """
     size = options.pop("size", None) or measure_queries(query, options.get("vector", "embedding"))
     lists = knn_lists(query, base, k, metric, size=size, **options)
-    tasks = options.get("base_tasks") or task_count(base, k, size.dim) or 4 * parallelism(base.sparkSession)
+    tasks = options.get("base_tasks") or task_count(base, k, size.dim) or list_tasks(base, k, size)
     parts = math.ceil(size.rows * k * tasks * PLACE_BYTES / MERGE_BYTES)
     default = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [min(parts, MAX_PARTITIONS), "query_id"] if parts > default else ["query_id"]
@@ -149,8 +160,8 @@ def knn_lists(
     """Top k of every query within each base task: (query_id, base_ids, distances).
 
     ``base_tasks`` caps the number of tasks, so that the lists to merge do not grow with the
-    number of input splits (default: see :func:`task_count`). ``size`` saves the count of the query
-    side where the caller knows it.
+    number of input splits (default: see :func:`task_count` and :func:`list_tasks`). ``size`` saves
+    the count of the query side where the caller knows it.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
@@ -164,7 +175,7 @@ def knn_lists(
         strategy = "broadcast" if size.bytes(k) <= broadcast_bytes else "grid"
     queries = query.select(F.col(query_id).cast("long").alias("id"), F.col(vector).alias("vec"))
     rows = base.select(F.col(base_id).cast("long").alias("id"), F.col(vector).alias("vec"))
-    tasks = base_tasks or task_count(rows, k, size.dim)
+    tasks = base_tasks or task_count(rows, k, size.dim) or list_tasks(rows, k, size)
     if strategy == "broadcast":
         if size.bytes(k) > broadcast_bytes:
             raise ValueError("query side exceeds broadcast_bytes; use strategy='grid'")
@@ -175,11 +186,11 @@ def knn_lists(
 
 
 def _broadcast_form(
-    queries, rows, k, metric, size: QuerySize, tasks: int | None, decimals: int | None
+    queries, rows, k, metric, size: QuerySize, tasks: int, decimals: int | None
 ) -> DataFrame:
     dim, per_block = size.dim, block_rows(size.dim)
     query_blocks, blocks = _query_blocks(queries, size)
-    base_packs = (rows.coalesce(tasks) if tasks else rows).mapInArrow(
+    base_packs = rows.coalesce(tasks).mapInArrow(
         _pack_base(dim, k, per_block), "leading boolean, bids binary, bvecs binary"
     )
     # the first pack of a task meets every query block through an equi-join on its number and so
@@ -201,11 +212,11 @@ def _query_blocks(queries: DataFrame, size: QuerySize) -> tuple[DataFrame, int]:
 
 
 def _grid_form(
-    queries, rows, k, metric, size: QuerySize, tasks: int | None, decimals: int | None
+    queries, rows, k, metric, size: QuerySize, tasks: int, decimals: int | None
 ) -> DataFrame:
     tiles = scratch_path(rows.sparkSession, "tiles")
     _query_blocks(queries, size)[0].write.option("maxRecordsPerFile", TILES_PER_FILE).parquet(tiles)
-    packs = (rows.coalesce(tasks) if tasks else rows).mapInArrow(
+    packs = rows.coalesce(tasks).mapInArrow(
         sweep(_packs_of(size.dim, k), size.dim, k, metric, decimals, tiles, resident=RESIDENT_BYTES), LIST_SCHEMA
     )
     return packs

@@ -356,3 +356,21 @@ def test_tasks_follow_the_splits_of_a_source_of_unknown_size(spark, tmp_path, da
     assert task_count(base, 10, 48) is None
     lists = K.knn_lists(frame(spark, range(100), data[0], "query_id"), base, 10, base_id="idx")
     assert lists.rdd.getNumPartitions() == base.rdd.getNumPartitions() > 20
+
+
+@pytest.mark.parametrize("strategy", ("broadcast", "grid"))
+def test_small_splits_of_a_source_of_unknown_size_share_tasks(spark, tmp_path, strategy):
+    """Lists of many queries do not grow with the number of splits."""
+    from exactnn.sources import xvec as S
+
+    b, q, k = unit(np.random.default_rng(4), 1000, 4), unit(np.random.default_rng(5), 60_000, 4), 10
+    base, query = frame(spark, range(1000), b, "base_id"), frame(spark, range(60_000), q, "query_id")
+    S.write_xvec(base, str(tmp_path / "b.fvec"), vector="embedding", order="base_id")
+    read = S.read_xvec(spark, str(tmp_path / "b.fvec"), splitBytes=400)
+    read = read.withColumnsRenamed({"idx": "base_id", "vector": "embedding"})
+    cores = spark.sparkContext.defaultParallelism
+    lists = K.knn_lists(query, read, k, strategy=strategy)
+    assert read.rdd.getNumPartitions() > 40 and lists.rdd.getNumPartitions() == cores
+    assert lists.select(F.sum(F.size("base_ids"))).first()[0] <= cores * len(q) * k
+    found, same = (knn_join(query, x, k, strategy=strategy, base_tasks=n) for x, n in ((read, None), (base, 1)))
+    assert found.count() == len(q) * k and found.exceptAll(same).isEmpty()
