@@ -18,6 +18,7 @@ _UNIT = 2.0**-24  # rounding unit of float32
 _ROUNDING = 2.0**-50  # of float64 distances of about 1, and of products too small for float32
 _MAX_NORM = 1e18  # products and squares up to here are finite in float32
 TILE_ROWS = 512  # queries scored at a time, so that a tile of scores stays in the cache
+GROUP = 16  # scores of a query of which only the least is looked at first
 _VERIFY_ELEMENTS = 1 << 18  # float64 components gathered at a time, for the same reason
 _KEY_LIMIT = 1 << 40  # a sort key holds a number up to this, and above it a row or run
 _KEY_RUNS = 1 << 20
@@ -113,6 +114,42 @@ def _buffer(name: str, shape: tuple[int, int], dtype) -> np.ndarray:
     return _buffers[name][:need].reshape(shape)
 
 
+def least_of_groups(score: np.ndarray) -> np.ndarray:
+    """The least score of each group of GROUP columns, which lie as far apart as there are groups.
+
+    Columns left over at the end, fewer than GROUP, are in no group.
+    """
+    return _grouped(score)[0].min(axis=1)
+
+
+def _grouped(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    groups = score.shape[1] // GROUP
+    whole = GROUP * groups
+    return score[:, :whole].reshape(len(score), GROUP, groups), score[:, whole:]
+
+
+def kth_bound(score: np.ndarray, least: np.ndarray, k: int, rows: np.ndarray) -> np.ndarray:
+    """For each of the rows a bound that k of its scores reach: the k-th of the groups' least ones if these are many."""
+    values = (least if least.shape[1] >= 4 * k else score)[rows]
+    return np.partition(values.astype(np.float32, copy=False), k - 1, axis=1)[:, k - 1]
+
+
+def reached(score: np.ndarray, least: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the scores within the bound of their row, in no certain order."""
+    body, rest = _grouped(score)
+    groups = least.shape[1]
+    found = np.flatnonzero(least <= bound[:, None])
+    if len(found) > least.size // 4 or not groups:
+        return np.divmod(np.flatnonzero(score <= bound[:, None]), score.shape[1])
+    row, group = np.divmod(found, groups)
+    hit, at = np.divmod(np.flatnonzero(body[row, :, group] <= bound[row, None]), GROUP)
+    rows, cols = row[hit], at * groups + group[hit]
+    if rest.shape[1]:
+        more, at = np.nonzero(rest <= bound[:, None])
+        rows, cols = np.concatenate([rows, more]), np.concatenate([cols, at + GROUP * groups])
+    return rows, cols
+
+
 class BlockTopK:
     """Running top k of one block of queries.
 

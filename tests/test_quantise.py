@@ -56,6 +56,38 @@ def test_bits_and_neighbours(spark):
     assert Q.knn_hamming(query.limit(0), base, 3).count() == 0
 
 
+def _nearest(words, asked, ids, k):
+    away = np.bitwise_count(asked[:, None] ^ words).sum(axis=2)
+    return [[(int(away[i, j]), int(ids[j])) for j in np.lexsort((ids, away[i]))[:k]] for i in range(len(asked))]
+
+
+@pytest.mark.parametrize("words, k, rows", [(1, 10, 2048), (1, 300, 700), (4, 3, 2051), (2, 5, 9), (1, 1, 1)])
+def test_bits_are_ranked_from_small_counts(words, k, rows):
+    """Counts take the smallest type, and any width, k and share of ties ranks as plain counting does."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, (rows, words), dtype=np.uint64)
+    base[rng.random(rows) < 0.3] = base[0]
+    ids = rng.permutation(rows) - 5
+    asked = np.vstack([base[: min(rows, 40)], rng.integers(0, 1 << 63, (30, words), dtype=np.uint64)])
+    bits = Q.differing_bits(asked, base)
+    assert bits.dtype == (np.uint8 if words < 4 else np.uint16)
+    assert (bits == np.bitwise_count(asked[:, None] ^ base).sum(axis=2)).all()
+    top = Q.HammingTopK(np.arange(len(asked)), asked, k)
+    for at in range(0, rows, 500):
+        top.offer(ids[at:at + 500], base[at:at + 500])
+    got = {q: list(zip(d, i)) for batch in top.batches() for q, i, d in zip(*(c.to_pylist() for c in batch.columns))}
+    assert [got[q] for q in range(len(asked))] == _nearest(base, asked, ids, k)
+
+
+def test_repeated_ids_and_bars_of_bits():
+    """Of rows that share an id each is a candidate; rows beyond a known distance are left out."""
+    words = np.array([[0], [1], [3], [7], [0]], np.uint64)
+    top = Q.HammingTopK(np.array([9]), words[:1], 4, bar=np.array([2.0]))
+    top.offer(np.array([1, 1, 1, 2, 1]), words)
+    (batch,) = top.batches()
+    assert batch.column(1).to_pylist() == [[1, 1, 1, 1]] and batch.column(2).to_pylist() == [[0.0, 0.0, 1.0, 2.0]]
+
+
 def test_records_choose_what_is_read(spark, tmp_path):
     path = str(tmp_path / "v.fvec")
     v = np.arange(4000, dtype=np.float32).reshape(1000, 4)
