op10: bounds and products in the smallest exact type, and each tile ranks only its own rows

Symptom: the search stage of op10 took 7 of 13 task seconds on the large input, about 100 ns of Python a pair of vectors.
Evidence: a profile of the kernel: 45 % went into the bounds (64-bit products, three slack matrices, indexed copies of the mask), 35 % into sorting all rows that a block of queries holds, again for every tile of 128 queries.
Fix: the bounds of both resolutions stay and are tested first as before, now as one product and one comparison in 32 bits, against a bar lowered by the proven rounding; products of whole numbers are taken in 32 or 64 bits of float where that is exact, else in integers; what the tiles find waits and is ranked for their own queries; hits are found by the least of 16 scores; tiles are 256 x 2048.
Effect, together with 3 more commits on this code: at 0.6 GB of input CPU 154 -> 136 s, shuffle 0.03 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 4 -> 4 s, most memory of a task 105 -> 105 MB; at 6 GB of input CPU 4449 -> 478 s, shuffle 0.34 -> 0.34 GB, spill 0.00 -> 0.00 GB, read 0.91 -> 0.91 GB, longest task 427 -> 28 s, most memory of a task 235 -> 235 MB; with hot keys, at 0.6 GB of input CPU 137 -> 125 s, shuffle 0.02 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 4 -> 4 s, most memory of a task 105 -> 105 MB.

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from exactnn.operators.topk import kth_bound, least_of_groups, ranked, reached
 from exactnn.session import materialize, parallelism
 
 #: Rows of a packed block, and bytes of all blocks of a group of queries or a shard of the base.
@@ -31,8 +32,8 @@ CELL_BYTES = 64 << 20
 RESOLUTIONS = (4, 16)
 #: Rows of the sample that the first bars come from, about.
 SAMPLE_ROWS = 4096
-_TILE_QUERIES = 128
-_TILE_BASE = 1024
+_TILE_QUERIES = 256
+_TILE_BASE = 2048
 #: Share of a tile's pairs up to which survivors are measured one by one, not as a product.
 _FEW = 0.05
 
@@ -84,19 +85,27 @@ class _Side:
 
     def __init__(self, ids: bytes, comps: bytes, kind: str, dim: int):
         self.ids = np.frombuffer(ids, "<i8")
-        self.whole = np.frombuffer(comps, kind).reshape(-1, dim).astype(np.int64)
-        self.most = int(np.abs(self.whole).max(initial=0))
-        self.vectors = self.whole.astype(np.float64)
-        self.norms = np.einsum("ij,ij->i", self.vectors, self.vectors)
-        self.levels = [self._statistics(min(r, dim)) for r in RESOLUTIONS if r < dim]
+        self.comps = np.frombuffer(comps, kind).reshape(-1, dim)
+        self.most = max(int(self.comps.max(initial=0)), -int(self.comps.min(initial=0)))
+        vectors = self.comps.astype(np.float64)
+        self.norms = np.einsum("ij,ij->i", vectors, vectors)
+        self.levels = [_statistics(vectors, r) for r in RESOLUTIONS if r < dim]
+        self._kinds: dict[type, np.ndarray] = {}
 
-    def _statistics(self, segments: int) -> np.ndarray:
-        """sqrt(n) * mean and sqrt(n) * deviation of each segment."""
-        out = []
-        for part in np.array_split(self.vectors, segments, axis=1):
-            root = math.sqrt(part.shape[1])
-            out += [root * part.mean(axis=1), root * part.std(axis=1)]
-        return np.stack(out, axis=1)
+    def as_kind(self, kind: type) -> np.ndarray:
+        if kind not in self._kinds:
+            self._kinds[kind] = self.comps.astype(kind)
+        return self._kinds[kind]
+
+
+def _statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
+    """sqrt(n) * mean and sqrt(n) * deviation of each segment, as float32."""
+    sizes = np.array([len(part) for part in np.array_split(np.arange(vectors.shape[1]), segments)])
+    begin = np.cumsum(sizes) - sizes
+    mean = np.add.reduceat(vectors, begin, axis=1) / sizes
+    away = vectors - np.repeat(mean, sizes, axis=1)
+    spread = np.sqrt(np.add.reduceat(away * away, begin, axis=1))
+    return np.hstack([np.sqrt(sizes) * mean, spread]).astype(np.float32)
 
 
 class _Best:
@@ -111,16 +120,24 @@ class _Best:
         self.id = np.zeros(0, np.int64)
         self.score = np.zeros(0, np.int64)
 
-    def add(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
-        if not len(row):
+    def add(self, rows: slice, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """Rank what was found for the queries ``rows``, and nothing else, with what they hold."""
+        if not any(len(row) for row, _, _ in found):
             return
-        row = np.concatenate([self.row, row])
-        ids, score = np.concatenate([self.id, ids]), np.concatenate([self.score, score])
-        order = np.lexsort((ids, -score, row))
+        held = (self.row, self.id, self.score)
+        a, b = np.searchsorted(self.row, (rows.start, rows.stop))
+        found = [tuple(x[a:b] for x in held), *found]
+        row, ids, score = (np.concatenate(parts) for parts in zip(*found, strict=True))
+        if np.abs(score).max() < 1 << 53 and ids.max() < 1 << 40:
+            order = ranked(row, -score.astype(np.float64), ids, 0)
+        else:
+            order = np.lexsort((ids, -score, row))
         row, ids, score = row[order], ids[order], score[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = place < self.k
-        self.row, self.id, self.score = row[keep], ids[keep], score[keep]
+        self.row, self.id, self.score = (
+            np.concatenate([old[:a], new[keep], old[b:]]) for old, new in zip(held, (row, ids, score), strict=True)
+        )
         last = np.flatnonzero(place == self.k - 1)
         bar = score[last].astype(np.float64)
         bar = np.where(np.abs(bar) < 1 << 53, bar, np.nextafter(bar, -np.inf))
@@ -128,65 +145,83 @@ class _Best:
 
 
 def _search(best: _Best, base: _Side, skip_self: bool) -> None:
-    """Offer the rows of ``base`` to the queries."""
-    q = best.q
-    exact = q.vectors.shape[1] * max(1, q.most) * max(1, base.most) < 1 << 53
-    if not exact and q.vectors.shape[1] * q.most * base.most >= 1 << 63:
+    """Offer the rows of ``base`` to the queries.
+
+    What a tile finds waits until there is enough to rank, or until a query has no bar yet.
+    """
+    q, dim = best.q, best.q.comps.shape[1]
+    largest = dim * max(1, q.most) * max(1, base.most)
+    if largest >= 1 << 53 and dim * q.most * base.most >= 1 << 63:
         raise ValueError("inner products overflow 64 bits")
+    # sums of whole numbers are exact in the smallest of these types that holds the largest one
+    kind = np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
     for a in range(0, len(q.ids), _TILE_QUERIES):
         rows = slice(a, min(a + _TILE_QUERIES, len(q.ids)))
+        one, found, waiting = q.as_kind(kind)[rows], [], 0
         for b in range(0, len(base.ids), _TILE_BASE):
-            columns = slice(b, min(b + _TILE_BASE, len(base.ids)))
-            alive = _survivors(best, base, rows, columns)
-            best.pairs += alive.size
-            if skip_self:
-                alive &= q.ids[rows, None] != base.ids[columns]
+            columns = np.arange(b, min(b + _TILE_BASE, len(base.ids)))
+            best.pairs += len(one) * len(columns)
+            alive, columns = _survivors(best, base, rows, columns)
             left = int(np.count_nonzero(alive))
             best.survivors += left
             if not left:
                 continue
-            one, other = (q.vectors, base.vectors) if exact else (q.whole, base.whole)
-            bar = best.bar[rows]
+            other, bar = base.as_kind(kind)[columns], best.bar[rows]
+            own, ids = q.ids[rows] if skip_self else None, base.ids[columns]
             if left < _FEW * alive.size:
-                row, column = np.nonzero(alive)
-                score = np.einsum("ij,ij->i", one[rows][row], other[columns][column])
+                row, column = np.divmod(np.flatnonzero(alive), len(columns))
+                score = np.einsum("ij,ij->i", one[row], other[column])
                 good = score >= bar[row]
-                row, column, score = row[good], column[good], score[good]
             else:
-                scores = one[rows] @ other[columns].T
-                alive &= scores >= bar[:, None]
-                row, column = np.nonzero(alive)
-                if len(row) > 4 * best.k * scores.shape[0]:  # only the best of this tile can stay
-                    row, column = _tile_best(scores, alive, best.k)
-                score = scores[row, column]
-            best.add(row + a, base.ids[columns][column], score.astype(np.int64))
-
-
-def _survivors(best: _Best, base: _Side, rows: slice, columns: slice) -> np.ndarray:
-    """Pairs that the bounds of no resolution rule out."""
-    q, bar = best.q, best.bar[rows, None]
-    alive = np.ones((len(bar), len(base.ids[columns])), bool)
+                less = -one @ other.T
+                row, column = _tile_best(less, bar, best.k, own, ids)
+                score = -less[row, column]
+                good = np.ones(len(row), bool)
+            if skip_self:
+                good &= own[row] != ids[column]
+            found.append((row[good] + a, ids[column[good]], score[good].astype(np.int64)))
+            waiting += len(found[-1][0])
+            if waiting > best.k * len(one) // 2 or np.isneginf(bar).any():
+                best.add(rows, found)
+                found, waiting = [], 0
+        best.add(rows, found)
+
+
+def _survivors(best: _Best, base: _Side, rows: slice, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that the bounds of no resolution rule out, and the columns they are of, without most that have none."""
+    q, bar = best.q, best.bar[rows]
+    alive = np.ones((len(bar), len(columns)), bool)
     if np.isneginf(bar).all():
-        return alive
-    slack = 1e-9 * (q.norms[rows, None] + base.norms[columns]) + 1e-6
+        return alive, columns
+    norms, biggest = q.norms[rows], base.norms[columns].max()
     for ours, theirs in zip(q.levels, base.levels, strict=True):
+        # the statistics' products are less the larger, by half, of norms less the distance's bound
+        rounding = (ours.shape[1] + 8) * 2.0**-23 * np.sqrt(norms * biggest)
+        limit = bar - rounding - (1e-9 * (norms + biggest) + 1e-6) / 2
+        limit = np.nextafter(limit.astype(np.float32), np.float32(-np.inf))
+        alive &= ours[rows] @ theirs[columns].T >= limit[:, None]
         some = np.flatnonzero(alive.any(axis=0))
-        if not len(some):
-            break
-        nearest = 2 * (ours[rows] @ theirs[columns][some].T)  # norms less the distance's bound
-        alive[:, some] &= (nearest + slack[:, some]) / 2 >= bar
-    return alive
-
-
-def _tile_best(scores: np.ndarray, good: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the scores that reach the k-th of their row; a block's ids may come in any order."""
-    if scores.shape[1] <= k:
-        return np.nonzero(good)
-    least = -np.inf if scores.dtype.kind == "f" else np.iinfo(np.int64).min
-    held = np.where(good, scores, least)
-    at = scores.shape[1] - k
-    bar = np.partition(held, at, axis=1)[:, at : at + 1]
-    return np.nonzero(good & (held >= bar))
+        if len(some) < 0.75 * len(columns):
+            alive, columns = alive[:, some], columns[some]
+    return alive, columns
+
+
+def _tile_best(
+    less: np.ndarray, bar: np.ndarray, k: int, own: np.ndarray | None, ids: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the negative scores that reach the bar, or are among the best k about of a row without one.
+
+    A few more are let through by rounding; rows of a query's own id may be among them.
+    """
+    open_ = np.isneginf(bar)
+    some = open_.any() and less.shape[1] > k
+    if some and own is not None:
+        less[own[:, None] == ids] = np.inf if less.dtype.kind == "f" else np.iinfo(np.int64).max
+    least = least_of_groups(less)
+    bound = (-bar).astype(np.float32)
+    if some:
+        bound[open_] = kth_bound(less, least, k, open_)
+    return reached(less, least, np.nextafter(bound, np.float32(np.inf)))
 
 
 def _cells(k: int, skip_self: bool):

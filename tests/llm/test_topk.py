@@ -65,6 +65,34 @@ def test_bounds_prune_and_keep_ties(monkeypatch, queries, base):
         assert [(-s, i) for s, i in zip(best.score[best.row == q], best.id[best.row == q], strict=True)] == want
 
 
+@pytest.mark.parametrize("most, kind", [(20, "f4"), (3000, "f8"), (1 << 20, "f8"), (1 << 26, "i8")])
+def test_products_in_the_smallest_exact_type(monkeypatch, most, kind):
+    """Bounds are rounded so that no pair is lost, ties keep their order, and a tile ranks its own rows only."""
+    import numpy as np
+
+    monkeypatch.setattr(segment_topk, "_TILE_QUERIES", 16)
+    monkeypatch.setattr(segment_topk, "_TILE_BASE", 90)
+    rng, sorted_rows = np.random.default_rng(5), []
+    rank = segment_topk.ranked
+    monkeypatch.setattr(segment_topk, "ranked", lambda row, *rest: sorted_rows.append(len(set(row.tolist()))) or rank(row, *rest))
+    comps = rng.integers(-most, most, (30, 64)).repeat(20, axis=0) + rng.integers(-2, 3, (600, 64))
+    comps[::50] = comps[7]  # copies: ties
+    comps[5], comps[11] = 0, most
+    ids = rng.permutation(600).astype("<i8") - 100
+    ids[:4] = ids[4]  # one id on rows of its own
+    side = lambda rows: segment_topk._Side(ids[rows].tobytes(), comps[rows].astype("<i8").tobytes(), "<i8", 64)
+    whole = np.arange(600)
+    asked = whole[:100]
+    best = segment_topk._Best(side(asked), 5)
+    for at in range(0, 600, 250):
+        segment_topk._search(best, side(whole[at:at + 250]), True)
+    scores = [[sum(x * y for x, y in zip(comps[i].tolist(), comps[j].tolist())) for j in range(600)] for i in range(100)]
+    for i in range(100):
+        want = sorted((-scores[i][j], ids[j]) for j in range(600) if ids[j] != ids[i])[:5]
+        assert [(-s, n) for s, n in zip(best.score[best.row == i], best.id[best.row == i], strict=True)] == want
+    assert [*best.q._kinds] == [np.dtype(kind).type] and max(sorted_rows, default=0) <= 16
+
+
 def test_large_components_stay_exact(spark):
     rows = [(0, [2.0**30, 1.0]), (1, [2.0**30, 2.0]), (2, [2.0**30, 3.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
