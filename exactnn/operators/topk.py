bundle_quantised: the screen of float vectors looks at groups of scores first

Symptom: after the packed vectors, the search of the int8 vectors was the longest stage of bundle_quantised on the large input; only part of it is the matrix product.
Evidence: a profile of the kernel shows a mask over all pairs, a search for its places, and a partition of the whole score matrix for the first bar of each task beside the product.
Fix: of every 16 scores the least is compared with the bar, and only groups that reach it are looked through; the first bar is the k-th of these least scores where they are many enough, else as before. Packs of under 256 rows and dense hits go the old way; survivors are measured and ranked as before.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 512 -> 421 s, shuffle 0.36 -> 0.36 GB, spill 0.00 -> 0.00 GB, read 0.23 -> 0.23 GB, longest task 13 -> 9 s, most memory of a task 38 -> 38 MB; at 6 GB of input CPU 6892 -> 4571 s, shuffle 2.24 -> 2.24 GB, spill 0.00 -> 0.00 GB, read 1.38 -> 1.38 GB, longest task 312 -> 227 s, most memory of a task 201 -> 201 MB; with hot keys, at 1 GB of input CPU 322 -> 290 s, shuffle 0.17 -> 0.17 GB, spill 0.00 -> 0.00 GB, read 0.12 -> 0.12 GB, longest task 5 -> 4 s, most memory of a task 36 -> 36 MB.

@@ -19,6 +19,7 @@ _ROUNDING = 2.0**-50  # of float64 distances of about 1, and of products too sma
 _MAX_NORM = 1e18  # products and squares up to here are finite in float32
 TILE_ROWS = 512  # queries scored at a time, so that a tile of scores stays in the cache
 GROUP = 16  # scores of a query of which only the least is looked at first
+FEW_COLUMNS = 256  # below this all scores are looked at
 _VERIFY_ELEMENTS = 1 << 18  # float64 components gathered at a time, for the same reason
 _KEY_LIMIT = 1 << 40  # a sort key holds a number up to this, and above it a row or run
 _KEY_RUNS = 1 << 20
@@ -117,13 +118,13 @@ def _buffer(name: str, shape: tuple[int, int], dtype) -> np.ndarray:
 def least_of_groups(score: np.ndarray) -> np.ndarray:
     """The least score of each group of GROUP columns, which lie as far apart as there are groups.
 
-    Columns left over at the end, fewer than GROUP, are in no group.
+    Columns left over at the end, fewer than GROUP, are in no group; fewer than FEW_COLUMNS make none.
     """
     return _grouped(score)[0].min(axis=1)
 
 
 def _grouped(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    groups = score.shape[1] // GROUP
+    groups = score.shape[1] // GROUP if score.shape[1] >= FEW_COLUMNS else 0
     whole = GROUP * groups
     return score[:, :whole].reshape(len(score), GROUP, groups), score[:, whole:]
 
@@ -195,10 +196,8 @@ class BlockTopK:
             left = self.left[tile]
             score = _buffer("score", (len(left), len(base)), np.float32)
             np.matmul(left, right, out=score)
-            mask = _buffer("mask", score.shape, np.bool_)
-            bound = self._bound(tile, score, slack[tile])
-            np.less_equal(score, bound[:, None], out=mask)
-            rows, cols = np.divmod(np.flatnonzero(mask), score.shape[1])
+            least = least_of_groups(score)
+            rows, cols = reached(score, least, self._bound(tile, score, least, slack[tile]))
             if len(rows):
                 exact = self._measure(tile, rows, cols, wide, norms)
                 self._admit(rows + top if some is None else tile[rows], base_ids[cols], exact)
@@ -220,15 +219,14 @@ class BlockTopK:
         # the screen orders by the product; only the ranked distance, in float64, is one less it
         return gamma * self.query_norm * biggest + _ROUNDING
 
-    def _bound(self, tile, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    def _bound(self, tile, score: np.ndarray, least: np.ndarray, slack: np.ndarray) -> np.ndarray:
         """Largest score per query that may still enter the top k."""
         worst = np.minimum(self.dist[tile, -1], self.bar[tile])
         shift = -self.query_sq[tile] if self.metric == "sqeuclidean" else -1.0
         known = worst + shift + slack
         unfilled = np.isinf(worst)
         if unfilled.any() and score.shape[1] > self.k:
-            kth = np.partition(score[unfilled], self.k - 1, axis=1)[:, self.k - 1]
-            known[unfilled] = kth + 2 * slack[unfilled]
+            known[unfilled] = kth_bound(score, least, self.k, unfilled) + 2 * slack[unfilled]
         # one rounding step of the distance, if any, and of the float32 comparison on top
         if self.decimals is not None:
             known = known + 10.0**-self.decimals

@@ -158,6 +158,28 @@ def test_ranked_equals_lexsort(top_id, scale):
         np.testing.assert_array_equal(values[order], values[plain])
 
 
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("width, k", [(2048, 10), (2051, 40), (300, 60), (37, 5)])
+def test_first_bar_and_hits_come_from_groups(monkeypatch, metric, width, k):
+    """Any width and k, zero vectors, copies and ties rank as the full distances do; wide packs give their bar by groups."""
+    from exactnn.operators import topk
+
+    bars, bound = [], topk.kth_bound
+    monkeypatch.setattr(topk, "kth_bound", lambda score, least, *rest: bars.append(least.shape[1]) or bound(score, least, *rest))
+    rng = np.random.default_rng(4)
+    b = rng.integers(-3, 4, (2 * width, 12)).astype(np.float32)
+    b[::9], b[5] = b[3], 0
+    q = np.vstack([b[:20], rng.standard_normal((30, 12)).astype(np.float32)])
+    ids = rng.permutation(2 * width) - 4
+    top = BlockTopK(np.arange(50), q, k, metric, 6)
+    for at in (0, width):
+        top.offer(ids[at:at + width], b[at:at + width])
+    d = exact(q, b, metric)
+    want = {i: ids[np.lexsort((ids, d[i]))[:k]].tolist() for i in range(50)}
+    assert {r["query_id"]: r["base_ids"] for batch in top.batches() for r in batch.to_pylist()} == want
+    assert bars and bars[0] == (width // 16 if width >= 256 else 0)
+
+
 @pytest.mark.parametrize("metric", METRICS)
 def test_screen_of_short_vectors(metric):
     rng = np.random.default_rng(8)
