op10: the sample of the first bars is picked by all tasks of the scan

Symptom: one task of op10 read the whole base to pick about 4,096 rows, which grows with the base and which more machines do not shorten.
Evidence: the stage of the sample had one task that read all 51,282 rows of the large input, and looked at every vector before the hash of its id.
Fix: the hash of the id is tested first, each task of the scan picks its own rows, and only the rows picked move to the one partition that packs them. The rows picked are the same as before.
Effect, together with 3 more commits on this code: at 0.6 GB of input CPU 154 -> 136 s, shuffle 0.03 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 4 -> 4 s, most memory of a task 105 -> 105 MB; at 6 GB of input CPU 4449 -> 478 s, shuffle 0.34 -> 0.34 GB, spill 0.00 -> 0.00 GB, read 0.91 -> 0.91 GB, longest task 427 -> 28 s, most memory of a task 235 -> 235 MB; with hot keys, at 0.6 GB of input CPU 137 -> 125 s, shuffle 0.02 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 4 -> 4 s, most memory of a task 105 -> 105 MB.

@@ -264,10 +264,18 @@ def _first_bars(k: int, skip_self: bool):
     return run
 
 
-def _with_bars(asked: DataFrame, base: DataFrame, n: int, k: int, skip_self: bool) -> DataFrame:
-    """Query blocks and their first bars. The sample is dealt by the hash of the ids, about SAMPLE_ROWS rows."""
-    some = base.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(max(1, n // SAMPLE_ROWS))) == 0)
-    packed = materialize(some.coalesce(1).mapInArrow(_pack, _BLOCK), "sample")
+def _sample(base: DataFrame, n: int, id_col: str, vector_col: str, scale: float) -> DataFrame:
+    """Valid vectors of about SAMPLE_ROWS of n rows, dealt by the hash of the ids, in one partition.
+
+    Every task of the scan picks its own, by the hash first: vectors are looked at only for rows picked.
+    """
+    dealt = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(9)), F.lit(max(1, n // SAMPLE_ROWS)))
+    return valid_vectors(base.where(dealt == 0), id_col, vector_col, scale).repartition(1)
+
+
+def _with_bars(asked: DataFrame, sample: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    """Query blocks and their first bars."""
+    packed = materialize(sample.mapInArrow(_pack, _BLOCK), "sample")
     # equal ids have one hash: the sample is broadcast only if it is as small as it should be
     size = packed.agg(F.coalesce(F.sum(F.length("comps")), F.lit(0)).alias("bytes")).first().bytes
     sample = packed.groupBy("dim").agg(F.collect_list(F.struct("ids", "comps", "kind")).alias("sample"))
@@ -304,8 +312,7 @@ def top_k(
     tables give an empty result.
     """
     spark = base.sparkSession
-    candidates = valid_vectors(base, id_col, vector_col, scale)
-    rows = materialize(candidates.mapInArrow(_pack, _BLOCK), "base")
+    rows = materialize(valid_vectors(base, id_col, vector_col, scale).mapInArrow(_pack, _BLOCK), "base")
     asked = materialize(
         valid_vectors(queries, id_col, vector_col, scale).mapInArrow(_pack, _BLOCK), "queries"
     )
@@ -316,7 +323,7 @@ def top_k(
     spare = math.ceil(3 * parallelism(spark) / groups)
     shards = max(1, math.ceil(size.bytes / CELL_BYTES), min(size.n, spare))
 
-    asked = _with_bars(asked, candidates, size.rows, k, skip_self)
+    asked = _with_bars(asked, _sample(base, size.rows, id_col, vector_col, scale), k, skip_self)
     place = F.xxhash64("part", "nth")
     left = asked.select(
         "dim",

@@ -100,6 +100,22 @@ def test_large_components_stay_exact(spark):
     assert [(r.query_id, r.vec_id, r.score) for r in got] == [(0, 2, 2**60 + 3), (1, 2, 2**60 + 6), (2, 1, 2**60 + 6)]
 
 
+def test_sample_is_picked_by_the_tasks_of_the_scan(spark):
+    """By the hash of the id before vectors are looked at; odd rows and repeated ids as in the whole."""
+    from pyspark.sql import functions as F
+
+    rows = [(i // 2, [float(i), 1.0], 1, "x") for i in range(30000)] + [(None, [1.0], 1, "x"), (7, None, 1, "x"), (8, [float("nan")], 1, "x")]
+    base = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    sample = segment_topk._sample(base, 30000, "vec_id", "embedding", 64.0)
+    valid = segment_topk.valid_vectors(base, "vec_id", "embedding", 64.0)
+    want = valid.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(30000 // segment_topk.SAMPLE_ROWS)) == 0)
+    plain = lambda df: sorted((r.id, r.vector) for r in df.collect())
+    assert plain(sample) == plain(want) and 0 < sample.count() < 2 * segment_topk.SAMPLE_ROWS
+    plan = sample._jdf.queryExecution().sparkPlan().toString()
+    assert sample.rdd.getNumPartitions() == 1 and "Coalesce" not in plan
+    assert plan.index("xxhash64") < plan.index("forall")
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     one = spark.createDataFrame([(1, [1.0], 1, "x")], SCHEMA)
